@@ -116,7 +116,9 @@ SELECT subscription_id || '-' || k AS id, tenant_id, customer_id, subscription_i
        CASE WHEN sub_status = 'active' THEN CASE WHEN h < 17 THEN 'paid' WHEN h < 19 THEN 'sent' ELSE 'overdue' END
             WHEN sub_status = 'cancelled' THEN CASE WHEN (ckey + k) % 2 = 0 THEN 'paid' ELSE 'cancelled' END
             ELSE CASE WHEN (ckey + k) % 2 = 0 THEN 'paid' ELSE 'overdue' END END AS status,
-       issue_date, cast(issue_date + 30 AS date) AS due_date, h
+       issue_date, cast(issue_date + 30 AS date) AS due_date, h,
+       CASE WHEN (CASE WHEN sub_status = 'active' THEN h < 17 ELSE (ckey + k) % 2 = 0 END)
+            THEN cast(issue_date + cast(1 + h AS integer) AS date) END AS paid_date
 FROM t_invoice_k""",
     "t_order_log": """
 SELECT 'I' AS op, order_date AS commit_ts, 0 AS seq, id, tenant_id, customer_id, status, total, order_date, okey

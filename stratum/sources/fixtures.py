@@ -239,6 +239,33 @@ class Shop:
                 .selectExpr("'D' AS op", "order_date + make_dt_interval(10) AS commit_ts", "2 AS seq", "*"))
         return ins.unionByName(upd).unionByName(dele)
 
+    def subscription_changes(self) -> DataFrame:
+        """Status change log of ``subscription``: every subscription starts as
+        a trial; non-trial ones become active 14 days later; cancelled and
+        expired ones take their final status at the end date."""
+        s = self.subscription_source.select("id", "customer_id", "tenant_id", "plan_name",
+                                            "status", "start_date", "end_date")
+        first = s.selectExpr("'I' AS op", "cast(start_date AS timestamp_ntz) AS commit_ts", "0 AS seq",
+                             "id", "customer_id", "tenant_id", "plan_name", "'trial' AS status")
+        active = (s.where("status <> 'trial'")
+                  .selectExpr("'U' AS op", "cast(date_add(start_date, 14) AS timestamp_ntz) AS commit_ts",
+                              "1 AS seq", "id", "customer_id", "tenant_id", "plan_name",
+                              "'active' AS status"))
+        final = (s.where("status IN ('cancelled', 'expired')")
+                 .selectExpr("'U' AS op", "cast(end_date AS timestamp_ntz) AS commit_ts", "2 AS seq",
+                             "id", "customer_id", "tenant_id", "plan_name", "status"))
+        return first.unionByName(active).unionByName(final)
+
+    def customer_redelivered(self) -> DataFrame:
+        """Silver customers plus a re-delivered copy of every 7th one (upper-case
+        e-mail, one day newer) - the input of the de-duplication operator."""
+        c = self.customer
+        again = (c.where("cast(id AS bigint) % 7 = 0")
+                 .withColumn("email", F.upper("email"))
+                 .withColumn("first_name", F.lit("Customer (resent)"))
+                 .withColumn("updated_at", F.expr("updated_at + make_dt_interval(1)")))
+        return c.unionByName(again)
+
     # ------------------------------------------------------------------ silver
     @cached_property
     def tenant(self) -> DataFrame:
