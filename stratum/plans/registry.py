@@ -32,7 +32,7 @@ def register(key: str, op_id: str, oracle: str | None = None):
 
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills REGISTRY.
-    from . import analytics_queries, gold_queries, silver_queries  # noqa: F401
+    from . import analytics_queries, gold_queries, metrics_queries, silver_queries  # noqa: F401
     return REGISTRY
 
 
