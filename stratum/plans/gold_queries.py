@@ -6,14 +6,16 @@ from ..operators import gold
 from .oracle import avg_money, month, ratio_money, with_fixtures
 from .registry import register
 
-register("revenue_by_tenant_monthly", "C1", with_fixtures(f"""
+REVENUE_MONTHLY_SQL = with_fixtures(f"""
 SELECT o.tenant_id, t.name AS tenant_name, {month('o.order_date')} AS month,
        count(o.id) AS order_count, cast(sum(o.total) AS double) AS total_revenue,
        {avg_money('o.total')} AS avg_order_value,
        count(DISTINCT o.customer_id) AS unique_customers
 FROM t_order o JOIN t_tenant t ON o.tenant_id = t.id
 WHERE o.status = 'completed'
-GROUP BY o.tenant_id, t.name, {month('o.order_date')}"""))(
+GROUP BY o.tenant_id, t.name, {month('o.order_date')}""")
+
+register("revenue_by_tenant_monthly", "C1", REVENUE_MONTHLY_SQL)(
     lambda s: gold.revenue_by_tenant_monthly(s.order, s.tenant))
 
 register("revenue_by_tenant_total", "C2", with_fixtures(f"""
