@@ -65,13 +65,19 @@ FOREIGN_KEYS = [
 
 
 def dq_referential(t: dict[str, DataFrame]) -> DataFrame:
-    """Orphan foreign keys per relation (non-NULL FK with no parent row)."""
+    """Orphan foreign keys per relation (non-NULL FK with no parent row).
+
+    Child rows are first counted per FK value (partial aggregation: a hot
+    key collapses to one row per map task), so the anti-join carries
+    distinct keys, not rows; orphan rows are the summed counts.
+    """
     parts = []
     for child, fk, parent in FOREIGN_KEYS:
         keys = t[parent].select(F.col("id").alias(fk))
-        orphans = (t[child].select(fk).where(F.col(fk).isNotNull())
-                   .join(keys, fk, "left_anti")
-                   .agg(F.count(F.lit(1)).alias("orphan_rows")))
+        per_key = (t[child].select(fk).where(F.col(fk).isNotNull())
+                   .groupBy(fk).agg(F.count(F.lit(1)).alias("_n")))
+        orphans = (per_key.join(keys, fk, "left_anti")
+                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows")))
         parts.append(orphans.select(F.lit(f"{child}.{fk} -> {parent}.id").alias("relation"),
                                     "orphan_rows"))
     return _union(parts)

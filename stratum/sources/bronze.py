@@ -81,15 +81,21 @@ def name_columns(bronze: DataFrame, entity: str) -> DataFrame:
 
 
 def write_bronze_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write positional Bronze rows as headerless, gzip-compressed CSV."""
+    """Write positional Bronze rows as headerless, gzip-compressed CSV.
+
+    Values are written verbatim: the CSV writer's default trimming of
+    leading/trailing blanks is switched off.
+    """
     (bronze.write.mode(mode).option("header", "false").option("quote", '"')
-     .option("escape", '"').option("compression", "gzip").csv(path))
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").option("compression", "gzip").csv(path))
 
 
 def read_bronze_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """A2: scan Bronze change files with an explicit all-string schema."""
     return (spark.read.schema(bronze_schema(entity)).option("header", "false")
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .csv(path))
 
 

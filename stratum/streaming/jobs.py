@@ -29,7 +29,9 @@ def read_change_stream(spark: SparkSession, path: str, entity: str, fmt: str = "
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         raw = (r.schema(bronze.bronze_schema(entity)).option("header", "false")
-               .option("quote", '"').option("escape", '"').csv(path))
+               .option("quote", '"').option("escape", '"')
+               .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+               .csv(path))
         return bronze.name_columns(raw, entity)
     raise ValueError("named change streams are read with read_parquet_stream")
 
