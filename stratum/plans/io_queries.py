@@ -68,3 +68,33 @@ def _evolve(s):
 register("schema_evolution", "A10", with_fixtures("""
 SELECT id, tenant_id, email, CASE WHEN cast(id AS bigint) % 2 = 0 THEN NULL ELSE phone END AS phone
 FROM t_customer"""))(_evolve)
+
+
+def _catalog(s):
+    import uuid
+
+    from ..sources import catalog
+    root = _dir(s, "silver_layer")
+    db = catalog.layer_database("silver", prefix=f"stratum_{uuid.uuid4().hex[:8]}")
+    for entity, df in s.tables().items():
+        path = f"{root}/core_{entity}"
+        sinks.write_parquet(df, path, stamp=True)                          # A6 (+ B11 stamp)
+        catalog.register_table(s.spark, db, f"core_{entity}", path)        # A5
+    parts = [catalog.catalog_scan(s.spark, db, t)                          # A1
+             .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+             for t in catalog.select_tables(s.spark, db, ["core_*"])]       # A4
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+register("catalog_layer_counts", "A5", with_fixtures("""
+SELECT 'core_tenant' AS table_name, count(*) AS row_count FROM t_tenant
+UNION ALL SELECT 'core_customer', count(*) FROM t_customer
+UNION ALL SELECT 'core_product', count(*) FROM t_product
+UNION ALL SELECT 'core_order', count(*) FROM t_order
+UNION ALL SELECT 'core_orderitem', count(*) FROM t_item
+UNION ALL SELECT 'core_event', count(*) FROM t_event
+UNION ALL SELECT 'core_subscription', count(*) FROM t_sub
+UNION ALL SELECT 'core_invoice', count(*) FROM t_invoice"""))(_catalog)
