@@ -312,9 +312,9 @@ def order_enriched(orders: DataFrame, customers: DataFrame, tenants: DataFrame,
     Tenants are broadcast after a size probe; customers and the per-order
     item counts are shuffle-joined on their keys (both grow with the data).
     """
-    counts = (items.groupBy("order_id")
-              .agg(F.count("id").alias("item_count"),
-                   F.countDistinct("product_id").alias("product_count")))
+    counts = (items.groupBy("order_id", "product_id").agg(F.count("id").alias("_n"))
+              .groupBy("order_id")
+              .agg(F.sum("_n").alias("item_count"), F.count("product_id").alias("product_count")))
     c = customers.select(F.col("id").alias("customer_id"), F.col("email").alias("customer_email"),
                          F.col("metadata.signup_source").alias("signup_source"))
     return (orders.select("id", "tenant_id", "customer_id", "status", "total", "order_date")
