@@ -23,6 +23,7 @@ from ..functions import domains
 from ..functions.joins import tenant_dim
 from ..functions.json import CUSTOMER_METADATA, EVENT_DATA, ORDER_METADATA, TENANT_SETTINGS
 from ..functions.money import pct
+from ..functions.windows import neighbour
 
 # Silver column types per entity; JSON documents are parsed separately.
 SILVER_TYPES: dict[str, dict[str, str]] = {
@@ -289,18 +290,20 @@ def order_totals_from_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 def order_status_transitions(changes: DataFrame) -> DataFrame:
     """Consecutive status pairs per order from the change log, with validity.
 
-    A status history per order is short; the window partitions by order id
-    and spills rather than failing if one order has a long history.
+    The previous status comes from ``functions.windows.neighbour``: rows are
+    windowed per (order, day bucket) only, so an order with a very long
+    history is spread over many tasks.
     """
     seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
-    w = Window.partitionBy("id").orderBy("commit_ts", seq, _op_rank())
     allowed = F.array(*[F.struct(F.lit(a).alias("f"), F.lit(b).alias("t"))
                         for a, b in domains.ORDER_TRANSITIONS])
     pair = F.struct(F.col("from_status").alias("f"), F.col("to_status").alias("t"))
-    return (changes.where(F.col("op") != "D")
-            .select("id", "commit_ts", F.lag("status").over(w).alias("from_status"),
-                    F.col("status").alias("to_status"))
-            .where(F.col("from_status").isNotNull())
+    rows = changes.where(F.col("op") != "D").select("id", "commit_ts", "status", "op",
+                                                    seq.alias("_seq"))
+    with_prev = neighbour(rows, ["id"], "commit_ts", [F.col("_seq"), _op_rank()], ["status"],
+                          "prev", prefix="from_")
+    return (with_prev.where(F.col("from_status").isNotNull())
+            .select("id", "commit_ts", "from_status", F.col("status").alias("to_status"))
             .withColumn("is_valid", (F.col("from_status") == F.col("to_status"))
                         | F.array_contains(allowed, pair)))
 
@@ -414,12 +417,17 @@ def ip_anonymize(ip: Column) -> Column:
 
 # ---------------------------------------------------------------- B26-B30
 def scd2_history(changes: DataFrame, key: str, tracked: list[str]) -> DataFrame:
-    """Validity ranges of each version (valid_to = next change's time)."""
+    """Validity ranges of each version (valid_to = next change's time).
+
+    The next change per key comes from ``functions.windows.neighbour``
+    (bucketed, skew-safe) rather than a ``lead`` over the whole key.
+    """
     seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
-    w = Window.partitionBy(key).orderBy("commit_ts", seq, _op_rank())
-    return (changes.where(F.col("op") != "D")
-            .select(key, *tracked, F.col("commit_ts").alias("valid_from"),
-                    F.lead("commit_ts").over(w).alias("valid_to"))
+    rows = changes.where(F.col("op") != "D").select(key, *tracked, "commit_ts", "op", seq.alias("_seq"))
+    nxt = neighbour(rows, [key], "commit_ts", [F.col("_seq"), _op_rank()], ["commit_ts"],
+                    "next", prefix="next_")
+    return (nxt.select(key, *tracked, F.col("commit_ts").alias("valid_from"),
+                       F.col("next_commit_ts").alias("valid_to"))
             .withColumn("is_current", F.col("valid_to").isNull()))
 
 

@@ -86,3 +86,25 @@ def test_repeat_concentration_equals_brute_force(spark, orders):
         cut = (n * 30 + 99) // 100
         top = [c for c, k in counts.items() if 1 + sum(1 for v in counts.values() if v > k) <= cut]
         assert got[t] == (n, sum(counts.values()), len(top), sum(counts[c] for c in top))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "k2"]),
+                          st.integers(min_value=0, max_value=20), st.integers(min_value=0, max_value=3)),
+                min_size=1, max_size=50),
+       st.sampled_from(["prev", "next"]))
+def test_bucketed_neighbour_equals_plain_lag_lead(spark, rows, direction):
+    from stratum.functions.windows import neighbour
+    data = [(k, BASE + dt.timedelta(hours=h), s, i) for i, (k, h, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, s int, v long")
+    got = {r.v: r.nb_v for r in neighbour(df, ["k"], "ts", [F.col("s"), F.col("v")], ["v"],
+                                          direction, prefix="nb_", bucket_seconds=3 * 3600).collect()}
+    want = {}
+    for k in {r[0] for r in data}:
+        xs = sorted((r for r in data if r[0] == k), key=lambda r: (r[1], r[2], r[3]))
+        for j, r in enumerate(xs):
+            if direction == "prev":
+                want[r[3]] = xs[j - 1][3] if j > 0 else None
+            else:
+                want[r[3]] = xs[j + 1][3] if j + 1 < len(xs) else None
+    assert got == want
