@@ -157,7 +157,7 @@ def funnel_hourly(events: DataFrame) -> DataFrame:
 
 def _session_flags(events: DataFrame) -> DataFrame:
     return (events.groupBy("session_id")
-            .agg(F.first("tenant_id", ignorenulls=True).alias("tenant_id"),
+            .agg(F.max("tenant_id").alias("tenant_id"),
                  *[F.max(F.col("event_type") == s).alias(s) for s in domains.FUNNEL_STEPS]))
 
 
@@ -342,7 +342,7 @@ def repeat_concentration(orders: DataFrame, top_share_pct: int = 30) -> DataFram
     cut = int_div(F.col("customers") * top_share_pct + (100 - 1), F.lit(100))
     top = F.col("above") + 1 <= cut
     return (hist.groupBy("tenant_id")
-            .agg(F.first("customers").alias("customers"), F.first("orders").alias("orders"),
+            .agg(F.max("customers").alias("customers"), F.max("orders").alias("orders"),
                  F.sum(F.when(top, F.col("k")).otherwise(0)).alias("top_customers"),
                  F.sum(F.when(top, F.col("n") * F.col("k")).otherwise(0)).alias("top_orders"))
             .withColumn("top_order_share", ratio(F.col("top_orders"), F.col("orders"))))

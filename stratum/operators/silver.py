@@ -399,8 +399,7 @@ def event_sessionize(events: DataFrame, actor: str = "customer_id",
 def session_metrics(events: DataFrame) -> DataFrame:
     """Per session id: start, end, duration, events, bounce, converted."""
     return (events.groupBy("session_id")
-            .agg(F.first("tenant_id", ignorenulls=True).alias("_t"),
-                 F.min("created_at").alias("session_start"),
+            .agg(F.min("created_at").alias("session_start"),
                  F.max("created_at").alias("session_end"),
                  F.count(F.lit(1)).alias("event_count"),
                  F.max(F.col("event_type") == "purchase").alias("converted"))

@@ -118,7 +118,7 @@ SELECT tenant_id, count(*) FILTER (WHERE cart) AS cart_sessions,
        count(*) FILTER (WHERE cart AND NOT bought) AS abandoned_sessions,
        {_ratio("count(*) FILTER (WHERE cart AND NOT bought)", "count(*) FILTER (WHERE cart)")}
          AS abandonment_rate
-FROM (SELECT session_id, first(tenant_id) AS tenant_id, bool_or(event_type = 'add_to_cart') AS cart,
+FROM (SELECT session_id, max(tenant_id) AS tenant_id, bool_or(event_type = 'add_to_cart') AS cart,
              bool_or(event_type = 'purchase') AS bought
       FROM t_event GROUP BY session_id) GROUP BY tenant_id"""))(
     lambda s: M.cart_abandonment(s.event))
