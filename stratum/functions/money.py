@@ -20,13 +20,19 @@ def cents(c: Column) -> Column:
 
 def div_round_half_up(num: Column, den: Column) -> Column:
     """round(num / den) half-up for integers num >= 0, den > 0; NULL when den is 0 or NULL."""
-    den_ok = F.when(den > 0, den.cast("bigint"))
-    return int_div(F.lit(2) * num.cast("bigint") + den_ok, F.lit(2) * den_ok)
+    d = F.when(den > 0, den.cast("decimal(38,0)"))
+    n = num.cast("decimal(38,0)")
+    return int_div(F.lit(2).cast("decimal(38,0)") * n + d, F.lit(2).cast("decimal(38,0)") * d)
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Exact integer division of non-negative bigints (a - a % b is a multiple of b)."""
-    return ((a - a % b) / b).cast("bigint")
+    """Exact integer division of non-negative integers.
+
+    ``a - a % b`` is a multiple of ``b``; dividing as decimal(38,0) keeps
+    every digit (a double would round above 2^53, i.e. ~9e13 in money).
+    """
+    a, b = a.cast("decimal(38,0)"), b.cast("decimal(38,0)")
+    return ((a - a % b) / b).cast("decimal(38,0)").cast("bigint")
 
 
 def money_sum(c: Column) -> Column:
