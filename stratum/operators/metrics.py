@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions import domains
 from ..functions.dates import day_of, hour_of, month_of, quarter_of
-from ..functions.joins import bounded_broadcast
 from ..functions.money import cents, div_round_half_up, int_div, pct, ratio
 
 
@@ -223,7 +222,9 @@ def engagement_score(events: DataFrame, bands: int = 4) -> DataFrame:
             .withColumn("_n", F.sum("_k").over(Window.partitionBy()))
             .select("score", (F.col("_above") + 1).alias("score_rank"),
                     (int_div(F.lit(bands) * F.col("_above"), F.col("_n")) + 1).alias("band")))
-    return (scores.join(bounded_broadcast(hist), "score")
+    # The histogram is derived: AQE measures its shuffle output at run time and
+    # broadcasts it when small, without a second pass to probe its size.
+    return (scores.join(hist, "score")
             .select("tenant_id", "customer_id", "event_count", "score", "score_rank",
                     F.col("band").cast("int").alias("band")))
 
