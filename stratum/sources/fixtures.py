@@ -228,43 +228,58 @@ class Shop:
 
     # ------------------------------------------------------------------ change log
     def order_changes(self) -> DataFrame:
-        """Insert / update / delete log of ``order`` (op, commit_ts, seq + row)."""
+        """Insert / update / delete log of ``order`` (op, commit_ts, seq + row).
+
+        Every order is inserted at its order date; every 5th (id % 5 = 2) is
+        updated to completed 3 days later; every 50th is deleted 10 days
+        later.  One scan of the source expands each order into its versions
+        (``inline`` of a per-row array), instead of one scan per op.
+        """
         o = self.order_source
-        ins = o.selectExpr("'I' AS op", "order_date AS commit_ts", "0 AS seq", "*")
-        upd = (o.where("cast(id AS bigint) % 5 = 2")
-               .withColumn("status", F.lit("completed"))
-               .withColumn("updated_at", F.expr("order_date + make_dt_interval(3)"))
-               .selectExpr("'U' AS op", "order_date + make_dt_interval(3) AS commit_ts", "1 AS seq", "*"))
-        dele = (o.where("cast(id AS bigint) % 50 = 0")
-                .selectExpr("'D' AS op", "order_date + make_dt_interval(10) AS commit_ts", "2 AS seq", "*"))
-        return ins.unionByName(upd).unionByName(dele)
+        k = "cast(id AS bigint)"
+        versions = ("inline(filter(array("
+                    "named_struct('op', 'I', 'seq', 0, 'days', 0), "
+                    f"CASE WHEN {k} % 5 = 2 THEN named_struct('op', 'U', 'seq', 1, 'days', 3) END, "
+                    f"CASE WHEN {k} % 50 = 0 THEN named_struct('op', 'D', 'seq', 2, 'days', 10) END), "
+                    "v -> v IS NOT NULL))")
+        rows = o.selectExpr(versions, "*")
+        upd = F.col("op") == "U"
+        return (rows.withColumn("status", F.when(upd, F.lit("completed")).otherwise(F.col("status")))
+                .withColumn("updated_at", F.when(upd, F.expr("order_date + make_dt_interval(3)"))
+                            .otherwise(F.col("updated_at")))
+                .selectExpr("op", "order_date + make_dt_interval(days) AS commit_ts", "seq",
+                            *o.columns))
 
     def subscription_changes(self) -> DataFrame:
         """Status change log of ``subscription``: every subscription starts as
         a trial; non-trial ones become active 14 days later; cancelled and
-        expired ones take their final status at the end date."""
+        expired ones take their final status at the end date.  One scan,
+        expanded per row as in ``order_changes``."""
         s = self.subscription_source.select("id", "customer_id", "tenant_id", "plan_name",
                                             "status", "start_date", "end_date")
-        first = s.selectExpr("'I' AS op", "cast(start_date AS timestamp_ntz) AS commit_ts", "0 AS seq",
-                             "id", "customer_id", "tenant_id", "plan_name", "'trial' AS status")
-        active = (s.where("status <> 'trial'")
-                  .selectExpr("'U' AS op", "cast(date_add(start_date, 14) AS timestamp_ntz) AS commit_ts",
-                              "1 AS seq", "id", "customer_id", "tenant_id", "plan_name",
-                              "'active' AS status"))
-        final = (s.where("status IN ('cancelled', 'expired')")
-                 .selectExpr("'U' AS op", "cast(end_date AS timestamp_ntz) AS commit_ts", "2 AS seq",
-                             "id", "customer_id", "tenant_id", "plan_name", "status"))
-        return first.unionByName(active).unionByName(final)
+        versions = ("inline(filter(array("
+                    "named_struct('op', 'I', 'seq', 0, 'at', start_date, 'new_status', 'trial'), "
+                    "CASE WHEN status <> 'trial' THEN named_struct('op', 'U', 'seq', 1, "
+                    "'at', date_add(start_date, 14), 'new_status', 'active') END, "
+                    "CASE WHEN status IN ('cancelled', 'expired') THEN named_struct('op', 'U', 'seq', 2, "
+                    "'at', end_date, 'new_status', status) END), v -> v IS NOT NULL))")
+        return (s.selectExpr(versions, "id", "customer_id", "tenant_id", "plan_name")
+                .selectExpr("op", "cast(at AS timestamp_ntz) AS commit_ts", "seq", "id", "customer_id",
+                            "tenant_id", "plan_name", "new_status AS status"))
 
     def customer_redelivered(self) -> DataFrame:
         """Silver customers plus a re-delivered copy of every 7th one (upper-case
-        e-mail, one day newer) - the input of the de-duplication operator."""
+        e-mail, one day newer) - the input of the de-duplication operator.
+        One scan; the copy is generated next to its original."""
         c = self.customer
-        again = (c.where("cast(id AS bigint) % 7 = 0")
-                 .withColumn("email", F.upper("email"))
-                 .withColumn("first_name", F.lit("Customer (resent)"))
-                 .withColumn("updated_at", F.expr("updated_at + make_dt_interval(1)")))
-        return c.unionByName(again)
+        again = F.col("_copy")
+        rows = c.select(F.explode(F.when(F.col("id").cast("bigint") % 7 == 0, F.array(F.lit(False), F.lit(True)))
+                                  .otherwise(F.array(F.lit(False)))).alias("_copy"), "*")
+        return (rows.withColumn("email", F.when(again, F.upper("email")).otherwise(F.col("email")))
+                .withColumn("first_name", F.when(again, F.lit("Customer (resent)")).otherwise(F.col("first_name")))
+                .withColumn("updated_at", F.when(again, F.expr("updated_at + make_dt_interval(1)"))
+                            .otherwise(F.col("updated_at")))
+                .select(*c.columns))
 
     # ------------------------------------------------------------------ silver
     @cached_property
