@@ -94,8 +94,8 @@ def _sessions(s):
     return s.spark.read.parquet(target)
 
 
-register("stream_sessions", "G5", with_fixtures("""
-SELECT customer_id, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
+_SESSIONS_SQL = """
+SELECT * FROM (SELECT customer_id, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
        count(*) AS event_count
 FROM (SELECT customer_id, created_at,
              sum(CASE WHEN prev IS NULL OR created_at - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
@@ -104,7 +104,31 @@ FROM (SELECT customer_id, created_at,
       FROM (SELECT customer_id, created_at, id,
                    lag(created_at) OVER (PARTITION BY customer_id ORDER BY created_at, cast(id AS bigint)) AS prev
             FROM t_event WHERE customer_id IS NOT NULL))
-GROUP BY customer_id, session_no"""))(_sessions)
+GROUP BY customer_id, session_no)"""
+
+register("stream_sessions", "G5", with_fixtures(_SESSIONS_SQL))(_sessions)
+
+
+def _sessions_append(s):
+    """G5 as it runs in production: append mode, state evicted by the watermark.
+
+    A session is written once the watermark (latest event time - 1 hour)
+    passes its end, so the table holds the closed sessions only; those
+    still open at the end of the input stay in bounded state.
+    """
+    root = _run_dir(s, "sessions_append")
+    src, target, ckpt = f"{root}/events", f"{root}/sessions", f"{root}/ckpt"
+    ev = s.event.select("id", "customer_id", "created_at")
+    schema = ev.schema
+    _drop_and_run([ev.where(c) for c in _day_slices(ev)], src, lambda: jobs.run_sessions(
+        jobs.sessions(jobs.read_parquet_stream(s.spark, src, schema)), target, ckpt,
+        output_mode="append"))
+    return s.spark.read.parquet(target)
+
+
+register("stream_sessions_closed", "G5", with_fixtures(_SESSIONS_SQL + """
+WHERE session_end <= (SELECT max(created_at) FROM t_event WHERE customer_id IS NOT NULL) - INTERVAL 1 HOUR"""))(
+    _sessions_append)
 
 
 # ---------------------------------------------------------------- G6
