@@ -65,9 +65,14 @@ def _op_rank() -> Column:
 
 
 # ---------------------------------------------------------------- B1 / B2 / B29
+def kept_by_insert_only() -> Column:
+    """The row predicate of the insert-only Silver job (B1): op = 'I'."""
+    return F.col("op") == "I"
+
+
 def cdc_insert_only(changes: DataFrame) -> DataFrame:
     """B1: keep full-load / insert rows only (the reference's behaviour)."""
-    return changes.where(F.col("op") == "I")
+    return changes.where(kept_by_insert_only())
 
 
 def cdc_merge_latest(changes: DataFrame, key: str = "id", as_of: str | None = None) -> DataFrame:

@@ -33,11 +33,8 @@ FROM t_customer"""))(
 
 
 def _reconcile(s):
-    pairs = {}
-    for e in ("tenant", "customer", "product", "order", "orderitem", "event", "subscription", "invoice"):
-        named = named_bronze(s, e)
-        pairs[e] = (named, silver.to_silver(named, e))
-    return Q.layer_row_reconcile(pairs)
+    entities = ("tenant", "customer", "product", "order", "orderitem", "event", "subscription", "invoice")
+    return Q.layer_row_reconcile({e: named_bronze(s, e) for e in entities}, silver.kept_by_insert_only())
 
 
 register("layer_row_reconcile", "E3", with_fixtures("""
