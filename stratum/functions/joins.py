@@ -8,22 +8,25 @@ Spark plans a shuffle join, with AQE free to re-plan at run time.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension of at most this many narrow rows is broadcast (a few MB).
 DIM_BROADCAST_MAX_ROWS = 200_000
 
-_checked: dict[int, tuple[DataFrame, bool]] = {}
+# Probe results per (frame, limit).  Weak keys: a frame's entry goes when the
+# frame does, so a long-running driver does not keep every probed plan alive.
+_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def fits(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> bool:
-    hit = _checked.get(id(df))
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    _checked[id(df)] = (df, ok)
-    return ok
+    """True when ``df`` has at most ``max_rows`` rows (probed once per frame)."""
+    seen = _checked.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
