@@ -42,6 +42,8 @@ JOIN t_tenant t ON t.id = o.tenant_id
 WHERE o.status = 'completed'
 GROUP BY o.tenant_id, t.name, i.product_id, p.name, p.price, p.stock_quantity"""
 
+PRODUCT_PERFORMANCE_SQL = _PERF
+
 register("product_performance", "C3", with_fixtures(_PERF))(
     lambda s: gold.product_performance(s.orderitem, s.order, s.product, s.tenant))
 

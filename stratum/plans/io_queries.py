@@ -12,7 +12,7 @@ from ..operators import gold
 from ..session import scratch_path
 from ..sources import bronze, sinks
 from ..streaming.sinks import fresh_dir
-from .gold_queries import REVENUE_MONTHLY_SQL
+from .gold_queries import PRODUCT_PERFORMANCE_SQL, REVENUE_MONTHLY_SQL
 from .oracle import with_fixtures
 from .registry import register
 
@@ -98,3 +98,27 @@ UNION ALL SELECT 'core_orderitem', count(*) FROM t_item
 UNION ALL SELECT 'core_event', count(*) FROM t_event
 UNION ALL SELECT 'core_subscription', count(*) FROM t_sub
 UNION ALL SELECT 'core_invoice', count(*) FROM t_invoice"""))(_catalog)
+
+
+def colocated_silver(s) -> tuple:
+    """Silver orders and order items written bucketed by order id into a
+    fresh silver database; returns their catalog scans (items, orders)."""
+    import uuid
+
+    from ..sources import catalog
+    root = _dir(s, "silver_bucketed")
+    db = catalog.layer_database("silver", prefix=f"stratum_{uuid.uuid4().hex[:8]}")
+    n = int(s.spark.conf.get("spark.sql.shuffle.partitions"))
+    catalog.save_bucketed(s.order, db, "core_order", f"{root}/core_order", "id", n)
+    catalog.save_bucketed(s.orderitem, db, "core_orderitem", f"{root}/core_orderitem", "order_id", n)
+    return catalog.catalog_scan(s.spark, db, "core_orderitem"), catalog.catalog_scan(s.spark, db, "core_order")
+
+
+def _colocated_performance(s):
+    items, orders = colocated_silver(s)
+    return gold.product_performance(items, orders, s.product, s.tenant)
+
+
+# C3 over the bucketed layout: the items x orders join shuffles neither side.
+register("product_performance_colocated", "A5", with_fixtures(PRODUCT_PERFORMANCE_SQL))(
+    _colocated_performance)

@@ -60,3 +60,21 @@ def test_top_k_per_tenant_uses_group_limit(spark, shop):
     df = metrics.best_sellers_by_tenant(shop.orderitem, shop.order)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text
+
+
+def test_bucketed_silver_join_shuffles_neither_side(spark, shop):
+    """With neither side broadcastable (as at scale), C3 over Silver tables
+    bucketed by order id joins items and orders without an Exchange on it."""
+    from stratum.operators import gold
+    from stratum.plans.io_queries import colocated_silver
+    items, orders = colocated_silver(shop)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = gold.product_performance(items, orders, shop.product, shop.tenant)
+        df.write.format("noop").mode("overwrite").save()
+        text = plan_text(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    assert "hashpartitioning(order_id#" not in text and "hashpartitioning(id#" not in text
