@@ -78,3 +78,12 @@ def test_bucketed_silver_join_shuffles_neither_side(spark, shop):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in text and "Bucketed: true" in text
     assert "hashpartitioning(order_id#" not in text and "hashpartitioning(id#" not in text
+
+
+@pytest.mark.parametrize("log", ["order_changes", "subscription_changes", "customer_redelivered"])
+def test_change_log_scans_its_source_once(shop, log):
+    """Each change log expands rows in one pass: no union of per-op scans."""
+    text = plan_text(getattr(shop, log)())
+    assert "Union" not in text
+    table = "orders.parquet" if log == "order_changes" else "customer.parquet"
+    assert text.count(table) == 1
