@@ -22,9 +22,11 @@ def _dir(s, name: str) -> str:
 
 
 def _bronze_round_trip(s):
-    path = _dir(s, "bronze_order")
-    bronze.write_bronze_csv(bronze.to_bronze(s.order_changes().drop("seq"), "order"), path)
-    named = bronze.name_columns(bronze.read_bronze_csv(s.spark, path, "order"), "order")
+    load, cdc = bronze.bronze_paths(_dir(s, "bronze"), "order")
+    log = bronze.to_bronze(s.order_changes().drop("seq"), "order")
+    bronze.write_bronze_csv(log.where(F.col("col0") == "I"), load)     # full load
+    bronze.write_bronze_csv(log.where(F.col("col0") != "I"), cdc)      # ongoing changes
+    named = bronze.name_columns(bronze.read_bronze_csv(s.spark, [load, cdc], "order"), "order")
     return named.select("op", "id", "status", "commit_ts")
 
 

@@ -91,8 +91,19 @@ def write_bronze_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> N
      .option("ignoreTrailingWhiteSpace", "false").option("compression", "gzip").csv(path))
 
 
-def read_bronze_csv(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """A2: scan Bronze change files with an explicit all-string schema."""
+def bronze_paths(root: str, entity: str, schema: str = "public") -> tuple[str, str]:
+    """A2: (full-load folder, change folder) of one table under the Bronze root.
+
+    Full-load files go under ``<root>/<schema>/<table>``; ongoing changes
+    go under the separate ``<root>/cdc/<schema>/<table>`` folder.
+    """
+    table = TABLE_NAMES[entity]
+    return f"{root}/{schema}/{table}", f"{root}/cdc/{schema}/{table}"
+
+
+def read_bronze_csv(spark: SparkSession, path: str | list[str], entity: str) -> DataFrame:
+    """A2: scan Bronze change files (one folder, or the full-load and change
+    folders together) with an explicit all-string schema."""
     return (spark.read.schema(bronze_schema(entity)).option("header", "false")
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
