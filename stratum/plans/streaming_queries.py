@@ -40,11 +40,16 @@ def _drop_and_run(drops: list[DataFrame], src: str, run) -> None:
 
 # ---------------------------------------------------------------- G1 / G2
 def _ingest(s):
+    """The full-load file lands in the table's load folder, then the update
+    and delete files in its ``cdc`` folder; one stream watches both folders
+    (a glob), and each run on the same checkpoint picks up only new files."""
     root = _run_dir(s, "ingest")
-    src, target, ckpt = f"{root}/bronze_csv", f"{root}/bronze_parquet", f"{root}/ckpt"
+    load, cdc = bronze.bronze_paths(f"{root}/bronze", "order")
+    src = bronze.bronze_glob(f"{root}/bronze", "order")
+    target, ckpt = f"{root}/bronze_parquet", f"{root}/ckpt"
     log = s.order_changes().drop("seq")
-    for op in ("I", "U", "D"):
-        bronze.write_bronze_csv(bronze.to_bronze(log.where(F.col("op") == op), "order"), src, mode="append")
+    for op, folder in (("I", load), ("U", cdc), ("D", cdc)):
+        bronze.write_bronze_csv(bronze.to_bronze(log.where(F.col("op") == op), "order"), folder, mode="append")
         jobs.ingest_changes(jobs.read_change_stream(s.spark, src, "order", "csv"), target, ckpt)
     return s.spark.read.parquet(target).select("op", "id", "status", "commit_ts")
 

@@ -101,6 +101,12 @@ def bronze_paths(root: str, entity: str, schema: str = "public") -> tuple[str, s
     return f"{root}/{schema}/{table}", f"{root}/cdc/{schema}/{table}"
 
 
+def bronze_glob(root: str, entity: str, schema: str = "public") -> str:
+    """One path pattern covering a table's full-load and change folders
+    (for a file stream, which watches a single path)."""
+    return f"{root}/{{{schema},cdc/{schema}}}/{TABLE_NAMES[entity]}"
+
+
 def read_bronze_csv(spark: SparkSession, path: str | list[str], entity: str) -> DataFrame:
     """A2: scan Bronze change files (one folder, or the full-load and change
     folders together) with an explicit all-string schema."""
