@@ -4,7 +4,8 @@ These are the runnable counterparts of the reference's ETL scripts (one
 Bronze->Silver job per table, four Gold jobs), built from the operators:
 
     python -m stratum.jobs bronze-to-silver --bronze ROOT --silver ROOT --entity order [--mode merge]
-    python -m stratum.jobs silver-to-gold --silver ROOT --gold ROOT --job revenue
+                                            [--database DB --buckets N]
+    python -m stratum.jobs silver-to-gold --silver ROOT --gold ROOT --job revenue [--database DB]
 
 Each job reads once and writes once.  The Bronze->Silver job counts Bronze
 and Silver rows with ``Observation`` metrics on its single write action (no
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .functions.dates import day_of, month_of
 from .operators import gold, silver
-from .sources import bronze, sinks
+from .sources import bronze, catalog, sinks
 
 ENTITIES = ("tenant", "customer", "product", "order", "orderitem", "event", "subscription", "invoice")
 
@@ -35,19 +36,26 @@ SILVER_PARTITION = {"order": ("order_month", lambda: month_of("order_date")),
 
 GOLD_JOBS = ("revenue", "product", "customer", "tenant_summary")
 
+# Silver tables that can be bucketed on the key of their joins with each
+# other (order items x orders on the order id), so Gold joins them in place.
+BUCKET_KEYS = {"order": "id", "orderitem": "order_id"}
+
 
 def silver_table_path(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/{bronze.TABLE_NAMES[entity]}"
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity: str,
-                     mode: str = "insert_only") -> dict[str, int]:
+                     mode: str = "insert_only", database: str | None = None,
+                     buckets: int | None = None) -> dict[str, int]:
     """Type one table's Bronze change files into its Silver table.
 
     Reads the full-load and change folders together (A2, A3), keeps
     inserts (B1) or applies I/U/D latest-wins (B2), types and parses the
-    rows (B3-B10), and writes Silver (A6/A7).  Returns the Bronze and
-    Silver row counts observed during the write (E3).
+    rows (B3-B10), and writes Silver (A6/A7).  With ``database`` and
+    ``buckets``, orders and order items are instead saved as catalog
+    tables bucketed by order id (co-located for Gold joins).  Returns the
+    Bronze and Silver row counts observed during the write (E3).
     """
     load, cdc = bronze.bronze_paths(bronze_root, entity)
     paths = [p for p in (load, cdc) if _exists(spark, p)]
@@ -58,32 +66,45 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, en
     named = named.observe(seen_bronze, F.count(F.lit(1)).alias("rows"))
     rows = silver.to_silver(named, entity, mode=mode)
     rows = rows.observe(seen_silver, F.count(F.lit(1)).alias("rows"))
-    part = SILVER_PARTITION.get(entity)
-    if part is not None:
-        rows = rows.withColumn(part[0], part[1]())
-    sinks.write_parquet(rows, silver_table_path(silver_root, entity),
-                        partition_by=[part[0]] if part else None)
+    path = silver_table_path(silver_root, entity)
+    if database and buckets and entity in BUCKET_KEYS:
+        catalog.save_bucketed(sinks.stamp_processed_at(rows), database, bronze.TABLE_NAMES[entity],
+                              path, BUCKET_KEYS[entity], buckets)
+    else:
+        part = SILVER_PARTITION.get(entity)
+        if part is not None:
+            rows = rows.withColumn(part[0], part[1]())
+        sinks.write_parquet(rows, path, partition_by=[part[0]] if part else None)
     return {"bronze_rows": seen_bronze.get["rows"], "silver_rows": seen_silver.get["rows"]}
 
 
-def read_silver(spark: SparkSession, silver_root: str) -> dict[str, DataFrame]:
-    """Lazy scans of the Silver tables (partition keys and lineage stamps dropped)."""
+def read_silver(spark: SparkSession, silver_root: str, database: str | None = None) -> dict[str, DataFrame]:
+    """Lazy scans of the Silver tables (partition keys and lineage stamps dropped).
+
+    Tables bucketed into ``database`` are read through the catalog, which
+    holds their bucket spec; the rest are read from their folders.
+    """
     extra = {"processed_at"} | {k for k, _ in SILVER_PARTITION.values()}
     out = {}
     for e in ENTITIES:
-        df = spark.read.parquet(silver_table_path(silver_root, e))
+        name = f"{database}.{bronze.TABLE_NAMES[e]}" if database else None
+        if name and e in BUCKET_KEYS and spark.catalog.tableExists(name):
+            df = catalog.catalog_scan(spark, database, bronze.TABLE_NAMES[e])
+        else:
+            df = spark.read.parquet(silver_table_path(silver_root, e))
         out[e] = df.select(*[c for c in df.columns if c not in extra])
     return out
 
 
-def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, job: str) -> list[str]:
+def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, job: str,
+                   database: str | None = None) -> list[str]:
     """Run one Gold job; returns the Gold tables it wrote.
 
     revenue: C1 (partitioned by month), C2.  product: C3, then C4 read
     from the written C3 table (no recomputation, no cache).  customer:
     C6, C7 (partitioned by month), C8.  tenant_summary: C9.
     """
-    t = read_silver(spark, silver_root)
+    t = read_silver(spark, silver_root, database)
     root = gold_root.rstrip("/")
 
     def write(name: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
@@ -126,10 +147,13 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--silver", required=True)
     b.add_argument("--entity", choices=ENTITIES, action="append", required=True)
     b.add_argument("--mode", choices=("insert_only", "merge"), default="insert_only")
+    b.add_argument("--database", help="catalog database for bucketed Silver orders / order items")
+    b.add_argument("--buckets", type=int, help="bucket count (with --database)")
     g = sub.add_parser("silver-to-gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--gold", required=True)
     g.add_argument("--job", choices=GOLD_JOBS, action="append", required=True)
+    g.add_argument("--database", help="catalog database holding bucketed Silver tables")
     args = ap.parse_args(argv)
 
     from .session import BASE_CONF
@@ -139,10 +163,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = builder.getOrCreate()
     if args.cmd == "bronze-to-silver":
         for e in args.entity:
-            print(e, bronze_to_silver(spark, args.bronze, args.silver, e, args.mode))
+            print(e, bronze_to_silver(spark, args.bronze, args.silver, e, args.mode,
+                                      args.database, args.buckets))
     else:
         for j in args.job:
-            print(j, silver_to_gold(spark, args.silver, args.gold, j))
+            print(j, silver_to_gold(spark, args.silver, args.gold, j, args.database))
     return 0
 
 

@@ -64,3 +64,28 @@ def test_merge_mode_applies_updates_and_deletes(spark, shop, lake):
     root, _, _ = lake
     counts = jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver_merged", "order", mode="merge")
     assert counts["silver_rows"] == silver.cdc_merge_latest(shop.order_changes()).count()
+
+
+def test_bucketed_silver_feeds_gold_without_shuffling_the_join(spark, lake):
+    root, _, _ = lake
+    db = f"stratum_{uuid.uuid4().hex[:8]}_silver"
+    silver_root = f"{root}/silver_bucketed"
+    for e in jobs.ENTITIES:
+        jobs.bronze_to_silver(spark, f"{root}/bronze", silver_root, e, database=db, buckets=8)
+    assert spark.catalog.tableExists(f"{db}.core_order") and spark.catalog.tableExists(f"{db}.core_orderitem")
+    jobs.silver_to_gold(spark, silver_root, f"{root}/gold_bucketed", "product", database=db)
+    got = spark.read.parquet(f"{root}/gold_bucketed/product_performance").drop("processed_at")
+    want = entry.queries()["product_performance"](spark, SMALL)
+    assert rows_of(got.select(*want.columns).toArrow()) == rows_of(want.toArrow())
+
+    from stratum.operators import gold
+    t = jobs.read_silver(spark, silver_root, db)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = gold.product_performance(t["orderitem"], t["order"], t["product"], t["tenant"])
+        df.write.format("noop").mode("overwrite").save()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in text and "hashpartitioning(order_id#" not in text
