@@ -201,13 +201,23 @@ def session_duration_trend(events: DataFrame) -> DataFrame:
                     .alias("avg_duration_seconds")))
 
 
+# Score blocks per doubling of the score (F11): at most ~64 x 16 blocks in all.
+SCORE_BLOCKS_PER_OCTAVE = 16
+
+
 def engagement_score(events: DataFrame, bands: int = 4) -> DataFrame:
     """F11 (ours): weighted event score per known customer and a rank band 1..bands.
 
     rank = 1 + number of customers with a higher score; band =
     1 + floor(bands * (rank - 1) / n).  Ranks come from a histogram of
-    scores (one row per distinct score) - a window over that histogram,
-    not over all customers.
+    scores (one row per distinct score), never from a window over all
+    customers.  The histogram itself is ranked in two levels, so no task
+    holds all distinct scores: scores fall into logarithmic blocks (block
+    0 for scores <= 0, then 16 per doubling), a window over the block
+    totals (at most ~1,000 rows) gives the customers above each block, and
+    a window partitioned by block ranks the scores inside it.  A block
+    near score a spans about a/22 integers, and at most total/a customers
+    reach it, so a block holds O(sqrt(total score)) distinct scores.
     """
     w = F.lit(0)
     for t, v in domains.ENGAGEMENT_WEIGHTS.items():
@@ -215,20 +225,34 @@ def engagement_score(events: DataFrame, bands: int = 4) -> DataFrame:
     scores = (events.where(F.col("customer_id").isNotNull())
               .groupBy("tenant_id", "customer_id")
               .agg(F.count(F.lit(1)).alias("event_count"), F.sum(w).alias("score")))
-    hist = scores.groupBy("score").agg(F.count(F.lit(1)).alias("_k"))
-    wh = Window.orderBy(F.col("score").desc())
-    hist = (hist.withColumn("_above", F.coalesce(F.sum("_k").over(
-        wh.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_k").over(Window.partitionBy()))
-            .select("score", (F.col("_above") + 1).alias("score_rank"),
-                    (int_div(F.lit(bands) * F.col("_above"), F.col("_n")) + 1).alias("band")))
     # The histogram is derived: AQE measures its shuffle output at run time and
     # broadcasts it when small, without a second pass to probe its size.
-    return (scores.join(hist, "score")
+    return (scores.join(score_ranks(scores, bands), "score")
             .select("tenant_id", "customer_id", "event_count", "score", "score_rank",
                     F.col("band").cast("int").alias("band")))
 
 
+def score_ranks(scores: DataFrame, bands: int) -> DataFrame:
+    """(score, score_rank, band) per distinct integer ``score`` of ``scores``, ranked
+    descending in two levels (see ``engagement_score``)."""
+    score = F.col("score")
+    block = F.when(score > 0, F.floor(F.log2(score) * SCORE_BLOCKS_PER_OCTAVE) + 1).otherwise(F.lit(0))
+    hist = (scores.groupBy("score").agg(F.count(F.lit(1)).alias("_k"))
+            .withColumn("_blk", block.cast("int")))
+    above = Window.unboundedPreceding, -1
+    blocks = (hist.groupBy("_blk").agg(F.sum("_k").alias("_bk"))
+              .withColumn("_blk_above", F.coalesce(F.sum("_bk").over(
+                  Window.orderBy(F.col("_blk").desc()).rowsBetween(*above)), F.lit(0)))
+              .withColumn("_n", F.sum("_bk").over(Window.partitionBy()))
+              .select("_blk", "_blk_above", "_n"))
+    inside = Window.partitionBy("_blk").orderBy(score.desc()).rowsBetween(*above)
+    return (hist.withColumn("_in_above", F.coalesce(F.sum("_k").over(inside), F.lit(0)))
+            .join(blocks, "_blk")
+            .withColumn("_above", F.col("_blk_above") + F.col("_in_above"))
+            .select("score", (F.col("_above") + 1).alias("score_rank"),
+                    (int_div(F.lit(bands) * F.col("_above"), F.col("_n")) + 1).alias("band")))
+
+
 # ---------------------------------------------------------------- F12-F14
 def _product_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     return (_sold_items(items, orders).groupBy("product_id")

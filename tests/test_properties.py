@@ -59,6 +59,23 @@ def test_histogram_rank_band_equals_brute_force(spark, types, owners):
         assert got[c] == (s, rank, 1 + (4 * (rank - 1)) // n)
 
 
+@SETTINGS
+@given(st.lists(st.one_of(st.integers(min_value=0, max_value=40), st.integers(min_value=0, max_value=10**12),
+                          st.sampled_from([0, 1, 2, 1023, 1024, 1025, 2**20, 2**20 + 1])),
+                min_size=1, max_size=60),
+       st.integers(min_value=1, max_value=7))
+def test_two_level_score_ranks_equal_brute_force(spark, scores, bands):
+    """Wide integer scores with ties, spread over many logarithmic blocks."""
+    df = spark.createDataFrame([(v,) for v in scores], "score long")
+    got = {r.score: (r.score_rank, r.band) for r in metrics.score_ranks(df, bands).collect()}
+    n = len(scores)
+    want = {}
+    for v in set(scores):
+        rank = 1 + sum(1 for x in scores if x > v)
+        want[v] = (rank, 1 + (bands * (rank - 1)) // n)
+    assert got == want
+
+
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(min_value=0, max_value=10**9), st.integers(min_value=1, max_value=10**6)),
                 min_size=1, max_size=30))
