@@ -4,7 +4,8 @@
 table: it reads only the partitions the batch touches (partition
 pruning), merges latest-wins per key, stages the result under the batch
 id (so a replayed batch rewrites the same staging folder), and replaces
-just those partitions with dynamic partition overwrite.  Replaying a
+just those partitions with dynamic partition overwrite.  Staging folders
+of earlier, committed batches are deleted, so staging holds one batch.  Replaying a
 batch after an executor or driver loss yields the same table.
 """
 
@@ -33,10 +34,34 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Dat
     return rows.groupBy(*keys).agg(m).select(*keys, *[F.col(f"_m._row.{c}").alias(c) for c in payload])
 
 
+def staging_root(target: str) -> str:
+    return f"{target.rstrip('/')}__staging"
+
+
+def _drop_committed_staging(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Delete the staging folders of batches before ``batch_id``.
+
+    Spark starts batch N only after batch N-1 has committed, so the rows
+    staged by earlier batches are already in the table, and a replay of
+    batch N rewrites its own folder.  The staging area therefore holds at
+    most the current batch instead of growing with the stream's age.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("batch=") and name[6:].isdigit() and int(name[6:]) < batch_id:
+            fs.delete(status.getPath(), True)
+
+
 def upsert_partitions(batch: DataFrame, batch_id: int, target: str, keys: list[str],
                       partition_col: str, order: Callable[[], list[Column]]) -> None:
     """Merge ``batch`` into the Parquet table at ``target`` (see module doc)."""
     spark = batch.sparkSession
+    _drop_committed_staging(spark, staging_root(target), batch_id)
     batch = batch.persist()
     try:
         touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
@@ -48,7 +73,7 @@ def upsert_partitions(batch: DataFrame, batch_id: int, target: str, keys: list[s
             existing = existing.where(F.col(partition_col).isin(touched))
             rows = existing.unionByName(batch.select(*existing.columns))
         merged = latest_per_key(rows, keys, order())
-        staging = f"{target.rstrip('/')}__staging/batch={batch_id}"
+        staging = f"{staging_root(target)}/batch={batch_id}"
         merged.write.mode("overwrite").parquet(staging)
         (spark.read.parquet(staging).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target))

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from stratum.sources import bronze, catalog, sinks
-from stratum.streaming.sinks import upsert_partitions
+from stratum.streaming.sinks import staging_root, upsert_partitions
 
 
 def scratch():
@@ -58,6 +58,7 @@ def test_upsert_batch_replay_is_idempotent(spark):
         return [F.col("commit_ts")]
     upsert_partitions(b0, 0, target, ["id"], "part", order)
     upsert_partitions(b1, 1, target, ["id"], "part", order)
+    assert os.listdir(staging_root(target)) == ["batch=1"]     # committed batch 0 cleaned up
     upsert_partitions(b1, 1, target, ["id"], "part", order)      # replay after a failure
     upsert_partitions(b0, 0, target, ["id"], "part", order)      # late, older batch: must not win
     rows = sorted((r.id, r.op, r.status) for r in spark.read.schema(schema).parquet(target).collect())
