@@ -5,8 +5,8 @@ table: it reads only the partitions the batch touches (partition
 pruning), merges latest-wins per key, stages the result under the batch
 id (so a replayed batch rewrites the same staging folder), and replaces
 just those partitions with dynamic partition overwrite.  Staging folders
-of earlier, committed batches are deleted, so staging holds one batch.  Replaying a
-batch after an executor or driver loss yields the same table.
+of earlier, committed batches are deleted, so staging holds one batch.
+Replaying a batch after an executor or driver loss yields the same table.
 """
 
 from __future__ import annotations
