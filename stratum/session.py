@@ -29,8 +29,11 @@ BASE_CONF = {
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "stratum") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
+    # Catalog databases of local runs go to a fresh folder, not the working directory.
+    warehouse = tempfile.mkdtemp(prefix="stratum-warehouse-", dir="/tmp")
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+               .config("spark.sql.warehouse.dir", warehouse)
                .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEM", "16g")))
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
