@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import chat, pii, quality_rules, secret_scan
+from . import ann, bpe, chat, jaccard_join, language, line_dedup, packing, pii, quality_rules, secret_scan
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +20,33 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.digest(line_dedup.dedup_lines(docs))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(bpe.encode_decode(read_table(spark, sf_dir, "documents")))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.train(docs.filter(~language.held_out(F.col("doc_id"))).select("text", "lang"))
+    found = language.identify(docs, profiles)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pii.digest(pii.detect(docs))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = ann.usable(vectors).filter(F.col("vec_id") % 20 == 0)
+    return ann.search(asked, ann.build_index(vectors))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.quality(read_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in (
@@ -44,8 +70,14 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("learned", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op6_pii, op8_quality_rules, op9_chat_format)}
+    f.__name__: f for f in (
+        op1_packing, op2_secret_scan, op3_line_dedup, op4_bpe, op5_language_id, op6_pii, op7_ann,
+        op8_quality_rules, op9_chat_format, op10_ngram_jaccard)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
