@@ -185,7 +185,7 @@ class LineIndex:
             return texts.map(lambda t: sorted(set(keys_of(t, min_chars)) - {None}))
 
         found = docs.select("doc_id", F.explode(keys(F.col("text").cast("string"))).alias("key"))
-        return found.groupBy("key", "doc_id").agg().select("key", "doc_id")
+        return found.select("key", "doc_id").distinct()
 
     def _recounted(self, refs: DataFrame, touched: DataFrame | None) -> LineIndex:
         """The index with new references; only ``touched`` keys can change."""
