@@ -11,7 +11,6 @@ EVENT_TYPES = ["page_view", "product_view", "search", "add_to_cart",
 SUBSCRIPTION_STATUSES = ["trial", "active", "cancelled", "expired"]
 BILLING_CYCLES = ["monthly", "yearly"]
 INVOICE_STATUSES = ["draft", "sent", "paid", "overdue", "cancelled"]
-PLAN_TYPES = ["starter", "professional", "enterprise"]
 SIGNUP_SOURCES = ["organic", "paid_ad", "referral", "social"]
 PLAN_FEATURES = {
     "enterprise": ["analytics", "api_access", "custom_domain", "priority_support", "sso"],
@@ -19,7 +18,6 @@ PLAN_FEATURES = {
     "starter": ["analytics"],
 }
 TAX_RATE = "0.08"            # order tax applied when rolling items up
-MAX_INVOICES_PER_SUBSCRIPTION = 12
 INVOICE_PERIOD_DAYS = 30
 PRODUCT_MIN_PRICE = "0.01"
 LOW_STOCK_THRESHOLD = 50

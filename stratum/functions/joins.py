@@ -1,47 +1,19 @@
 """Join helpers.
 
-``bounded_broadcast`` broadcasts a dimension only after proving its row
-count is under a limit (a ``limit(n+1).count()`` probe, which stops as soon
-as n+1 rows are seen).  Past the limit the frame is returned unhinted and
-Spark plans a shuffle join, with AQE free to re-plan at run time.
+No join is hinted: Spark broadcasts a side by its size in bytes
+(``spark.sql.autoBroadcastJoinThreshold``, from scan statistics or, with
+AQE, from the measured shuffle output) and shuffles both sides beyond it.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of at most this many narrow rows is broadcast (a few MB).
-DIM_BROADCAST_MAX_ROWS = 200_000
-
-# Probe results per (frame, limit).  Weak keys: a frame's entry goes when the
-# frame does, so a long-running driver does not keep every probed plan alive.
-_checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def fits(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (probed once per frame)."""
-    seen = _checked.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when df provably has <= max_rows rows, else df."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
 
 def tenant_dim(tenants: DataFrame, *cols: str) -> DataFrame:
-    """(tenant_id, tenant_<col>...) projection of the tenant table, broadcast if bounded.
-
-    The size probe runs on the full tenant table, so every projection of
-    it shares one check.
-    """
+    """(tenant_id, tenant_<col>...) projection of the tenant table."""
     exprs = [F.col("id").alias("tenant_id")]
     for c in cols:
         exprs.append(F.col(c).alias("tenant_name" if c == "name" else c))
-    proj = tenants.select(*exprs)
-    return F.broadcast(proj) if fits(tenants) else proj
+    return tenants.select(*exprs)

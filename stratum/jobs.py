@@ -3,7 +3,7 @@
 These are the runnable counterparts of the reference's ETL scripts (one
 Bronze->Silver job per table, four Gold jobs), built from the operators:
 
-    python -m stratum.jobs bronze-to-silver --bronze ROOT --silver ROOT --entity order [--mode merge]
+    python -m stratum.jobs bronze-to-silver --bronze ROOT --silver ROOT --entity order [--mode insert_only]
                                             [--database DB --buckets N]
     python -m stratum.jobs silver-to-gold --silver ROOT --gold ROOT --job revenue [--database DB]
 
@@ -46,12 +46,12 @@ def silver_table_path(root: str, entity: str) -> str:
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity: str,
-                     mode: str = "insert_only", database: str | None = None,
+                     mode: str = "merge", database: str | None = None,
                      buckets: int | None = None) -> dict[str, int]:
     """Type one table's Bronze change files into its Silver table.
 
-    Reads the full-load and change folders together (A2, A3), keeps
-    inserts (B1) or applies I/U/D latest-wins (B2), types and parses the
+    Reads the full-load and change folders together (A2, A3), applies I/U/D
+    latest-wins (B2) or, if asked, keeps inserts only (B1), types and parses the
     rows (B3-B10), and writes Silver (A6/A7).  With ``database`` and
     ``buckets``, orders and order items are instead saved as catalog
     tables bucketed by order id (co-located for Gold joins).  Returns the
@@ -146,7 +146,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--bronze", required=True)
     b.add_argument("--silver", required=True)
     b.add_argument("--entity", choices=ENTITIES, action="append", required=True)
-    b.add_argument("--mode", choices=("insert_only", "merge"), default="insert_only")
+    b.add_argument("--mode", choices=("merge", "insert_only"), default="merge")
     b.add_argument("--database", help="catalog database for bucketed Silver orders / order items")
     b.add_argument("--buckets", type=int, help="bucket count (with --database)")
     g = sub.add_parser("silver-to-gold")

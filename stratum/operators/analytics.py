@@ -61,15 +61,14 @@ def revenue_by_tenant(orders: DataFrame, tenants: DataFrame) -> DataFrame:
     """D5q: completed orders per tenant name: distinct orders, revenue, AOV.
 
     The saved query's LEFT JOIN + WHERE on the order side is an inner join
-    (defect D12); it is written as one.  COUNT(DISTINCT id) is computed as a
-    count after per-(tenant, id) de-duplication.
+    (defect D12); it is written as one.  Order ids are unique after the merge
+    (B2; E5 checks it), so COUNT(DISTINCT id) is a plain count and no order is
+    shuffled by its id.
     """
     done = orders.where(F.col("status") == "completed")
-    lvl1 = (done.groupBy("tenant_id", "id")
-            .agg(F.sum("total").alias("_s"), F.count("total").alias("_n")))
-    per_tenant = (lvl1.groupBy("tenant_id")
-                  .agg(F.count("id").alias("order_count"), F.sum("_s").alias("_sum"),
-                       F.sum("_n").alias("_n")))
+    per_tenant = (done.groupBy("tenant_id")
+                  .agg(F.count("id").alias("order_count"), F.sum("total").alias("_sum"),
+                       F.count("total").alias("_n")))
     return (per_tenant.join(tenant_dim(tenants, "name"), "tenant_id")
             .groupBy("tenant_name")
             .agg(F.sum("order_count").alias("order_count"), F.sum("_sum").alias("_sum"),

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import domains
 from ..functions.dates import month_of
 from ..functions.joins import tenant_dim
 from ..functions.money import cents, div_round_half_up, money_ratio
@@ -111,7 +112,8 @@ def top_products_by_revenue(performance: DataFrame, n: int = 100) -> DataFrame:
     return performance.orderBy(F.col("total_revenue").desc(), "tenant_id", "product_id").limit(n)
 
 
-def low_stock_alert(products: DataFrame, tenants: DataFrame, threshold: int = 50) -> DataFrame:
+def low_stock_alert(products: DataFrame, tenants: DataFrame,
+                    threshold: int = domains.LOW_STOCK_THRESHOLD) -> DataFrame:
     """Products with stock strictly below the threshold (NULL stock excluded)."""
     return (products.where(F.col("stock_quantity") < threshold)
             .join(tenant_dim(tenants, "name"), "tenant_id")

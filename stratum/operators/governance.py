@@ -2,7 +2,7 @@
 
 Row-level tenant scoping is a semi-join against a grants table, so the
 filter is planned like any other join (and pushed below aggregations by
-Catalyst); the grants side is broadcast only after a size probe.
+Catalyst), and Spark chooses its strategy from the measured sizes.
 Column masking uses built-in string and hash functions.
 """
 
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded_broadcast
 from ..operators.silver import phone_standardize
 
 
@@ -27,7 +26,7 @@ def tenant_grants(tenants: DataFrame) -> DataFrame:
 def tenant_scope(df: DataFrame, grants: DataFrame, principal: str) -> DataFrame:
     """H1: rows of ``df`` whose tenant the principal is granted."""
     allowed = grants.where(F.col("principal") == principal).select("tenant_id")
-    return df.join(bounded_broadcast(allowed), "tenant_id", "left_semi")
+    return df.join(allowed, "tenant_id", "left_semi")
 
 
 def mask_email(email: Column) -> Column:
@@ -41,11 +40,17 @@ def mask_phone(phone: Column) -> Column:
     return F.concat(F.repeat(F.lit("*"), F.greatest(F.length(d) - 4, F.lit(0))), F.right(d, F.lit(4)))
 
 
-def pii_mask(customers: DataFrame, role: str) -> DataFrame:
-    """H2: customer contact data as a role may see it (``admin`` sees it in clear)."""
+def pii_mask(customers: DataFrame, role: str, hash_key: str) -> DataFrame:
+    """H2: customer contact data as a role may see it (``admin`` sees it in clear).
+
+    ``email_hash`` joins records without showing the address; it is keyed
+    (HMAC-like, key before and after), so a list of known addresses does not
+    reverse it without ``hash_key``, which stays with the data owner.
+    """
     if role == "admin":
         email, phone = F.col("email"), F.col("phone")
     else:
         email, phone = mask_email(F.col("email")), mask_phone(F.col("phone"))
     return customers.select("id", "tenant_id", email.alias("email"), phone.alias("phone"),
-                            F.sha2(F.col("email"), 256).alias("email_hash"))
+                            F.sha2(F.concat(F.lit(hash_key), F.sha2(F.concat(F.lit(hash_key), F.col("email")), 256)), 256)
+                            .alias("email_hash"))

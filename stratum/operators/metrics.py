@@ -40,19 +40,24 @@ def revenue_daily(orders: DataFrame) -> DataFrame:
                     _avg_cents(F.col("_s"), F.col("_nt")).alias("avg_order_value")))
 
 
+def _with_previous(agg: DataFrame, key: str, period: str, step: int) -> DataFrame:
+    """``prev_revenue`` of the calendar period ``step`` months before, if there is one."""
+    w = Window.partitionBy(key).orderBy(period)
+    follows = F.lag(period).over(w) == F.add_months(F.col(period), -step)
+    return agg.withColumn("prev_revenue", F.when(follows, F.lag("revenue").over(w)))
+
+
 def revenue_growth(orders: DataFrame, period: str = "month") -> DataFrame:
     """revenue per tenant and period with growth over the previous calendar period.
 
-    The previous period is matched by an equi-join of the per-period
-    aggregate on (tenant, period - 1), so a gap month yields NULL growth
-    rather than comparing with an older month.
+    ``lag`` over the small per-period aggregate, taken only when the row
+    before is the calendar period before, so a gap month yields NULL growth
+    rather than comparing with an older month.  Orders are read once.
     """
     bucket, step = (month_of, 1) if period == "month" else (quarter_of, 3)
     agg = (_completed(orders).groupBy("tenant_id", bucket("order_date").alias("period"))
            .agg(F.sum("total").alias("revenue")))
-    prev = agg.select("tenant_id", F.add_months("period", step).alias("period"),
-                      F.col("revenue").alias("prev_revenue"))
-    return (agg.join(prev, ["tenant_id", "period"], "left")
+    return (_with_previous(agg, "tenant_id", "period", step)
             .select("tenant_id", "period", F.col("revenue").cast("double").alias("revenue"),
                     F.col("prev_revenue").cast("double").alias("prev_revenue"),
                     pct(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
@@ -86,9 +91,7 @@ def category_trends(items: DataFrame, orders: DataFrame, products: DataFrame) ->
            .agg(F.sum("total").alias("_r")))
     p = products.select(F.col("id").alias("product_id"), "category")
     agg = per.join(p, "product_id").groupBy("category", "month").agg(F.sum("_r").alias("revenue"))
-    prev = agg.select("category", F.add_months("month", 1).alias("month"),
-                      F.col("revenue").alias("prev_revenue"))
-    return (agg.join(prev, ["category", "month"], "left")
+    return (_with_previous(agg, "category", "month", 1)
             .select("category", "month", F.col("revenue").cast("double").alias("revenue"),
                     F.col("prev_revenue").cast("double").alias("prev_revenue"),
                     pct(F.col("revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
@@ -108,19 +111,19 @@ def customer_snapshot(customers: DataFrame, as_of: str, days: int = 30) -> DataF
 def retention_cohorts(orders: DataFrame) -> DataFrame:
     """cohort (month of first completed order) x months since: active customers, rate.
 
-    Orders are first reduced to distinct (customer, month) pairs, so the
-    join back to each customer's cohort carries at most one row per
-    customer-month however many orders a customer places.
+    One scan: a customer's distinct months become one set (at most as many as
+    there are months), whose least month is the cohort.  Month 0 of a cohort
+    holds all its customers, so its count is the cohort's size.
     """
-    cm = (_completed(orders).select("customer_id", month_of("order_date").alias("month"))
-          .dropDuplicates())
-    cohort = cm.groupBy("customer_id").agg(F.min("month").alias("cohort_month"))
-    sizes = cohort.groupBy("cohort_month").agg(F.count("customer_id").alias("cohort_size"))
-    active = (cm.join(cohort, "customer_id")
+    months = (_completed(orders).groupBy("customer_id")
+              .agg(F.collect_set(month_of("order_date")).alias("months")))
+    active = (months.select(F.array_min("months").alias("cohort_month"), F.explode("months").alias("month"))
               .groupBy("cohort_month",
                        F.months_between("month", "cohort_month").cast("int").alias("months_since"))
-              .agg(F.count("customer_id").alias("active_customers")))
-    return (active.join(sizes, "cohort_month")
+              .agg(F.count(F.lit(1)).alias("active_customers")))
+    size = F.max(F.when(F.col("months_since") == 0, F.col("active_customers"))).over(
+        Window.partitionBy("cohort_month"))
+    return (active.withColumn("cohort_size", size)
             .select("cohort_month", "months_since", "active_customers", "cohort_size",
                     ratio(F.col("active_customers"), F.col("cohort_size")).alias("retention_rate")))
 
@@ -155,9 +158,8 @@ def funnel_hourly(events: DataFrame) -> DataFrame:
 
 
 def _session_flags(events: DataFrame) -> DataFrame:
-    return (events.groupBy("session_id")
-            .agg(F.max("tenant_id").alias("tenant_id"),
-                 *[F.max(F.col("event_type") == s).alias(s) for s in domains.FUNNEL_STEPS]))
+    return (events.groupBy("tenant_id", "session_id")
+            .agg(*[F.max(F.col("event_type") == s).alias(s) for s in domains.FUNNEL_STEPS]))
 
 
 def funnel_conversion(events: DataFrame) -> DataFrame:
@@ -191,7 +193,7 @@ def cart_abandonment(events: DataFrame) -> DataFrame:
 
 def session_duration_trend(events: DataFrame) -> DataFrame:
     """sessions per day (of session start) and their mean duration in seconds."""
-    s = (events.groupBy("session_id")
+    s = (events.groupBy("tenant_id", "session_id")
          .agg(F.min("created_at").alias("_start"), F.max("created_at").alias("_end")))
     return (s.groupBy(day_of("_start").alias("day"))
             .agg(F.count("session_id").alias("sessions"),
@@ -311,23 +313,37 @@ def subscription_churn(subs: DataFrame) -> DataFrame:
     Active at the start of M: start_date < M and (end_date >= M or open).
     Instead of a range join of a month spine against subscriptions, each
     subscription adds +1 at the month after it starts and -1 at the month
-    after it ends; a running sum over the (small) month spine gives the
-    active count.  Churned in M: cancelled/expired with end_date in M.
+    after it ends, and one churn at its last month; one scan emits these
+    changes and sums them per month.  Months without a change are filled in
+    between the rows that ``lead`` finds, so only months are ever windowed.
     """
-    starts = subs.select(F.add_months(month_of("start_date"), 1).alias("month"), F.lit(1).alias("d"))
-    ends = (subs.where(F.col("end_date").isNotNull())
-            .select(F.add_months(month_of("end_date"), 1).alias("month"), F.lit(-1).alias("d")))
-    delta = starts.unionByName(ends).groupBy("month").agg(F.sum("d").alias("delta"))
-    churn = (subs.where(F.col("status").isin("cancelled", "expired") & F.col("end_date").isNotNull())
-             .groupBy(month_of("end_date").alias("month")).agg(F.count("id").alias("churned")))
-    bounds = subs.agg(F.min(month_of("start_date")).alias("lo"),
-                      F.max(month_of(F.coalesce("end_date", "start_date"))).alias("hi"))
-    spine = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"))
-    w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-    return (spine.join(delta, "month", "left").join(churn, "month", "left")
-            .select("month",
-                    F.sum(F.coalesce("delta", F.lit(0))).over(w).alias("active_at_start"),
-                    F.coalesce(F.col("churned"), F.lit(0)).alias("churned"))
+    first, last = month_of("start_date"), month_of("end_date")
+    gone = F.col("status").isin("cancelled", "expired") & F.col("end_date").isNotNull()
+
+    def change(month: Column, delta: Column | int, churned: Column | int, inside: bool) -> Column:
+        as_long = [x if isinstance(x, Column) else F.lit(x) for x in (delta, churned)]
+        return F.struct(month.alias("month"), as_long[0].cast("long").alias("delta"),
+                        as_long[1].cast("long").alias("churned"), F.lit(inside).alias("inside"))
+
+    # Months after the last start or end only carry deltas: they are no rows of the result.
+    changes = F.array(
+        change(first, 0, 0, True), change(F.add_months(first, 1), 1, 0, False),
+        change(F.coalesce(last, first), 0, gone.cast("int"), True),
+        change(F.add_months(last, 1), F.when(last.isNotNull(), -1).otherwise(0), 0, False))
+    per = (subs.select(F.explode(changes).alias("c")).select("c.*").where(F.col("month").isNotNull())
+           .groupBy("month").agg(F.sum("delta").alias("delta"), F.sum("churned").alias("churned"),
+                                 F.max("inside").alias("inside")))
+    w = Window.orderBy("month")
+    whole = Window.partitionBy()
+    spread = (per.withColumn("active_at_start", F.sum("delta").over(w))
+              .withColumn("next", F.lead("month").over(w))
+              .withColumn("hi", F.max(F.when(F.col("inside"), F.col("month"))).over(whole))
+              .where(F.col("month") <= F.col("hi"))
+              .withColumn("until", F.least(F.coalesce(F.add_months("next", -1), F.col("hi")), F.col("hi"))))
+    return (spread.select(F.explode(F.sequence("month", "until", F.expr("INTERVAL 1 MONTH"))).alias("m"),
+                          "month", "active_at_start", "churned")
+            .select(F.col("m").alias("month"), "active_at_start",
+                    F.when(F.col("m") == F.col("month"), F.col("churned")).otherwise(0).alias("churned"))
             .withColumn("churn_rate", ratio(F.col("churned"), F.col("active_at_start"))))
 
 

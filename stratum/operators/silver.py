@@ -402,13 +402,13 @@ def event_sessionize(events: DataFrame, actor: str = "customer_id",
 
 
 def session_metrics(events: DataFrame) -> DataFrame:
-    """Per session id: start, end, duration, events, bounce, converted."""
-    return (events.groupBy("session_id")
+    """Per tenant and session id: start, end, duration, events, bounce, converted."""
+    return (events.groupBy("tenant_id", "session_id")
             .agg(F.min("created_at").alias("session_start"),
                  F.max("created_at").alias("session_end"),
                  F.count(F.lit(1)).alias("event_count"),
                  F.max(F.col("event_type") == "purchase").alias("converted"))
-            .select("session_id", "session_start", "session_end",
+            .select("tenant_id", "session_id", "session_start", "session_end",
                     (F.timestamp_diff("MICROSECOND", F.col("session_start"), F.col("session_end"))
                      / 1_000_000).alias("duration_seconds"),
                     "event_count", (F.col("event_count") == 1).alias("is_bounce"), "converted"))
@@ -471,20 +471,23 @@ def product_enrich_validate(products: DataFrame) -> DataFrame:
                            F.coalesce(valid, F.lit(False)).alias("is_valid"))
 
 
-def invoice_schedule(subscriptions: DataFrame, as_of: str | None = None) -> DataFrame:
+def invoice_schedule(subscriptions: DataFrame, as_of: str | None = None,
+                     max_invoices: int | None = None) -> DataFrame:
     """One row per invoice a subscription generates.
 
     Invoices start at ``start_date`` and repeat every 30 days while the
     issue date is on or before the end date (``as_of`` for open-ended
-    subscriptions), at most 12 per subscription.  Expressed as a bounded
-    ``sequence`` + ``explode``: no join, no shuffle, <= 12 rows out per row in.
+    subscriptions), all of them unless ``max_invoices`` says otherwise (the
+    application's seeder stops at 12).  A ``sequence`` + ``explode`` per row: no
+    join, no shuffle.
     """
     period = domains.INVOICE_PERIOD_DAYS
-    cap = domains.MAX_INVOICES_PER_SUBSCRIPTION - 1
     end = F.col("end_date")
     if as_of is not None:
         end = F.coalesce(end, F.lit(as_of).cast("date"))
-    last_k = F.least(F.lit(cap), F.floor(F.datediff(end, F.col("start_date")) / period).cast("int"))
+    last_k = F.floor(F.datediff(end, F.col("start_date")) / period).cast("int")
+    if max_invoices is not None:
+        last_k = F.least(F.lit(max_invoices - 1), last_k)
     return (subscriptions
             .select(F.col("id").alias("subscription_id"), "customer_id", "tenant_id",
                     F.col("status").alias("sub_status"), "start_date",

@@ -101,8 +101,8 @@ register("funnel_hourly", "F7", with_fixtures(
     lambda s: M.funnel_hourly(s.event))
 
 _STEPS = ["page_view", "product_view", "add_to_cart", "checkout", "purchase"]
-_FLAGS = ("SELECT session_id, " + ", ".join(
-    f"bool_or(event_type = '{t}') AS {t}" for t in _STEPS) + " FROM t_event GROUP BY session_id")
+_FLAGS = ("SELECT tenant_id, session_id, " + ", ".join(
+    f"bool_or(event_type = '{t}') AS {t}" for t in _STEPS) + " FROM t_event GROUP BY tenant_id, session_id")
 _REACH = " UNION ALL ".join(
     f"SELECT {i + 1} AS step_no, '{t}' AS step, count(*) FILTER (WHERE "
     + " AND ".join(_STEPS[:i + 1]) + ") AS sessions FROM flags" for i, t in enumerate(_STEPS))
@@ -118,15 +118,16 @@ SELECT tenant_id, count(*) FILTER (WHERE cart) AS cart_sessions,
        count(*) FILTER (WHERE cart AND NOT bought) AS abandoned_sessions,
        {_ratio("count(*) FILTER (WHERE cart AND NOT bought)", "count(*) FILTER (WHERE cart)")}
          AS abandonment_rate
-FROM (SELECT session_id, max(tenant_id) AS tenant_id, bool_or(event_type = 'add_to_cart') AS cart,
+FROM (SELECT session_id, tenant_id, bool_or(event_type = 'add_to_cart') AS cart,
              bool_or(event_type = 'purchase') AS bought
-      FROM t_event GROUP BY session_id) GROUP BY tenant_id"""))(
+      FROM t_event GROUP BY tenant_id, session_id) GROUP BY tenant_id"""))(
     lambda s: M.cart_abandonment(s.event))
 
 register("session_duration_trend", "F10", with_fixtures("""
 SELECT cast(st AS date) AS day, count(*) AS sessions,
        cast(sum(date_diff('microsecond', st, en)) AS double) / count(*) / 1000000 AS avg_duration_seconds
-FROM (SELECT session_id, min(created_at) AS st, max(created_at) AS en FROM t_event GROUP BY session_id)
+FROM (SELECT tenant_id, session_id, min(created_at) AS st, max(created_at) AS en
+      FROM t_event GROUP BY tenant_id, session_id)
 GROUP BY cast(st AS date)"""))(
     lambda s: M.session_duration_trend(s.event))
 

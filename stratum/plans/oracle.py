@@ -65,7 +65,7 @@ SELECT cast(o_orderkey AS varchar) AS id, cast(c_nationkey AS varchar) AS tenant
        cast(o_totalprice AS decimal(10,2)) AS total,
        o_orderdate AS order_date,
        o_orderkey AS okey
-FROM orders JOIN customer ON o_custkey = c_custkey""",
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "t_item": """
 SELECT concat_ws('-', cast(l_orderkey AS varchar), cast(l_linenumber AS varchar), cast(l_partkey AS varchar),
                  cast(l_suppkey AS varchar), cast(cast(l_extendedprice AS decimal(12,2)) AS varchar)) AS id,
@@ -75,7 +75,7 @@ SELECT concat_ws('-', cast(l_orderkey AS varchar), cast(l_linenumber AS varchar)
        cast(cast(round(l_discount * 100) AS integer) AS decimal(10,2)) AS discount,
        cast(cast(p_retailprice AS decimal(10,2)) * cast(l_quantity AS integer)
             - cast(cast(round(l_discount * 100) AS integer) AS decimal(10,2)) AS decimal(10,2)) AS total
-FROM lineitem JOIN part ON l_partkey = p_partkey""",
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "t_event": """
 SELECT cast(event_id AS varchar) AS id, cast(c_nationkey AS varchar) AS tenant_id,
        CASE WHEN event_id % 10 >= 7 THEN NULL ELSE cast(user_id AS varchar) END AS customer_id,
@@ -83,11 +83,11 @@ SELECT cast(event_id AS varchar) AS id, cast(c_nationkey AS varchar) AS tenant_i
             WHEN 'signup' THEN 'add_to_cart' WHEN 'error' THEN 'checkout'
             WHEN 'purchase' THEN 'purchase' END AS event_type,
        props AS event_data,
-       cast(user_id AS varchar) || '-' || cast(cast(ts AS date) AS varchar) AS session_id,
+       cast(user_id % 97 AS varchar) || '-' || cast(cast(ts AS date) AS varchar) AS session_id,
        cast(10 + user_id % 200 AS varchar) || '.' || cast(event_id % 256 AS varchar) || '.7.9' AS ip_address,
        ts AS created_at,
        user_id AS uid
-FROM events JOIN customer ON user_id = c_custkey""",
+FROM events LEFT JOIN customer ON user_id = c_custkey""",
     "t_sub": """
 SELECT 'S' || c_custkey AS id, cast(c_nationkey AS varchar) AS tenant_id,
        cast(c_custkey AS varchar) AS customer_id, c_custkey AS ckey,
@@ -102,14 +102,13 @@ SELECT 'S' || c_custkey AS id, cast(c_nationkey AS varchar) AS tenant_id,
        cast(CASE c_custkey % 4 WHEN 0 THEN 9.99 WHEN 1 THEN 29.99 WHEN 2 THEN 99.99
             ELSE 299.99 END AS decimal(10,2)) AS monthly_amount,
        CASE WHEN c_custkey % 2 = 0 THEN 'monthly' ELSE 'yearly' END AS billing_cycle
-FROM customer WHERE c_custkey % 10 IN (4, 7, 9)""",
+FROM customer""",
     "t_invoice_k": """
 SELECT s.id AS subscription_id, s.tenant_id, s.customer_id, s.ckey, s.status AS sub_status,
        s.monthly_amount AS amount, k.k AS k,
        (s.ckey * 7 + k.k * 13) % 20 AS h,
        cast(s.start_date + cast(30 * k.k AS integer) AS date) AS issue_date
-FROM t_sub s CROSS JOIN (SELECT range AS k FROM range(0, 12)) k
-WHERE s.start_date + cast(30 * k.k AS integer) <= s.end_date""",
+FROM t_sub s JOIN LATERAL (SELECT unnest(range(0, date_diff('day', s.start_date, s.end_date) // 30 + 1)) AS k) k ON true""",
     "t_invoice": """
 SELECT subscription_id || '-' || k AS id, tenant_id, customer_id, subscription_id,
        'INV-' || subscription_id || '-' || k AS invoice_number, amount, k,

@@ -241,11 +241,11 @@ GROUP BY customer_id, cast(session_no AS bigint)"""))(
     lambda s: silver.event_sessionize(s.event.withColumn("id", F.col("id").cast("bigint"))))
 
 register("session_metrics", "B24", with_fixtures("""
-SELECT session_id, min(created_at) AS session_start, max(created_at) AS session_end,
+SELECT tenant_id, session_id, min(created_at) AS session_start, max(created_at) AS session_end,
        date_diff('microsecond', min(created_at), max(created_at)) / 1000000 AS duration_seconds,
        count(*) AS event_count, count(*) = 1 AS is_bounce,
        bool_or(event_type = 'purchase') AS converted
-FROM t_event GROUP BY session_id"""))(
+FROM t_event GROUP BY tenant_id, session_id"""))(
     lambda s: silver.session_metrics(s.event))
 
 register("ip_anonymize", "B25", with_fixtures("""

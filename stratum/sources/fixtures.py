@@ -118,7 +118,7 @@ class Shop:
         status = ("CASE WHEN o_orderkey % 20 = 0 THEN 'cancelled' WHEN o_orderkey % 20 = 1 THEN 'pending' "
                   "WHEN o_orderkey % 20 < 4 THEN 'processing' ELSE 'completed' END")
         pay = "element_at(array('credit_card', 'paypal', 'bank_transfer'), cast(o_orderkey % 3 AS int) + 1)"
-        return (o.join(c, o.o_custkey == c.c_custkey)
+        return (o.join(c, o.o_custkey == c.c_custkey, "left")
                 .selectExpr("o_orderkey", "o_custkey", "c_nationkey", "o_orderdate",
                             f"{status} AS status",
                             "cast(o_totalprice AS decimal(10,2)) AS total",
@@ -146,7 +146,7 @@ class Shop:
         li = self._t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
         p = self._t("part").select("p_partkey", "p_retailprice")
-        return (li.join(p, li.l_partkey == p.p_partkey)
+        return (li.join(p, li.l_partkey == p.p_partkey, "left")
                 .selectExpr("*", "cast(p_retailprice AS decimal(10,2)) AS unit_price",
                             "cast(l_quantity AS int) AS quantity",
                             "cast(cast(round(l_discount * 100) AS int) AS decimal(10,2)) AS discount")
@@ -166,12 +166,12 @@ class Shop:
         c = self._t("customer").select("c_custkey", "c_nationkey")
         etype = "CASE event_type " + " ".join(
             f"WHEN '{k}' THEN '{v}'" for k, v in domains.DRIVER_EVENT_MAP.items()) + " END"
-        return (e.join(c, e.user_id == c.c_custkey)
+        return (e.join(c, e.user_id == c.c_custkey, "left")
                 .selectExpr(
                     "cast(event_id AS string) AS id",
                     f"{etype} AS event_type",
                     "props AS event_data",
-                    "user_id || '-' || cast(cast(ts AS date) AS string) AS session_id",
+                    "(user_id % 97) || '-' || cast(cast(ts AS date) AS string) AS session_id",
                     "(10 + user_id % 200) || '.' || (event_id % 256) || '.7.9' AS ip_address",
                     "'Mozilla/5.0 (fixture ' || (user_id % 5) || ')' AS user_agent",
                     "ts AS created_at",
@@ -186,7 +186,6 @@ class Shop:
         status = ("CASE WHEN c_custkey % 20 < 14 THEN 'active' WHEN c_custkey % 20 < 16 THEN 'trial' "
                   "WHEN c_custkey % 20 < 19 THEN 'cancelled' ELSE 'expired' END")
         return (self._t("customer").select("c_custkey", "c_nationkey")
-                .where("c_custkey % 10 IN (4, 7, 9)")
                 .selectExpr("*", f"{status} AS status",
                             "date_add(date '1998-01-01', cast(c_custkey % 181 AS int)) AS start_date")
                 .selectExpr(

@@ -23,12 +23,6 @@ def test_no_cartesian_no_python_udf(spark, key):
         assert bad not in text, f"{key}: {bad}"
 
 
-def test_tenant_dimension_is_broadcast(spark):
-    df = QUERIES["revenue_by_tenant_monthly"](spark, SMALL)
-    df.write.format("noop").mode("overwrite").save()
-    assert "BroadcastHashJoin" in plan_text(df)
-
-
 def test_scan_is_pruned_and_filtered(spark):
     df = QUERIES["low_stock_alert"](spark, SMALL)
     text = df._jdf.queryExecution().executedPlan().toString()
@@ -36,18 +30,6 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "p_brand" not in text and "p_size" not in text
 
 
-def test_bounded_broadcast_falls_back_over_limit(spark):
-    from pyspark.sql import functions as F
-
-    from stratum.functions.joins import bounded_broadcast
-    big = spark.range(0, 1000).withColumn("k", F.col("id"))
-    small = spark.range(0, 10).withColumn("k", F.col("id"))
-    j1 = big.join(bounded_broadcast(small, max_rows=100), "k")
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower()
-    j2 = big.join(bounded_broadcast(big.select("k"), max_rows=100), "k")
-    assert "broadcast" not in j2._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_merge_uses_aggregate_not_window(spark, shop):
     from stratum.operators import silver
     df = silver.cdc_merge_latest(shop.order_changes())
