@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 from .components import components
+from .tokens import Generations
 
 WORDS, THRESHOLD = 5, 75        # words in a shingle; similarity in percent
 STARS = 4                       # hash orders of the first round
@@ -70,26 +71,17 @@ def mix(h: np.ndarray, salt: np.uint64) -> np.ndarray:
 class Shingler:
     """Texts to sorted arrays of distinct shingle hashes."""
 
-    def __init__(self, words: int = WORDS, most: int = 300_000):
-        self.words, self.most, self.known = words, most, {}
-
-    def _hashes(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            if len(known) > self.most:
-                known.clear()
-            for w in set(words) - known.keys():
-                known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-            return np.array([known[w] for w in words], np.uint64)
+    def __init__(self, words: int = WORDS):
+        self.words = words
+        self.known = Generations(lambda new: [
+            int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") for w in new])
 
     def shingles(self, text: str | None) -> np.ndarray:
         # On bytes, lower() and split() know ASCII letters and white space only.
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.empty(0, np.uint64)
-        h = self._hashes(words)
+        h = np.array(self.known.lookup(words), np.uint64)
         k = min(self.words, len(h))
         with np.errstate(over="ignore"):
             acc = h[:len(h) - k + 1].copy()

@@ -2,8 +2,9 @@
 
 White space never enters a token of the vocabularies used here and never joins
 what stands on its two sides, so a text's ids are those of its white-space
-separated chunks, one after the other.  Each distinct chunk is encoded once per
-worker, until the memory is full and starts anew.
+separated chunks, one after the other.  A worker remembers the chunks it has
+encoded in two generations of bounded size; the older one is dropped when the
+newer one is full, so frequent chunks stay known.
 """
 
 from __future__ import annotations
@@ -32,35 +33,47 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+class Generations:
+    """A bounded memory of ``make(keys) -> values`` (see module doc)."""
+
+    def __init__(self, make: Callable[[list], Iterable], most: int = 600_000):
+        self.make, self.most = make, most
+        self.known: dict = {}
+        self.older: dict = {}
+
+    def lookup(self, keys: list) -> list:
+        """The value of every key, in order."""
+        try:
+            return list(map(self.known.__getitem__, keys))
+        except KeyError:
+            pass
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        new = []
+        for k in set(keys).difference(self.known):
+            value = self.older.get(k)
+            if value is None:
+                new.append(k)
+            else:
+                self.known[k] = value
+        self.known.update(zip(new, self.make(new), strict=True))
+        return list(map(self.known.__getitem__, keys))
+
+
 class ChunkCache:
     """Texts to ids (uint32) through ``encode_many``, which maps chunks to ids."""
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]], most: int = 300_000):
-        self.encode_many, self.most = encode_many, most
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: Iterable[str]) -> None:
-        new = list(chunks)
-        for c, ids in zip(new, self.encode_many(new), strict=True):
-            self.known[c] = np.asarray(ids, "<u4").tobytes()
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]]):
+        self.chunks = Generations(lambda new: [np.asarray(i, "<u4").tobytes() for i in encode_many(new)])
 
     def ids(self, texts: list[str], part: int = 50_000) -> list[np.ndarray]:
-        return [self._one(t, part) for t in texts]
-
-    def _one(self, text: str, part: int) -> np.ndarray:
-        chunks, out = chunks_of(text), []
-        for i in range(0, len(chunks), part):
-            some = chunks[i:i + part]
-            try:
-                out.append(b"".join(map(self.known.__getitem__, some)))
-                continue
-            except KeyError:
-                pass
-            if len(self.known) > self.most:
-                self.known.clear()
-            self._learn(set(some) - self.known.keys())
-            out.append(b"".join(map(self.known.__getitem__, some)))
-        return np.frombuffer(b"".join(out), "<u4")
+        """Ids of each text; a long text is looked up ``part`` chunks at a time."""
+        out = []
+        for text in texts:
+            chunks = chunks_of(text)
+            found = [b"".join(self.chunks.lookup(chunks[i:i + part])) for i in range(0, len(chunks), part)]
+            out.append(np.frombuffer(found[0] if len(found) == 1 else b"".join(found), "<u4"))
+        return out
 
 
 _LIBRARY: dict[str, ChunkCache] = {}
