@@ -8,9 +8,10 @@ order, so a pair must pass under every order used, and the filters are
 intersected before a pair is verified exactly.
 
 Orders: the rarest shingles first, by a sketch of their frequencies, ties by a
-hash - a different one in each order.  The sketch is a table of 2^20 counters
-of hashed shingles (1 MB when it travels), whatever the corpus; it decides how
-well the filters work, never what is right.
+hash - a different one in each order.  The sketch is a table of 2^22 counters
+of hashed shingles (4 MB when it travels), whatever the corpus; it decides how
+well the filters work, never what is right.  For corpora whose shingles are
+many more than its counters, raise ``SKETCH_BITS``.
 
 Texts with equal sets are one class.  The join works in two rounds:
 
@@ -20,8 +21,10 @@ Texts with equal sets are one class.  The join works in two rounds:
    however large a group is.  Verified pairs link, and give components.
 2. *Prefixes.*  Shingles of prefixes held by classes of two or more components
    are joined, and only pairs across components are made: within a component
-   another link changes nothing.  All such pairs are filtered and verified, so
-   no link between components is missed.
+   another link changes nothing.  The number and the places of the shared
+   prefix shingles bound the overlap; pairs that can reach the threshold pass
+   the filter of the second order and are verified, so no link between
+   components is missed.
 
 Rounds never emit all pairs of a group, and shingles of a single class - nearly
 all - leave after one exchange of packed arrays, deduplicated per task first.
@@ -46,11 +49,10 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 from .components import components
-from .tokens import Generations
 
 WORDS, THRESHOLD = 5, 75        # words in a shingle; similarity in percent
 STARS = 4                       # hash orders of the first round
-SKETCH_BITS, CHUNK_BITS = 20, 14
+SKETCH_BITS, CHUNK_BITS = 22, 16
 BITMAP_BITS = 23                # of the documents whose sets are wanted
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [np.uint64(int.from_bytes(hashlib.blake2b(b"order %d" % i, digest_size=8).digest(), "little"))
@@ -68,26 +70,68 @@ def mix(h: np.ndarray, salt: np.uint64) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+# Of every byte: its lower case (ASCII only), whether it is white space, a random weight.
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_WEIGHT = mix(np.arange(256, dtype=np.uint64), np.uint64(0x5DEECE66D))[_LOWER]
+_BACK = np.uint64(pow(int(_ODD), -1, 1 << 64))
+SEGMENT = 1 << 18               # bytes of a text that are hashed at a time
+
+
 class Shingler:
-    """Texts to sorted arrays of distinct shingle hashes."""
+    """Texts to sorted arrays of distinct shingle hashes.
+
+    A word's hash is the sum of its bytes' weights times powers of an odd
+    number, taken from running sums over the text and brought to the word's
+    start by the inverse power, all modulo 2^64: no loop over words.
+    """
 
     def __init__(self, words: int = WORDS):
         self.words = words
-        self.known = Generations(lambda new: [
-            int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") for w in new])
+        self.powers = self.back = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) < n:
+            with np.errstate(over="ignore"):
+                step = np.full(n, _ODD), np.full(n, _BACK)
+                step[0][0] = step[1][0] = 1
+                self.powers, self.back = np.cumprod(step[0]), np.cumprod(step[1])
+
+    def _segments(self, raw: np.ndarray):
+        """The text in pieces that end between words."""
+        at = 0
+        while at < len(raw):
+            end = at + SEGMENT
+            while end < len(raw) and not _IS_SPACE[raw[end]]:
+                after = np.flatnonzero(_IS_SPACE[raw[end:end + SEGMENT]])
+                end += int(after[0]) if len(after) else SEGMENT
+            yield raw[at:end]
+            at = end
+
+    def word_hashes(self, text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        out = []
+        for part in self._segments(raw):
+            inside = np.concatenate(([False], ~_IS_SPACE[part], [False]))
+            edge = np.flatnonzero(inside[1:] != inside[:-1])
+            start, end = edge[::2], edge[1::2]
+            self._grow(len(part) + 1)
+            with np.errstate(over="ignore"):
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_WEIGHT[part] * self.powers[:len(part)])))
+                out.append((sums[end] - sums[start]) * self.back[start])
+        return mix(np.concatenate(out), _SALTS[14]) if out else np.empty(0, np.uint64)
 
     def shingles(self, text: str | None) -> np.ndarray:
-        # On bytes, lower() and split() know ASCII letters and white space only.
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        h = np.array(self.known.lookup(words), np.uint64)
+        h = self.word_hashes(text or "")
+        if not len(h):
+            return h
         k = min(self.words, len(h))
         with np.errstate(over="ignore"):
             acc = h[:len(h) - k + 1].copy()
             for i in range(1, k):
                 acc = acc * _ODD + h[i:len(h) - k + 1 + i]
-        return np.unique(mix(acc, np.uint64(k)))
+        acc = np.sort(mix(acc, np.uint64(k)))
+        return acc[np.concatenate(([True], acc[1:] != acc[:-1]))]
 
 
 def signature(s: np.ndarray) -> int:
@@ -151,7 +195,7 @@ def _profile(words: int, stars: int):
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(n, key_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.list_(pa.int64())), pa.array(range(n), pa.int32()),
-                pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())],
+                pa.array([np.minimum(p, 255).astype(np.uint8).tobytes() for p in parts], pa.binary())],
                 ["doc_id", "sig", "n", "firsts", "chunk", "counts"])
 
     return run
@@ -162,7 +206,7 @@ def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            got = np.frombuffer(raw, "<u4").astype(np.int64)
+            got = np.frombuffer(raw, np.uint8).astype(np.int64)
             total[chunk] = total[chunk] + got if chunk in total else got
     for chunk, counts in total.items():
         # Four levels to the doubling.
@@ -181,11 +225,10 @@ def _levels(sketched: DataFrame) -> bytes:
 
 # ---- verification ------------------------------------------------------------------
 
-def _sets(docs: DataFrame, wanted: DataFrame, levels, words: int, percent: int) -> DataFrame:
-    """(sig, n, set, second, third) of the wanted (doc_id, sig).
+def _sets(docs: DataFrame, wanted: DataFrame, levels, words: int) -> DataFrame:
+    """(sig, n, set) of the wanted (doc_id, sig); the set is in the second order.
 
-    ``set`` is the whole set; the others are its prefixes under the second and
-    third order.  A bitmap of hashed ids (1 MB) spares the texts not wanted.
+    A bitmap of hashed ids (1 MB) spares the texts not wanted.
     """
     word = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS))
     bits = wanted.select(word.alias("at")).distinct().groupBy(F.floor(F.col("at") / 32).alias("w")).agg(
@@ -202,23 +245,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, levels, words: int, percent: int)
             at = batch.column(2).to_numpy()
             keep = np.flatnonzero(bitmap[at >> 5] >> (at & 31).astype(np.uint32) & 1)
             for i in range(0, len(keep), 250):
-                out = {k: [] for k in ("sig", "n", "set", "second", "third")}
+                out = {k: [] for k in ("sig", "n", "set")}
                 for t in batch.column(1).take(pa.array(keep[i:i + 250])):
                     s = shingler.shingles(t.as_py())
-                    p = prefix_size(len(s), percent)
                     out["sig"].append(signature(s))
                     out["n"].append(len(s))
-                    out["set"].append(s.view(np.int64))
-                    out["second"].append(in_order(s, level, 1, p).view(np.int64))
-                    out["third"].append(in_order(s, level, 2, p).view(np.int64))
-                many = pa.list_(pa.int64())
+                    out["set"].append(in_order(s, level, 1, len(s)).view(np.int64))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(out["sig"], pa.int64()), pa.array(out["n"], pa.int64()), pa.array(out["set"], many),
-                    pa.array(out["second"], many), pa.array(out["third"], many)], list(out))
+                    pa.array(out["sig"], pa.int64()), pa.array(out["n"], pa.int64()),
+                    pa.array(out["set"], pa.list_(pa.int64()))], list(out))
 
     found = docs.select("doc_id", F.col("text").cast("string").alias("text"), word.alias("at")).mapInArrow(
-        run, "sig long, n long, `set` array<long>, second array<long>, third array<long>")
-    return found.join(wanted.select("sig").distinct(), "sig", "left_semi").dropDuplicates(["sig"])
+        run, "sig long, n long, `set` array<long>")
+    return found.dropDuplicates(["sig"])
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels,
@@ -226,11 +265,17 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, levels,
     """The pairs (a, b) of class signatures that pass all filters and link."""
     sigs = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     wanted = materialise(classes.select("sig", "doc_id").join(sigs, "sig"), "jaccard-wanted")
-    sets = materialise(_sets(docs, wanted, levels, words, percent), "jaccard-sets")
+    # Used twice below: one exchange by class serves both joins.
+    sets = _sets(docs, wanted, levels, words)
     left = sets.select(*[F.col(c).alias(f"{c}_a") for c in sets.columns])
     right = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns])
     both = pairs.join(left, pairs["a"] == left["sig_a"]).join(right, pairs["b"] == right["sig_b"])
-    alike = both.filter(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
+
+    def prefix(side: str):
+        n = F.col(f"n_{side}")
+        return F.slice(f"set_{side}", F.lit(1), (n - F.ceil(n * percent / 100) + 1).cast("int"))
+
+    alike = both.filter(F.arrays_overlap(prefix("a"), prefix("b")))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return alike.filter(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
@@ -256,24 +301,25 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
 # ---- round 2: prefixes ----------------------------------------------------------------
 
 def _entries(levels, words: int, percent: int, n_buckets: int):
-    """(bucket, tokens, sigs): the prefix entries of many documents, packed by
-    bucket; entries of documents with equal sets are sent once."""
+    """(bucket, tokens, sigs, places): the prefix entries of many documents, packed
+    by bucket; entries of documents with equal sets are sent once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, level = Shingler(words), np.frombuffer(levels.value, np.uint8)
-        tokens, sigs, held, seen = [], [], 0, set()
+        tokens, sigs, places, held, seen = [], [], [], 0, set()
 
         def out() -> pa.RecordBatch:
-            t, s = np.concatenate(tokens), np.concatenate(sigs)
+            t, s, at = np.concatenate(tokens), np.concatenate(sigs), np.concatenate(places)
             bucket = (mix(t, _SALTS[15]) % np.uint64(n_buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            t, s, bucket = t[by], s[by], bucket[by]
+            t, s, at, bucket = t[by], s[by], at[by], bucket[by]
             start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             ends = np.r_[start[1:], len(t)]
             return pa.RecordBatch.from_arrays([
                 pa.array(bucket[start].astype(np.int32)),
                 pa.array([t[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary()),
-                pa.array([s[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary())],
-                ["bucket", "tokens", "sigs"])
+                pa.array([s[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary()),
+                pa.array([at[a:b].tobytes() for a, b in zip(start, ends, strict=True)], pa.binary())],
+                ["bucket", "tokens", "sigs", "places"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -285,10 +331,11 @@ def _entries(levels, words: int, percent: int, n_buckets: int):
                 first = in_order(s, level, 0, prefix_size(len(s), percent))
                 tokens.append(first)
                 sigs.append(np.full(len(first), sig, np.int64))
+                places.append(np.arange(1, len(first) + 1, dtype=np.int32))
                 held += len(first)
                 if held > 1_000_000:
                     yield out()
-                    tokens, sigs, held = [], [], 0
+                    tokens, sigs, places, held = [], [], [], 0
                     if len(seen) > 200_000:
                         seen.clear()
         if held:
@@ -299,32 +346,35 @@ def _entries(levels, words: int, percent: int, n_buckets: int):
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the packed entries of a task's buckets, those whose token more than
-    one class has, as rows (token, sig), each once."""
-    packed: dict[int, list[tuple[bytes, bytes]]] = {}
+    one class has, as rows (token, sig, place), each once."""
+    packed: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
     for batch in batches:
-        for bucket, t, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            packed.setdefault(bucket, []).append((t, s))
+        for bucket, *entries in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            packed.setdefault(bucket, []).append(entries)
     for bucket in list(packed):
         parts = packed.pop(bucket)
         t = np.concatenate([np.frombuffer(p[0], np.int64) for p in parts])
         s = np.concatenate([np.frombuffer(p[1], np.int64) for p in parts])
+        at = np.concatenate([np.frombuffer(p[2], np.int32) for p in parts])
         by = np.lexsort((s, t))
-        t, s = t[by], s[by]
+        t, s, at = t[by], s[by], at[by]
         new = np.r_[True, (t[1:] != t[:-1]) | (s[1:] != s[:-1])]
-        t, s = t[new], s[new]
+        t, s, at = t[new], s[new], at[new]
         with_next = np.r_[t[1:] == t[:-1], False]
         many = with_next | np.r_[False, t[1:] == t[:-1]]
-        t, s = t[many], s[many]
+        t, s, at = t[many], s[many], at[many]
         for i in range(0, len(t), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(t[i:i + 100_000]), pa.array(s[i:i + 100_000])], ["token", "sig"])
+            part = slice(i, i + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(t[part]), pa.array(s[part]), pa.array(at[part])],
+                                             ["token", "sig", "place"])
 
 
 def _prefix_pairs(docs: DataFrame, classes: DataFrame, known: DataFrame, levels, words: int, percent: int) -> DataFrame:
     """Pairs of classes from different components that share a prefix token."""
     n_buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        _entries(levels, words, percent, n_buckets), "bucket int, tokens binary, sigs binary")
-    shared = packed.repartition(n_buckets, "bucket").mapInArrow(_shared_tokens, "token long, sig long")
+        _entries(levels, words, percent, n_buckets), "bucket int, tokens binary, sigs binary, places binary")
+    shared = packed.repartition(n_buckets, "bucket").mapInArrow(_shared_tokens, "token long, sig long, place int")
     sized = classes.select("sig", "n").join(known.withColumnRenamed("node", "sig"), "sig", "left") \
         .withColumn("component", F.coalesce("component", "sig"))
     member = materialise(shared.join(sized, "sig"), "jaccard-prefixes")
@@ -332,9 +382,15 @@ def _prefix_pairs(docs: DataFrame, classes: DataFrame, known: DataFrame, levels,
         .filter(F.col("lo") != F.col("hi")).select("token")
     few = materialise(member.join(mixed, "token", "left_semi"), "jaccard-mixed")
     x, y = few.alias("x"), few.alias("y")
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                  & _sizes_allow(F.col("x.n"), F.col("y.n"), percent)).select(
-        F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
+                 & _sizes_allow(F.col("x.n"), F.col("y.n"), percent))
+    # Beyond the last shared prefix shingle no more than the shorter rest can be shared.
+    per_pair = met.groupBy(F.col("x.sig").alias("s"), F.col("y.sig").alias("t")).agg(
+        F.count(F.lit(1)).alias("k"), F.max("x.n").alias("n_s"), F.max("y.n").alias("n_t"),
+        F.max("x.place").alias("at_s"), F.max("y.place").alias("at_t"))
+    most = F.col("k") + F.least(F.col("n_s") - F.col("at_s"), F.col("n_t") - F.col("at_t"))
+    return per_pair.filter((100 + percent) * most >= percent * (F.col("n_s") + F.col("n_t"))).select(
+        F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b"))
 
 
 # ---- the join ---------------------------------------------------------------------------
