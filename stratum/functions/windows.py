@@ -45,8 +45,13 @@ def neighbour(df: DataFrame, keys: list[str], ts_col: str, tiebreak: list[Column
     edge = F.max(key_struct) if asc else F.min(key_struct)
     summary = rows.groupBy(*keys, "_b").agg(edge.alias("_end"))
     wk = Window.partitionBy(*keys).orderBy(F.col("_b").asc() if asc else F.col("_b").desc())
-    summary = summary.select(*keys, "_b", F.lag("_end").over(wk).alias("_from_prev_bucket"))
-    out = rows.join(summary, [*keys, "_b"])
+    summary = summary.select(*[F.col(c).alias(f"_s_{c}") for c in (*keys, "_b")],
+                             F.lag("_end").over(wk).alias("_from_prev_bucket"))
+    # Null-safe: rows without a key or a time keep their place (nulls are one bucket).
+    same = F.lit(True)
+    for c in (*keys, "_b"):
+        same = same & rows[c].eqNullSafe(summary[f"_s_{c}"])
+    out = rows.join(summary, same).drop(*[f"_s_{c}" for c in (*keys, "_b")])
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.when(F.col("_edge"), F.col(f"_from_prev_bucket.{v}"))
                              .otherwise(F.col(f"_loc_{v}")))

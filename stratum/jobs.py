@@ -45,6 +45,11 @@ def silver_table_path(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/{bronze.TABLE_NAMES[entity]}"
 
 
+def quarantine_path(root: str, entity: str) -> str:
+    """Where the rows that could not be processed are kept, with the reason."""
+    return f"{root.rstrip('/')}/_quarantine/{bronze.TABLE_NAMES[entity]}"
+
+
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, entity: str,
                      mode: str = "merge", database: str | None = None,
                      buckets: int | None = None) -> dict[str, int]:
@@ -55,15 +60,16 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, en
     rows (B3-B10), and writes Silver (A6/A7).  With ``database`` and
     ``buckets``, orders and order items are instead saved as catalog
     tables bucketed by order id (co-located for Gold joins).  Returns the
-    Bronze and Silver row counts observed during the write (E3).
+    Bronze and Silver row counts observed during the write (E3).  Rows that
+    cannot be processed are written to ``quarantine_path`` with their fault.
     """
     load, cdc = bronze.bronze_paths(bronze_root, entity)
     paths = [p for p in (load, cdc) if _exists(spark, p)]
     if not paths:
         raise FileNotFoundError(f"no Bronze files for {entity} under {bronze_root}")
     seen_bronze, seen_silver = Observation(f"bronze_{entity}"), Observation(f"silver_{entity}")
-    named = bronze.name_columns(bronze.read_bronze_csv(spark, paths, entity), entity)
-    named = named.observe(seen_bronze, F.count(F.lit(1)).alias("rows"))
+    raw = bronze.read_bronze_csv(spark, paths, entity).observe(seen_bronze, F.count(F.lit(1)).alias("rows"))
+    named, _ = bronze.split_bronze(raw, entity)
     rows = silver.to_silver(named, entity, mode=mode)
     rows = rows.observe(seen_silver, F.count(F.lit(1)).alias("rows"))
     path = silver_table_path(silver_root, entity)
@@ -75,7 +81,11 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, en
         if part is not None:
             rows = rows.withColumn(part[0], part[1]())
         sinks.write_parquet(rows, path, partition_by=[part[0]] if part else None)
-    return {"bronze_rows": seen_bronze.get["rows"], "silver_rows": seen_silver.get["rows"]}
+    counts = {"bronze_rows": seen_bronze.get["rows"], "silver_rows": seen_silver.get["rows"]}
+    seen_rejected = Observation(f"rejected_{entity}")
+    again = bronze.split_bronze(bronze.read_bronze_csv(spark, paths, entity), entity)[1]
+    sinks.write_parquet(again.observe(seen_rejected, F.count(F.lit(1)).alias("rows")), quarantine_path(silver_root, entity))
+    return counts | {"quarantined_rows": seen_rejected.get["rows"]}
 
 
 def read_silver(spark: SparkSession, silver_root: str, database: str | None = None) -> dict[str, DataFrame]:

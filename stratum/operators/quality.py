@@ -37,17 +37,18 @@ def dq_customer_report(customers: DataFrame) -> DataFrame:
                          F.count(F.lit(1)).alias("total_records"))
 
 
-def layer_row_reconcile(bronze: dict[str, DataFrame], kept: Column) -> DataFrame:
-    """Bronze rows vs the rows the Silver job keeps (``kept``), per entity.
+def layer_row_reconcile(bronze: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each Bronze frame vs rows of its Silver table, per entity.
 
-    One aggregation pass over each Bronze frame counts both, instead of
-    one scan for Bronze and another for Silver; the union is of one-row
-    aggregates.
+    Both sides are counted, so a Silver job that loses rows shows.  The counts
+    meet as one-row aggregates.
     """
-    parts = [b.agg(F.count(F.lit(1)).alias("bronze_rows"), F.count_if(kept).alias("silver_rows"))
-             .select(F.lit(entity).alias("entity"), "bronze_rows", "silver_rows")
-             for entity, b in bronze.items()]
-    return _union(parts).withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
+    def counted(frames: dict[str, DataFrame], column: str) -> DataFrame:
+        return _union([f.agg(F.count(F.lit(1)).alias(column)).select(F.lit(e).alias("entity"), column)
+                       for e, f in frames.items()])
+
+    return (counted(bronze, "bronze_rows").join(counted(silver, "silver_rows"), "entity")
+            .withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows")))
 
 
 # (child entity, FK column, parent entity) - the model's foreign keys.
@@ -65,20 +66,30 @@ FOREIGN_KEYS = [
 def dq_referential(t: dict[str, DataFrame]) -> DataFrame:
     """Orphan foreign keys per relation (non-NULL FK with no parent row).
 
-    Child rows are first counted per FK value (partial aggregation: a hot
-    key collapses to one row per map task), so the anti-join carries
-    distinct keys, not rows; orphan rows are the summed counts.
+    Each child is read once and explodes its keys to (relation, key); keys are
+    counted per relation (partial aggregation: a hot key collapses to one row
+    per map task), and one join against the ids of all parents finds orphans.
     """
-    parts = []
-    for child, fk, parent in FOREIGN_KEYS:
-        keys = t[parent].select(F.col("id").alias(fk))
-        per_key = (t[child].select(fk).where(F.col(fk).isNotNull())
-                   .groupBy(fk).agg(F.count(F.lit(1)).alias("_n")))
-        orphans = (per_key.join(keys, fk, "left_anti")
-                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows")))
-        parts.append(orphans.select(F.lit(f"{child}.{fk} -> {parent}.id").alias("relation"),
-                                    "orphan_rows"))
-    return _union(parts)
+    def name(child: str, fk: str, parent: str) -> str:
+        return f"{child}.{fk} -> {parent}.id"
+
+    def keys_of(child: str) -> DataFrame:
+        own = [(c, fk, p) for c, fk, p in FOREIGN_KEYS if c == child]
+        refs = F.array(*[F.struct(F.lit(name(*r)).alias("relation"), F.lit(r[2]).alias("parent"),
+                                  F.col(r[1]).alias("key")) for r in own])
+        return t[child].select(F.explode(refs).alias("r")).select("r.*")
+
+    used = _union([keys_of(c) for c in dict.fromkeys(r[0] for r in FOREIGN_KEYS)]) \
+        .groupBy("relation", "parent", "key").agg(F.count(F.lit(1)).alias("_n"))
+    ids = _union([t[p].select(F.lit(p).alias("parent"), F.col("id").alias("key"))
+                  for p in dict.fromkeys(r[2] for r in FOREIGN_KEYS)]).distinct()
+    found = used.join(ids.withColumn("_known", F.lit(True)), ["parent", "key"], "left")
+    lost = found.groupBy("relation").agg(F.sum(F.when(
+        F.col("key").isNotNull() & F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("_lost"))
+    relations = F.array(*[F.lit(name(*r)) for r in FOREIGN_KEYS])
+    every = used.sparkSession.range(1).select(F.explode(relations).alias("relation"))
+    return every.join(lost, "relation", "left").select(
+        "relation", F.coalesce("_lost", F.lit(0)).alias("orphan_rows"))
 
 
 # Declared unique keys of the model.

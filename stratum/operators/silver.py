@@ -75,18 +75,32 @@ def cdc_insert_only(changes: DataFrame) -> DataFrame:
     return changes.where(kept_by_insert_only())
 
 
+def cdc_fault(key: str = "id") -> Column:
+    """Why a change row cannot be merged, or NULL if it can."""
+    return (F.when(~F.coalesce(F.col("op").isin("I", "U", "D"), F.lit(False)), F.lit("unknown_op"))
+            .when(F.col(key).isNull(), F.lit("no_key"))
+            .when(F.col("commit_ts").isNull(), F.lit("no_commit_time")))
+
+
+def cdc_quarantine(changes: DataFrame, key: str = "id") -> DataFrame:
+    """The change rows that ``cdc_merge_latest`` leaves out, with ``fault``."""
+    return changes.withColumn("fault", cdc_fault(key)).where(F.col("fault").isNotNull())
+
+
 def cdc_merge_latest(changes: DataFrame, key: str = "id", as_of: str | None = None) -> DataFrame:
     """B2 (and B29 with ``as_of``): latest change per key wins; deleted keys drop out.
 
     Changes are ordered by (commit_ts, seq, op rank I<U<D).  A delete
     followed by a later insert revives the key.  One aggregate over
     ``max(struct(order, row))`` replaces a window: partial aggregation
-    collapses a hot key on the map side.
+    collapses a hot key on the map side.  Rows that cannot be ordered or keyed
+    take no part; ``cdc_quarantine`` returns them.
     """
+    changes = changes.where(cdc_fault(key).isNull())
     if as_of is not None:
         changes = changes.where(F.col("commit_ts") <= F.lit(as_of).cast("timestamp_ntz"))
     payload = [c for c in changes.columns if c not in (key,)]
-    seq = F.col("seq") if "seq" in changes.columns else F.lit(0)
+    seq = F.col("seq") if "seq" in changes.columns else F.lit(0)   # source position, breaks ties of a commit
     ordered = F.struct(F.col("commit_ts").alias("_ts"), seq.alias("_seq"), _op_rank().alias("_rank"),
                        F.struct(*payload).alias("_row"))
     latest = changes.groupBy(key).agg(F.max(ordered).alias("_m"))
@@ -174,7 +188,8 @@ def json_fragment_repair(parts: DataFrame, entity: str, json_col: str) -> DataFr
     ``parts`` holds each raw line split on every comma (``parts``,
     ``n_parts``).  With N expected fields and the document at position j,
     fragments j .. n_parts-(N-j) belong to the document and are re-joined
-    with "," (the reference re-joined with "" and lost them, D13).
+    with "," (the reference re-joined with "" and lost them, D13).  A line with
+    too few fields keeps what it has, NULL elsewhere, and ``is_corrupt``.
     """
     from ..sources.bronze import LAYOUT
     names = ["op", "commit_ts"] + LAYOUT[entity]
@@ -183,12 +198,14 @@ def json_fragment_repair(parts: DataFrame, entity: str, json_col: str) -> DataFr
     out = []
     for i, n in enumerate(names):
         if i < j:
-            out.append(F.col("parts")[i].alias(n))
+            out.append(F.get("parts", F.lit(i)).alias(n))
         elif i == j:
-            out.append(F.array_join(F.slice("parts", j + 1, extra + 1), ",").alias(n))
+            document = F.array_join(F.slice("parts", j + 1, F.greatest(extra + 1, F.lit(1))), ",")
+            out.append(F.when(F.col("n_parts") > j, document).alias(n))
         else:
-            out.append(F.element_at("parts", (extra + (i + 1)).cast("int")).alias(n))
-    return parts.select(*out)
+            at = F.when(extra >= 0, extra + i)
+            out.append(F.get("parts", at.cast("int")).alias(n))
+    return parts.select(*out, (extra < 0).alias("is_corrupt"))
 
 
 # ---------------------------------------------------------------- B13-B17
@@ -214,11 +231,13 @@ def derive_customer_tenant(customers: DataFrame, orders: DataFrame) -> DataFrame
 def customer_dedup(customers: DataFrame) -> DataFrame:
     """One row per (tenant_id, normalised e-mail): the latest updated, then highest id.
 
-    Deterministic, and skew-safe (aggregate of a struct, no window).
+    Deterministic, and skew-safe (aggregate of a struct, no window).  Customers
+    without an e-mail are no duplicates of each other: each stays.
     """
     cols = [c for c in customers.columns]
     norm = customers.withColumn("_email", F.trim(F.lower("email")))
-    best = (norm.groupBy("tenant_id", "_email")
+    lone = F.when(F.col("_email").isNull(), F.col("id")).alias("_lone")
+    best = (norm.groupBy("tenant_id", "_email", lone)
             .agg(F.max(F.struct("updated_at", F.col("id").alias("_id"),
                                 F.struct(*cols).alias("_row"))).alias("_m"),
                  F.count(F.lit(1)).alias("duplicate_count")))
@@ -360,44 +379,34 @@ def event_sessionize(events: DataFrame, actor: str = "customer_id",
     """Gap-based sessions per actor (new session when the gap >= ``gap_seconds``).
 
     Skew-safe and exact.  Events are windowed only inside (actor, hour
-    bucket), so one very active actor is spread over many tasks.  Session
-    continuity across bucket edges is decided on a per-bucket summary
-    (first/last time, local session count), which is tiny, and the global
-    session number is a running sum over those summaries.
+    bucket), so one very active actor is spread over many tasks, and reduced
+    there to local sessions (start, end, count).  A window per actor then
+    stitches local sessions that continue across a bucket edge; it sees
+    sessions, not events.  Events without a time form one session of their
+    actor, numbered first, with NULL start and end.
 
     Returns one row per session: actor, session_no, session_start,
     session_end, event_count.
     """
     gap = gap_seconds * 1_000_000
     ev = (events.where(F.col(actor).isNotNull())
-          .select(F.col(actor).alias("actor"), F.col("id").alias("eid"), "created_at")
-          .withColumn("_us", _micros(F.col("created_at")))
+          .select(F.col(actor).alias("actor"), F.col("id").alias("eid"), "created_at",
+                  _micros(F.col("created_at")).alias("_us"))
           .withColumn("bucket", F.floor(F.col("_us") / (bucket_seconds * 1_000_000)).cast("bigint")))
     wb = Window.partitionBy("actor", "bucket").orderBy("_us", "eid")
-    local = (ev.withColumn("_prev", F.lag("_us").over(wb))
-             .withColumn("_first", F.col("_prev").isNull())
-             .withColumn("_start", F.col("_first") | (F.col("_us") - F.col("_prev") >= gap))
-             .withColumn("_local_no", F.sum(F.col("_start").cast("int")).over(
-                 wb.rowsBetween(Window.unboundedPreceding, 0))))
-    summary = (local.groupBy("actor", "bucket")
-               .agg(F.min("_us").alias("_b_first"), F.max("_us").alias("_b_last"),
-                    F.sum(F.col("_start").cast("int")).alias("_b_starts")))
-    wa = Window.partitionBy("actor").orderBy("bucket")
-    summary = (summary
-               .withColumn("_prev_last", F.lag("_b_last").over(wa))
-               # does the bucket's first event continue the previous bucket's session?
-               .withColumn("_cont", F.col("_prev_last").isNotNull()
-                           & (F.col("_b_first") - F.col("_prev_last") < gap))
-               .withColumn("_eff", F.col("_b_starts") - F.col("_cont").cast("int"))
-               .withColumn("_before", F.coalesce(F.sum("_eff").over(
-                   wa.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("actor", "bucket", "_cont", "_before"))
-    numbered = (local.join(summary, ["actor", "bucket"])
-                .withColumn("session_no", (F.col("_before") + F.col("_local_no")
-                                           - F.col("_cont").cast("int")).cast("bigint")))
+    starts = F.coalesce(F.col("_us") - F.lag("_us").over(wb) >= gap, F.lit(False))
+    local = (ev.withColumn("_start", starts.cast("int"))
+             .withColumn("_no", F.sum("_start").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy("actor", "bucket", "_no")
+             .agg(F.min("created_at").alias("_from"), F.max("created_at").alias("_to"),
+                  F.count(F.lit(1)).alias("_n")))
+    wa = Window.partitionBy("actor").orderBy("_from")
+    begins = F.coalesce(_micros(F.col("_from")) - _micros(F.lag("_to").over(wa)) >= gap, F.lit(True))
+    numbered = (local.withColumn("_new", begins.cast("bigint"))
+                .withColumn("session_no", F.sum("_new").over(wa.rowsBetween(Window.unboundedPreceding, 0))))
     return (numbered.groupBy("actor", "session_no")
-            .agg(F.min("created_at").alias("session_start"), F.max("created_at").alias("session_end"),
-                 F.count(F.lit(1)).alias("event_count"))
+            .agg(F.min("_from").alias("session_start"), F.max("_to").alias("session_end"),
+                 F.sum("_n").alias("event_count"))
             .withColumnRenamed("actor", actor))
 
 

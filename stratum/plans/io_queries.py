@@ -34,6 +34,31 @@ register("bronze_csv_scan", "A2", with_fixtures("""
 SELECT op, id, status, commit_ts FROM t_order_log"""))(_bronze_round_trip)
 
 
+def _quarantine(s):
+    """The order log as CSV text with faults planted by order key: a line cut
+    short, an unknown op, no key, no commit time.  Every row comes back, kept
+    or with its fault."""
+    path = _dir(s, "bronze_faults")
+    log = s.order_changes()
+    case = F.col("id").cast("bigint") % 100
+    text = bronze.to_bronze(
+        log.withColumn("_case", case).withColumn("op", F.when(F.col("_case") == 2, "X").otherwise(F.col("op")))
+        .withColumn("commit_ts", F.when(F.col("_case") != 4, F.col("commit_ts")))
+        .withColumn("id", F.when(F.col("_case") != 3, F.col("id"))), "order")
+    line = F.to_csv(F.struct("*"), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    cut = F.when(F.col("col2").cast("bigint") % 100 == 1, F.substring_index(line, ",", 6)).otherwise(line)
+    text.select(cut.alias("value")).write.option("compression", "gzip").text(path)
+    kept, out = bronze.split_bronze(bronze.read_bronze_csv(s.spark, path, "order"), "order")
+    return kept.select("op", "id", F.lit("kept").alias("fault")).unionByName(out.select("op", "id", "fault"))
+
+
+register("bronze_quarantine", "A2", with_fixtures("""
+SELECT CASE WHEN okey % 100 = 2 THEN 'X' ELSE op END AS op, CASE WHEN okey % 100 <> 3 THEN id END AS id,
+       CASE okey % 100 WHEN 1 THEN 'malformed' WHEN 2 THEN 'unknown_op' WHEN 3 THEN 'no_key'
+            WHEN 4 THEN 'no_commit_time' ELSE 'kept' END AS fault
+FROM t_order_log"""))(_quarantine)
+
+
 def _gold_write(s):
     path = _dir(s, "gold_revenue_monthly")
     result = gold.revenue_by_tenant_monthly(s.order, s.tenant)

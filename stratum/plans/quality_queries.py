@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ..operators import governance as G
 from ..operators import quality as Q
 from ..operators import silver
+from ..session import scratch_path
+from ..sources import sinks
+from ..streaming.sinks import fresh_dir
 from .oracle import with_fixtures
 from .registry import register
 from .silver_queries import named_bronze
@@ -34,7 +37,12 @@ FROM t_customer"""))(
 
 def _reconcile(s):
     entities = ("tenant", "customer", "product", "order", "orderitem", "event", "subscription", "invoice")
-    return Q.layer_row_reconcile({e: named_bronze(s, e) for e in entities}, silver.kept_by_insert_only())
+    root = fresh_dir(scratch_path(s.spark, "io"), "reconcile")
+    written = {}
+    for e in entities:
+        sinks.write_parquet(_silver_from_bronze(s, e), f"{root}/{e}")
+        written[e] = s.spark.read.parquet(f"{root}/{e}")
+    return Q.layer_row_reconcile({e: named_bronze(s, e) for e in entities}, written)
 
 
 register("layer_row_reconcile", "E3", with_fixtures("""

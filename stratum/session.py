@@ -21,7 +21,6 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
@@ -47,10 +46,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets this to a shared filesystem path.  Only
-    when it is unset (local tests) do we pick a fresh scratch folder.
+    when it is unset and Spark runs in this one process (``local``) do we pick
+    a fresh scratch folder; anywhere else a local folder would be a different
+    one on every machine, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="stratum-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

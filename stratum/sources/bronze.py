@@ -36,6 +36,7 @@ LAYOUT: dict[str, list[str]] = {
 # Application table name of each entity (A4 selects tables by this prefix).
 TABLE_NAMES = {e: f"core_{e}" for e in LAYOUT}
 
+CORRUPT = "_corrupt_record"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -77,7 +78,27 @@ def name_columns(bronze: DataFrame, entity: str) -> DataFrame:
     names = ["op", "commit_ts"] + LAYOUT[entity]
     out = [F.col(f"col{i}").alias(n) for i, n in enumerate(names)]
     out[1] = F.col("col1").try_cast("timestamp_ntz").alias("commit_ts")
-    return bronze.select(*out)
+    # The row's place in the change files, if the scan gave it, orders changes of one commit.
+    return bronze.select(*out, *[c for c in ("seq",) if c in bronze.columns])
+
+
+def split_bronze(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+    """A2: the named rows that can be processed, and the rest with its ``fault``.
+
+    ``raw`` is a ``read_bronze_csv`` scan.  Faults: ``malformed`` (too few or too
+    many fields), ``unknown_op``, ``no_key``, ``no_commit_time``.  Every row is
+    in exactly one of the two.
+    """
+    fault = (F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+             .when(~F.coalesce(F.col("col0").isin("I", "U", "D"), F.lit(False)), F.lit("unknown_op"))
+             .when(F.col("col2").isNull() | (F.col("col2") == ""), F.lit("no_key"))
+             .when(F.col("col1").try_cast("timestamp_ntz").isNull(), F.lit("no_commit_time")))
+    marked = raw.withColumn("fault", fault)
+    kept = name_columns(marked.where(F.col("fault").isNull()), entity)
+    out = marked.where(F.col("fault").isNotNull()).select(
+        "fault", F.col("col0").alias("op"), F.col("col2").alias("id"), "seq",
+        F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f"col{i}" for i in range(len(LAYOUT[entity]) + 2)]))).alias("line"))
+    return kept, out
 
 
 def write_bronze_csv(bronze: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -109,11 +130,22 @@ def bronze_glob(root: str, entity: str, schema: str = "public") -> str:
 
 def read_bronze_csv(spark: SparkSession, path: str | list[str], entity: str) -> DataFrame:
     """A2: scan Bronze change files (one folder, or the full-load and change
-    folders together) with an explicit all-string schema."""
-    return (spark.read.schema(bronze_schema(entity)).option("header", "false")
+    folders together) with an explicit all-string schema.
+
+    A line with too few or too many fields is kept whole in ``_corrupt_record``;
+    ``seq`` is the row's place: file name, then position in the file (files of a
+    change feed are named in time order).
+    """
+    schema = bronze_schema(entity).add(CORRUPT, "string")
+    rows = (spark.read.schema(schema).option("header", "false")
             .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", "false")      # fields are counted only when all are parsed
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .csv(path))
+    position = F.format_string("%014d", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return rows.select("*", F.concat_ws("#", F.col("_metadata.file_name"),
+                                        F.format_string("%014d", F.col("_metadata.file_block_start")), position).alias("seq"))
 
 
 def naive_split(bronze_lines: DataFrame, entity: str, line_col: str = "value") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 LAYERS = ("bronze", "silver", "gold")
 
 
-def layer_database(layer: str, prefix: str = "lakehouse") -> str:
+def layer_database(layer: str, prefix: str = "stratum") -> str:
     """One configured name per layer (the reference spelled it two ways, D15)."""
     if layer not in LAYERS:
         raise ValueError(layer)
@@ -24,9 +24,24 @@ def layer_database(layer: str, prefix: str = "lakehouse") -> str:
 
 def register_table(spark: SparkSession, database: str, table: str, path: str,
                    partitioned: bool = False) -> None:
-    """A5: make a Parquet folder queryable as ``database.table``."""
+    """A5: make a Parquet folder queryable as ``database.table``.
+
+    Registering again after a reload updates the table in place: columns that
+    the files have gained are added, and a table whose columns have changed
+    type or gone is defined anew.  It is external, so no data is touched.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{path}'")
+    name = f"{database}.{table}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    have = {f.name: f.dataType for f in spark.table(name).schema}
+    files = {f.name: f.dataType for f in spark.read.option("mergeSchema", "true").parquet(path).schema}
+    new = {c: t for c, t in files.items() if c not in have}
+    if any(files.get(c) != t for c, t in have.items()):
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'")
+    elif new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {t.simpleString()}' for c, t in new.items())})")
+    spark.catalog.refreshTable(name)
     if partitioned:
         spark.catalog.recoverPartitions(f"{database}.{table}")
 

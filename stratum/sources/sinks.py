@@ -23,8 +23,11 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite", stamp: bool = True) -> None:
-    """Snappy Parquet, optionally partitioned (dynamic partition overwrite).
+                  mode: str = "overwrite", stamp: bool = True, incremental: bool = False) -> None:
+    """Snappy Parquet, optionally partitioned.
+
+    A write replaces the whole table, so partitions that a recompute no longer
+    has are gone.  ``incremental`` replaces only the partitions that ``df`` has.
 
     Partitioned writes cluster rows by the partition keys with the
     ``rebalance`` hint: AQE splits a skewed (hot) partition over several
@@ -37,7 +40,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w = (out.write.mode(mode).option("compression", "snappy")
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
     if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic" if incremental else "static").partitionBy(*partition_by)
     w.parquet(path)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.silver import SILVER_TYPES, _op_rank
 from ..sources import bronze
-from .sinks import run_available_now, upsert_partitions
+from .sinks import latest_per_key, read_upserted, run_available_now, summed_per_key, upsert
 
 
 # ---------------------------------------------------------------- G1 / G2
@@ -55,11 +55,20 @@ def ingest_changes(stream: DataFrame, target: str, checkpoint: str) -> None:
 
 
 # ---------------------------------------------------------------- G3 / G4
+WINDOW_KEYS = ["tenant_id", "event_type", "hour"]
+FUNNEL = "tenant_id string, event_type string, hour timestamp_ntz, event_count bigint"
+
+
+def _hourly(events: DataFrame) -> DataFrame:
+    hour = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz")
+    return events.groupBy("tenant_id", "event_type", hour.alias("hour")).agg(F.count(F.lit(1)).alias("event_count"))
+
+
 def funnel_counts(events: DataFrame, delay: str = "1 hour", window: str = "1 hour") -> DataFrame:
     """Per (tenant, event type, tumbling hour) event counts, watermarked on created_at.
 
-    Rows whose window already closed (window end <= watermark) are dropped
-    as late by Spark's stateful operator (G4).
+    Rows whose window already closed (window end <= watermark) are dropped as
+    late by Spark's stateful operator; ``run_funnel_with_late`` (G4) counts them.
     """
     ts = F.col("created_at").cast("timestamp")
     return (events.withColumn("_ts", ts).withWatermark("_ts", delay)
@@ -72,15 +81,40 @@ def funnel_counts(events: DataFrame, delay: str = "1 hour", window: str = "1 hou
 
 
 def run_funnel_upsert(counts: DataFrame, target: str, checkpoint: str) -> None:
-    """Update mode + idempotent partition upsert: closed and open windows
-    are both exact in the table; state is evicted by the watermark."""
+    """Update mode + idempotent upsert: closed and open windows are both exact
+    in the table; state is evicted by the watermark."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id,
-                          target, ["tenant_id", "event_type", "hour"], "day",
-                          lambda: [F.col("_batch")])
+        upsert(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id, target, WINDOW_KEYS,
+               lambda rows: latest_per_key(rows, WINDOW_KEYS, [F.col("_batch")]))
     run_available_now(counts.writeStream.outputMode("update").foreachBatch(sink), checkpoint)
 
 
+def run_funnel_with_late(events: DataFrame, target: str, late: str, checkpoint: str, delay: str = "1 hour") -> None:
+    """Counts that late events correct, and a side table of those events.
+
+    Counts are additive, so each micro-batch is counted by itself and added to
+    the table (the sink applies a batch once): an event counts whenever it
+    arrives, and no state is kept.  Events whose hour had closed, by the latest
+    time of earlier batches less ``delay``, are also written to ``late``.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = read_upserted(spark, f"{target}__clock", "clock int, latest timestamp_ntz")
+        closed = F.col("latest") - F.expr(f"INTERVAL {delay}")
+        clock = seen.agg(F.max("latest").alias("latest"))      # one row
+        hour_ends = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz") \
+            + F.expr("INTERVAL 1 HOUR")
+        behind = batch.join(F.broadcast(clock), hour_ends <= closed).select(*batch.columns)
+        behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+        counts = _hourly(batch)
+        upsert(counts, batch_id, target, WINDOW_KEYS,
+               lambda rows: summed_per_key(rows, WINDOW_KEYS, ["event_count"]))
+        now = batch.agg(F.max("created_at").alias("latest")).select(F.lit(0).alias("clock"), "latest")
+        upsert(now, batch_id, f"{target}__clock", ["clock"],
+               lambda rows: rows.groupBy("clock").agg(F.max("latest").alias("latest")), buckets=1)
+    run_available_now(events.writeStream.outputMode("append").foreachBatch(sink), checkpoint)
+
+
 # ---------------------------------------------------------------- G5
 def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
     """Gap-based sessions of identified customers with ``session_window``."""
@@ -122,21 +156,20 @@ def merge_order(changes_cols: list[str]) -> list[Column]:
     return [F.col("commit_ts"), seq, _op_rank()]
 
 
-def run_silver_upsert(changes: DataFrame, target: str, checkpoint: str,
-                      partition_expr: Column, key: str = "id") -> None:
+def run_silver_upsert(changes: DataFrame, target: str, checkpoint: str, key: str = "id") -> None:
     """Each micro-batch of changes is merged latest-wins into Silver.
 
     Latest rows are kept with their op, so a delete is a tombstone that a
     late, older update cannot resurrect; readers filter ``op <> 'D'``
-    (``silver_view``).  Only partitions touched by the batch are rewritten.
+    (``silver_view``).  Only the buckets touched by the batch are rewritten.
     """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(batch.withColumn("part", partition_expr), batch_id, target, [key], "part",
-                          lambda: merge_order(batch.columns))
+        upsert(batch, batch_id, target, [key],
+               lambda rows: latest_per_key(rows, [key], merge_order(batch.columns)))
     run_available_now(changes.writeStream.outputMode("update").foreachBatch(sink), checkpoint)
 
 
-def silver_view(spark: SparkSession, target: str, entity: str) -> DataFrame:
+def silver_view(spark: SparkSession, target: str, entity: str, schema) -> DataFrame:
     """Current Silver rows of an upserted table: tombstones removed, typed."""
-    rows = spark.read.parquet(target).where(F.col("op") != "D")
-    return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in SILVER_TYPES[entity].items()])
+    rows = read_upserted(spark, target, schema).where(F.col("op") != "D")
+    return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in SILVER_TYPES[entity].items() if c in rows.columns])

@@ -26,7 +26,8 @@ def lake(spark, shop):
             bronze.write_bronze_csv(log.where(F.col("col0") != "I"), cdc)
         else:
             bronze.write_bronze_csv(bronze.to_bronze(bronze.inserts_of(shop.source(e)), e), load)
-    counts = {e: jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", e) for e in jobs.ENTITIES}
+    counts = {e: jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver", e, mode="insert_only")
+              for e in jobs.ENTITIES}
     written = {j: jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", j) for j in jobs.GOLD_JOBS}
     return root, counts, written
 
@@ -34,7 +35,8 @@ def lake(spark, shop):
 def test_silver_counts_are_observed_on_the_write(shop, lake):
     _, counts, _ = lake
     log = shop.order_changes()
-    assert counts["order"] == {"bronze_rows": log.count(), "silver_rows": log.where("op = 'I'").count()}
+    assert counts["order"] == {"bronze_rows": log.count(), "silver_rows": log.where("op = 'I'").count(),
+                               "quarantined_rows": 0}
     assert counts["customer"]["bronze_rows"] == counts["customer"]["silver_rows"] == shop.customer.count()
 
 
@@ -71,7 +73,7 @@ def test_bucketed_silver_feeds_gold_without_shuffling_the_join(spark, lake):
     db = f"stratum_{uuid.uuid4().hex[:8]}_silver"
     silver_root = f"{root}/silver_bucketed"
     for e in jobs.ENTITIES:
-        jobs.bronze_to_silver(spark, f"{root}/bronze", silver_root, e, database=db, buckets=8)
+        jobs.bronze_to_silver(spark, f"{root}/bronze", silver_root, e, mode="insert_only", database=db, buckets=8)
     assert spark.catalog.tableExists(f"{db}.core_order") and spark.catalog.tableExists(f"{db}.core_orderitem")
     jobs.silver_to_gold(spark, silver_root, f"{root}/gold_bucketed", "product", database=db)
     got = spark.read.parquet(f"{root}/gold_bucketed/product_performance").drop("processed_at")

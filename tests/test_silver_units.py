@@ -122,9 +122,11 @@ def test_invoice_schedule_caps_at_12_and_uses_as_of_for_open_end(spark):
          ("s3", "c", "t", "active", dt.date(2024, 1, 1), dt.date(2023, 12, 1), Decimal("9.99"))],
         "id string, customer_id string, tenant_id string, status string, start_date date, "
         "end_date date, monthly_amount decimal(10,2)")
-    got = {r.subscription_id: r.n for r in silver.invoice_schedule(subs, as_of="2030-01-01")
-           .groupBy("subscription_id").agg(F.count("*").alias("n")).collect()}
-    assert got == {"s1": 12, "s2": 2}
+    def counts(**limit):
+        return {r.subscription_id: r.n for r in silver.invoice_schedule(subs, as_of="2030-01-01", **limit)
+                .groupBy("subscription_id").agg(F.count("*").alias("n")).collect()}
+    assert counts(max_invoices=12) == {"s1": 12, "s2": 2}
+    assert counts() == {"s1": 74, "s2": 2}
 
 
 def test_ip_anonymize_and_phone(spark):
@@ -141,3 +143,39 @@ def test_order_status_transition_validity(spark):
                          ("U", ts("2024-01-02 00:00:00"), "b", "processing")])
     out = {r.id: r.is_valid for r in silver.order_status_transitions(df).collect()}
     assert out == {"a": False, "b": True}
+
+
+def test_no_row_is_lost_to_nulls_and_ties(spark):
+    cols = "op string, commit_ts timestamp_ntz, seq string, id string, status string"
+    log = spark.createDataFrame([
+        ("I", ts("2024-01-01 00:00:00"), "f#1", "a", "processing"), ("U", ts("2024-01-01 00:00:00"), "f#2", "a", "completed"),
+        ("I", None, "f#3", "b", "x"), ("I", ts("2024-01-01 00:00:00"), "f#4", None, "y"),
+        ("I", ts("2024-01-01 00:00:00"), "f#5", None, "z"), ("Q", ts("2024-01-01 00:00:00"), "f#6", "c", "w")], cols)
+    merged = silver.cdc_merge_latest(log).collect()
+    assert [(r.id, r.status) for r in merged] == [("a", "completed")]     # the later row of one commit
+    faults = sorted(r.fault for r in silver.cdc_quarantine(log).collect())
+    assert faults == ["no_commit_time", "no_key", "no_key", "unknown_op"]
+    history = silver.scd2_history(log, "id", ["status"])
+    assert history.count() == log.count()
+    events = spark.createDataFrame([(1, "a", ts("2024-01-01 00:00:00")), (2, "a", None), (3, "a", None)],
+                                   "id long, customer_id string, created_at timestamp_ntz")
+    found = sorted((r.session_no, r.event_count) for r in silver.event_sessionize(events).collect())
+    assert found == [(1, 2), (2, 1)]
+    customers = spark.createDataFrame([("1", "t", None, ts("2024-01-01 00:00:00")), ("2", "t", None, ts("2024-01-01 00:00:00"))],
+                                      "id string, tenant_id string, email string, updated_at timestamp_ntz")
+    assert silver.customer_dedup(customers).count() == 2
+
+
+def test_reconcile_shows_lost_rows(spark):
+    from stratum.operators import quality
+    three, two = spark.range(3), spark.range(2)
+    r = quality.layer_row_reconcile({"x": three}, {"x": two}).collect()[0]
+    assert (r.bronze_rows, r.silver_rows, r.dropped_rows) == (3, 2, 1)
+
+
+def test_json_repair_marks_short_lines(spark):
+    from stratum.sources import bronze
+    lines = spark.createDataFrame([("I,2024-01-01,c1",), ('I,2024-01-01,c1,e,f,l,p,true,{"a":1,"b":2},x,y,t',)], "value string")
+    out = silver.json_fragment_repair(bronze.naive_split(lines, "customer"), "customer", "metadata").collect()
+    assert [r.is_corrupt for r in out] == [True, False]
+    assert out[1].metadata == '{"a":1,"b":2}' and out[1].tenant_id == "t" and out[0].id == "c1" and out[0].tenant_id is None
