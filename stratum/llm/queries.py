@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import ann, bpe, chat, jaccard_join, language, line_dedup, packing, pii, quality_rules, secret_scan
+from .oracle import ORACLE_SQL
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)

@@ -75,6 +75,23 @@ def quality(text: str | None) -> tuple:
             len(covered), n < 50 or 100 * len(covered) > 50 * n)
 
 
+STOP = set(
+    "the of and to in is that it for was on are as with at be this have from or a an "
+    "der die das und ist zu den mit von ein eine nicht sich auf des dem im "
+    "le la les de et en un une du que qui dans pour par sur au avec est "
+    "el los las y es por con para del se lo como su".split())
+
+
+def quality_kept(text: str | None) -> bool:
+    n, chars, symbols, dup, _, failed = quality(text)
+    if failed:
+        return False
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (3 * n <= chars <= 10 * n and 10 * symbols <= n and 20 * sum(x.lower() in STOP for x in w) >= n
+            and 10 * dup <= 4 * len(lines) and 2 * len(re.findall("[A-Z]", text)) <= chars)
+
+
 def chats(rows: list[tuple]) -> dict:
     """rows: (conv_id, turn, role, text) -> conv_id: (n, turns hash, loss chars, loss hash)."""
     by = defaultdict(list)
@@ -89,6 +106,10 @@ def chats(rows: list[tuple]) -> dict:
 
 
 def line_dedup(rows: list[tuple], min_len: int = 40, min_docs: int = 5) -> list[tuple]:
+    return [(i, n, dropped, sha(t)) for i, n, dropped, t in line_dedup_texts(rows, min_len, min_docs)]
+
+
+def line_dedup_texts(rows: list[tuple], min_len: int = 40, min_docs: int = 5) -> list[tuple]:
     def key(line: str) -> str:
         return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
 
@@ -101,7 +122,7 @@ def line_dedup(rows: list[tuple], min_len: int = 40, min_docs: int = 5) -> list[
     for i, t in rows:
         lines = (t or "").split("\n")
         kept = [x for x in lines if len(docs_of.get(key(x), ())) < min_docs or max(docs_of[key(x)]) == i]
-        out.append((i, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 
 
