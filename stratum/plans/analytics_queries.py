@@ -112,14 +112,14 @@ ORDER BY record_count DESC"""))(
 
 register("null_key_checks", "D15q", with_fixtures("""
 SELECT 'core_tenant' AS table_name, count(*) FILTER (WHERE id IS NULL) AS null_ids,
-       count(*) FILTER (WHERE name IS NULL) AS null_names, count(*) AS total_records FROM t_tenant
+       count(*) FILTER (WHERE name IS NULL) AS null_names, count(*) AS total_records FROM t_tenant_f
 UNION ALL
 SELECT 'core_customer', count(*) FILTER (WHERE id IS NULL), count(*) FILTER (WHERE email IS NULL), count(*)
-FROM t_customer
+FROM t_customer_f
 UNION ALL
 SELECT 'core_order', count(*) FILTER (WHERE id IS NULL), count(*) FILTER (WHERE total IS NULL), count(*)
-FROM t_order"""))(
-    lambda s: A.null_key_checks(s.tenant, s.customer, s.order))
+FROM t_order_f"""))(
+    lambda s: A.null_key_checks(s.faulty("tenant"), s.faulty("customer"), s.faulty("order")))
 
 register("business_summary", "D16q", with_fixtures("""
 SELECT (SELECT count(*) FROM t_tenant) AS total_tenants,

@@ -82,7 +82,11 @@ SELECT cast(event_id AS varchar) AS id, cast(c_nationkey AS varchar) AS tenant_i
        CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
             WHEN 'signup' THEN 'add_to_cart' WHEN 'error' THEN 'checkout'
             WHEN 'purchase' THEN 'purchase' END AS event_type,
-       props AS event_data,
+       CASE event_id % 4
+         WHEN 1 THEN replace(props, '}', ', "url": "/p/' || (event_id % 50) || '", "product_id": "'
+                                    || (event_id % 200) || '"}')
+         WHEN 2 THEN replace(props, '}', ', "search_term": "term ' || (event_id % 30) || '"}')
+         ELSE props END AS event_data,
        cast(user_id % 97 AS varchar) || '-' || cast(cast(ts AS date) AS varchar) AS session_id,
        cast(10 + user_id % 200 AS varchar) || '.' || cast(event_id % 256 AS varchar) || '.7.9' AS ip_address,
        ts AS created_at,
@@ -126,8 +130,54 @@ UNION ALL
 SELECT 'U', order_date + to_days(3), 1, id, tenant_id, customer_id, 'completed', total, order_date, okey
 FROM t_order WHERE okey % 5 = 2
 UNION ALL
-SELECT 'D', order_date + to_days(10), 2, id, tenant_id, customer_id, status, total, order_date, okey
-FROM t_order WHERE okey % 50 = 0""",
+SELECT 'U', order_date + to_days(5), 2, id, tenant_id, customer_id, 'pending', total, order_date, okey
+FROM t_order WHERE okey % 35 = 2
+UNION ALL
+SELECT 'D', order_date + to_days(10), 3, id, tenant_id, customer_id, status, total, order_date, okey
+FROM t_order WHERE okey % 50 = 0 OR okey % 55 = 2
+UNION ALL
+SELECT 'U', order_date + to_days(12), 4, id, tenant_id, customer_id, 'processing', total, order_date, okey
+FROM t_order WHERE okey % 100 = 0""",
+    # The entities with planted faults (see the Spark fixtures' rules).
+    "t_tenant_f": """
+SELECT * REPLACE (CASE WHEN cast(id AS bigint) % 7 = 3 THEN NULL ELSE name END AS name,
+                  CASE WHEN cast(id AS bigint) IN (5, 6) THEN 'twin' ELSE slug END AS slug) FROM t_tenant""",
+    "t_customer_f": """
+SELECT * EXCLUDE (key) FROM (
+  SELECT * REPLACE (
+    CASE WHEN key % 11 = 3 THEN NULL WHEN key % 11 = 4 THEN 'no-address' WHEN key % 61 = 5 THEN 'same@example.com'
+         ELSE email END AS email,
+    CASE WHEN key % 13 = 5 THEN '' WHEN key % 13 = 6 THEN 'unknown' WHEN key % 13 = 7 THEN 'ghost'
+         WHEN key % 61 = 5 THEN '1' ELSE tenant_id END AS tenant_id,
+    CASE WHEN key % 17 = 2 THEN '123' WHEN key % 17 = 3 THEN NULL ELSE phone END AS phone)
+  FROM (SELECT *, cast(id AS bigint) AS key FROM t_customer))""",
+    "t_product_f": """
+SELECT * REPLACE (cast(CASE WHEN cast(id AS bigint) % 23 = 1 THEN 0 ELSE price END AS decimal(10,2)) AS price,
+                  CASE WHEN cast(id AS bigint) % 29 = 2 THEN -1 ELSE stock_quantity END AS stock_quantity,
+                  CASE WHEN cast(id AS bigint) % 50 = 3 THEN 'SKU-TWIN' ELSE sku END AS sku) FROM t_product""",
+    "t_order_f": """
+SELECT * REPLACE (CASE WHEN okey % 101 = 7 THEN 'lost' ELSE status END AS status,
+                  cast(CASE WHEN okey % 103 = 8 THEN -1 WHEN okey % 103 = 9 THEN NULL ELSE total END
+                       AS decimal(10,2)) AS total,
+                  CASE WHEN okey % 107 = 9 THEN 'ghost' ELSE customer_id END AS customer_id,
+                  CASE WHEN okey % 109 = 10 THEN 'ORD-TWIN' ELSE order_number END AS order_number) FROM t_order""",
+    "t_item_f": """
+SELECT * REPLACE (CASE WHEN cast(order_id AS bigint) % 113 = 1 THEN 0 ELSE quantity END AS quantity,
+                  CASE WHEN cast(order_id AS bigint) % 127 = 2 THEN 'ghost' ELSE product_id END AS product_id)
+FROM t_item""",
+    "t_event_f": """
+SELECT * REPLACE (CASE WHEN cast(id AS bigint) % 131 = 3 THEN 'odd' ELSE event_type END AS event_type,
+                  CASE WHEN cast(id AS bigint) % 137 = 4 THEN 'ghost' ELSE customer_id END AS customer_id)
+FROM t_event""",
+    "t_sub_f": """
+SELECT * REPLACE (CASE WHEN ckey % 41 = 5 THEN 'paused' ELSE status END AS status,
+                  CASE WHEN ckey % 43 = 6 THEN 'daily' ELSE billing_cycle END AS billing_cycle,
+                  CASE WHEN ckey % 47 = 7 THEN 'ghost' ELSE tenant_id END AS tenant_id) FROM t_sub""",
+    "t_invoice_f": """
+SELECT * REPLACE (CASE WHEN cast(customer_id AS bigint) % 37 = 2 THEN 'void' ELSE status END AS status,
+                  CASE WHEN cast(customer_id AS bigint) % 53 = 3 THEN 'ghost' ELSE subscription_id END AS subscription_id,
+                  CASE WHEN cast(customer_id AS bigint) % 59 = 4 THEN 'INV-TWIN' ELSE invoice_number END AS invoice_number)
+FROM t_invoice""",
 }
 
 _REF = re.compile(r"\bt_[a-z_]+\b")

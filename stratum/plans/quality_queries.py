@@ -24,15 +24,15 @@ def _silver_from_bronze(s, entity):
 register("dq_tenant_report", "E1", with_fixtures("""
 SELECT count(*) FILTER (WHERE id IS NULL) AS null_ids, count(*) FILTER (WHERE name IS NULL) AS null_names,
        count(*) FILTER (WHERE NOT is_active) AS inactive_tenants, count(*) AS total_records
-FROM t_tenant"""))(
-    lambda s: Q.dq_tenant_report(_silver_from_bronze(s, "tenant")))
+FROM t_tenant_f"""))(
+    lambda s: Q.dq_tenant_report(s.faulty("tenant", _silver_from_bronze(s, "tenant"))))
 
 register("dq_customer_report", "E2", with_fixtures("""
 SELECT count(*) FILTER (WHERE email IS NULL) AS null_emails,
        count(*) FILTER (WHERE tenant_id IS NULL OR tenant_id IN ('', 'unknown')) AS missing_tenant_ids,
        count(*) AS total_records
-FROM t_customer"""))(
-    lambda s: Q.dq_customer_report(_silver_from_bronze(s, "customer")))
+FROM t_customer_f"""))(
+    lambda s: Q.dq_customer_report(s.faulty("customer", _silver_from_bronze(s, "customer"))))
 
 
 def _reconcile(s):
@@ -57,8 +57,8 @@ SELECT entity, bronze_rows, silver_rows, bronze_rows - silver_rows AS dropped_ro
   UNION ALL SELECT 'invoice', (SELECT count(*) FROM t_invoice), (SELECT count(*) FROM t_invoice))"""))(
     _reconcile)
 
-_CTE = {"tenant": "t_tenant", "customer": "t_customer", "product": "t_product", "order": "t_order",
-        "orderitem": "t_item", "event": "t_event", "subscription": "t_sub", "invoice": "t_invoice"}
+_CTE = {"tenant": "t_tenant_f", "customer": "t_customer_f", "product": "t_product_f", "order": "t_order_f",
+        "orderitem": "t_item_f", "event": "t_event_f", "subscription": "t_sub_f", "invoice": "t_invoice_f"}
 
 
 def _orphans_sql() -> str:
@@ -71,7 +71,7 @@ def _orphans_sql() -> str:
 
 
 register("dq_referential", "E4", with_fixtures(_orphans_sql()))(
-    lambda s: Q.dq_referential(s.tables()))
+    lambda s: Q.dq_referential(s.faulty_tables()))
 
 
 def _unique_sql() -> str:
@@ -85,7 +85,7 @@ def _unique_sql() -> str:
 
 
 register("dq_uniqueness", "E5", with_fixtures(_unique_sql()))(
-    lambda s: Q.dq_uniqueness(s.tables()))
+    lambda s: Q.dq_uniqueness(s.faulty_tables()))
 
 _DOMAIN_SQL = {
     "order": [("status_in_domain", "status IN ('pending', 'processing', 'completed', 'cancelled')"),
@@ -125,7 +125,7 @@ def _valid_sql() -> str:
 
 
 register("dq_domain", "E6", with_fixtures(_domain_sql()))(
-    lambda s: Q.dq_domain(s.tables()))
+    lambda s: Q.dq_domain(s.faulty_tables()))
 
 register("dq_freshness", "E7", with_fixtures(f"""
 SELECT 'tenant' AS entity, max(created_at + INTERVAL 1 DAY) AS latest_ts FROM t_tenant
@@ -143,7 +143,7 @@ UNION ALL SELECT 'invoice', max(cast(issue_date AS timestamp)) FROM t_invoice"""
     lambda s: Q.dq_freshness(s.tables(), FRESHNESS_AS_OF))
 
 register("dq_valid_ratio", "E8", with_fixtures(_valid_sql()))(
-    lambda s: Q.dq_valid_ratio(s.tables()))
+    lambda s: Q.dq_valid_ratio(s.faulty_tables()))
 
 # ---------------------------------------------------------------- H1 / H2
 SCOPED_PRINCIPAL = "analyst_enterprise"

@@ -128,15 +128,18 @@ SELECT id, age, country, signup_source, newsletter, notifications FROM t_custome
     _repaired_customers)
 
 register("derive_customer_tenant", "B13", with_fixtures("""
-SELECT c.id, l.tenant_id, CASE WHEN l.tenant_id IS NOT NULL THEN 'latest_order' END AS tenant_source
+SELECT c.id, CASE WHEN cast(c.id AS bigint) % 2 = 0 THEN c.tenant_id ELSE l.tenant_id END AS tenant_id,
+       CASE WHEN cast(c.id AS bigint) % 2 = 0 THEN 'customer'
+            WHEN l.customer_id IS NOT NULL THEN 'latest_order' END AS tenant_source
 FROM t_customer c LEFT JOIN (
   SELECT customer_id, tenant_id FROM (
     SELECT customer_id, tenant_id,
            row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, id DESC) AS rn
     FROM t_order) WHERE rn = 1) l ON l.customer_id = c.id"""))(
-    # As the reference's Silver customer job writes it: tenant 'unknown' (defect D3).
-    lambda s: silver.derive_customer_tenant(s.customer.withColumn("tenant_id", F.lit("unknown")),
-                                            s.order))
+    # Every other customer as the reference's Silver job writes it: tenant 'unknown' (defect D3).
+    lambda s: silver.derive_customer_tenant(
+        s.customer.withColumn("tenant_id", F.when(F.col("id").cast("bigint") % 2 == 0, F.col("tenant_id"))
+                              .otherwise("unknown")), s.order))
 
 register("customer_dedup", "B14", with_fixtures("""
 SELECT id, tenant_id, trim(lower(email)) AS email, first_name, duplicate_count FROM (
@@ -173,8 +176,8 @@ FROM (SELECT id, tenant_id,
              tenant_id IS NOT NULL AND tenant_id NOT IN ('', 'unknown') AS tenant_present,
              coalesce(age BETWEEN 13 AND 120, false) AS age_valid,
              coalesce(signup_source IN ('organic', 'paid_ad', 'referral', 'social'), false) AS source_valid
-      FROM t_customer)"""))(
-    lambda s: silver.customer_quality_flags(s.customer))
+      FROM t_customer_f)"""))(
+    lambda s: silver.customer_quality_flags(s.faulty("customer")))
 
 # ---------------------------------------------------------------- B18-B21
 register("order_total_check", "B18", with_fixtures("""
@@ -288,5 +291,5 @@ SELECT id, tenant_id, upper(substr(trim(lower(category)), 1, 1)) || substr(trim(
        cast(price - cost AS double) AS margin,
        CASE WHEN price <> 0 THEN cast(price - cost AS double) * 100.0 / cast(price AS double) END AS margin_pct,
        coalesce(price >= 0.01 AND cost >= 0 AND stock_quantity >= 0, false) AS is_valid
-FROM t_product"""))(
-    lambda s: silver.product_enrich_validate(s.product))
+FROM t_product_f"""))(
+    lambda s: silver.product_enrich_validate(s.faulty("product")))

@@ -27,6 +27,35 @@ ENTITIES = ("tenant", "customer", "product", "order", "orderitem", "event",
             "subscription", "invoice")
 
 
+# Planted faults: column -> CASE arms over the entity's own (unchanged) columns.
+_ID = "cast(id AS bigint)"
+_ORDER_OF_ITEM = "cast(order_id AS bigint)"
+_CUSTOMER = "cast(customer_id AS bigint)"
+FAULTS: dict[str, dict[str, str]] = {
+    "tenant": {"name": f"WHEN {_ID} % 7 = 3 THEN NULL", "slug": f"WHEN {_ID} IN (5, 6) THEN 'twin'"},
+    "customer": {"email": f"WHEN {_ID} % 11 = 3 THEN NULL WHEN {_ID} % 11 = 4 THEN 'no-address' "
+                          f"WHEN {_ID} % 61 = 5 THEN 'same@example.com'",
+                 "tenant_id": f"WHEN {_ID} % 13 = 5 THEN '' WHEN {_ID} % 13 = 6 THEN 'unknown' "
+                              f"WHEN {_ID} % 13 = 7 THEN 'ghost' WHEN {_ID} % 61 = 5 THEN '1'",
+                 "phone": f"WHEN {_ID} % 17 = 2 THEN '123' WHEN {_ID} % 17 = 3 THEN NULL"},
+    "product": {"price": f"WHEN {_ID} % 23 = 1 THEN 0.00", "stock_quantity": f"WHEN {_ID} % 29 = 2 THEN -1",
+                "sku": f"WHEN {_ID} % 50 = 3 THEN 'SKU-TWIN'"},
+    "order": {"status": f"WHEN {_ID} % 101 = 7 THEN 'lost'", "total": f"WHEN {_ID} % 103 = 8 THEN -1 "
+                                                                    f"WHEN {_ID} % 103 = 9 THEN NULL",
+              "customer_id": f"WHEN {_ID} % 107 = 9 THEN 'ghost'",
+              "order_number": f"WHEN {_ID} % 109 = 10 THEN 'ORD-TWIN'"},
+    "orderitem": {"quantity": f"WHEN {_ORDER_OF_ITEM} % 113 = 1 THEN 0",
+                  "product_id": f"WHEN {_ORDER_OF_ITEM} % 127 = 2 THEN 'ghost'"},
+    "event": {"event_type": f"WHEN {_ID} % 131 = 3 THEN 'odd'", "customer_id": f"WHEN {_ID} % 137 = 4 THEN 'ghost'"},
+    "subscription": {"status": f"WHEN {_CUSTOMER} % 41 = 5 THEN 'paused'",
+                     "billing_cycle": f"WHEN {_CUSTOMER} % 43 = 6 THEN 'daily'",
+                     "tenant_id": f"WHEN {_CUSTOMER} % 47 = 7 THEN 'ghost'"},
+    "invoice": {"status": f"WHEN {_CUSTOMER} % 37 = 2 THEN 'void'",
+                "subscription_id": f"WHEN {_CUSTOMER} % 53 = 3 THEN 'ghost'",
+                "invoice_number": f"WHEN {_CUSTOMER} % 59 = 4 THEN 'INV-TWIN'"},
+}
+
+
 def _case(key: str, pairs: list[tuple[str, str]], default: str) -> str:
     arms = " ".join(f"WHEN {cond} THEN {val}" for cond, val in pairs)
     return f"CASE {arms} ELSE {default} END"
@@ -170,7 +199,11 @@ class Shop:
                 .selectExpr(
                     "cast(event_id AS string) AS id",
                     f"{etype} AS event_type",
-                    "props AS event_data",
+                    "CASE event_id % 4 "
+                    "WHEN 1 THEN replace(props, '}', ', \"url\": \"/p/' || event_id % 50 || '\", \"product_id\": \"' "
+                    "|| event_id % 200 || '\"}') "
+                    "WHEN 2 THEN replace(props, '}', ', \"search_term\": \"term ' || event_id % 30 || '\"}') "
+                    "ELSE props END AS event_data",
                     "(user_id % 97) || '-' || cast(cast(ts AS date) AS string) AS session_id",
                     "(10 + user_id % 200) || '.' || (event_id % 256) || '.7.9' AS ip_address",
                     "'Mozilla/5.0 (fixture ' || (user_id % 5) || ')' AS user_agent",
@@ -230,21 +263,27 @@ class Shop:
         """Insert / update / delete log of ``order`` (op, commit_ts, seq + row).
 
         Every order is inserted at its order date; every 5th (id % 5 = 2) is
-        updated to completed 3 days later; every 50th is deleted 10 days
-        later.  One scan of the source expands each order into its versions
-        (``inline`` of a per-row array), instead of one scan per op.
+        updated to completed 3 days later, and some of those (id % 35 = 2) back
+        to pending, which is not allowed, 5 days later; orders with id % 50 = 0
+        or id % 55 = 2 are deleted 10 days later, and id % 100 = 0 comes back
+        as processing after 12 days.  One scan of the source expands each order
+        into its versions (``inline`` of a per-row array), instead of one scan
+        per op.
         """
         o = self.order_source
         k = "cast(id AS bigint)"
         versions = ("inline(filter(array("
-                    "named_struct('op', 'I', 'seq', 0, 'days', 0), "
-                    f"CASE WHEN {k} % 5 = 2 THEN named_struct('op', 'U', 'seq', 1, 'days', 3) END, "
-                    f"CASE WHEN {k} % 50 = 0 THEN named_struct('op', 'D', 'seq', 2, 'days', 10) END), "
+                    "named_struct('op', 'I', 'seq', 0, 'days', 0, 'now', status), "
+                    f"CASE WHEN {k} % 5 = 2 THEN named_struct('op', 'U', 'seq', 1, 'days', 3, 'now', 'completed') END, "
+                    f"CASE WHEN {k} % 35 = 2 THEN named_struct('op', 'U', 'seq', 2, 'days', 5, 'now', 'pending') END, "
+                    f"CASE WHEN {k} % 50 = 0 OR {k} % 55 = 2 THEN "
+                    "named_struct('op', 'D', 'seq', 3, 'days', 10, 'now', status) END, "
+                    f"CASE WHEN {k} % 100 = 0 THEN named_struct('op', 'U', 'seq', 4, 'days', 12, 'now', 'processing') END), "
                     "v -> v IS NOT NULL))")
         rows = o.selectExpr(versions, "*")
         upd = F.col("op") == "U"
-        return (rows.withColumn("status", F.when(upd, F.lit("completed")).otherwise(F.col("status")))
-                .withColumn("updated_at", F.when(upd, F.expr("order_date + make_dt_interval(3)"))
+        return (rows.withColumn("status", F.col("now"))
+                .withColumn("updated_at", F.when(upd, F.expr("order_date + make_dt_interval(days)"))
                             .otherwise(F.col("updated_at")))
                 .selectExpr("op", "order_date + make_dt_interval(days) AS commit_ts", "seq",
                             *o.columns))
@@ -339,3 +378,13 @@ class Shop:
 
     def tables(self) -> dict[str, DataFrame]:
         return {e: self.silver(e) for e in ENTITIES}
+
+    def faulty(self, entity: str, rows: DataFrame | None = None) -> DataFrame:
+        """Silver rows with faults planted by key rule, for the checks that
+        must find them (``FAULTS``); ``rows`` may be another frame of the entity."""
+        df = self.silver(entity) if rows is None else rows
+        return df.withColumns({c: F.expr(f"CASE {arms} ELSE {c} END").cast(df.schema[c].dataType)
+                               for c, arms in FAULTS[entity].items() if c in df.columns})
+
+    def faulty_tables(self) -> dict[str, DataFrame]:
+        return {e: self.faulty(e) for e in ENTITIES}

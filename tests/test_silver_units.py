@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators import silver
@@ -179,3 +180,17 @@ def test_json_repair_marks_short_lines(spark):
     out = silver.json_fragment_repair(bronze.naive_split(lines, "customer"), "customer", "metadata").collect()
     assert [r.is_corrupt for r in out] == [True, False]
     assert out[1].metadata == '{"a":1,"b":2}' and out[1].tenant_id == "t" and out[0].id == "c1" and out[0].tenant_id is None
+
+
+@pytest.mark.parametrize("key,bad,good", [
+    ("order_status_transitions", "not is_valid", "is_valid"), ("customer_quality_flags", "failed_rules <> ''", "failed_rules = ''"),
+    ("product_enrich_validate", "not is_valid", "is_valid"), ("dq_tenant_report", "null_names > 0", "total_records > null_names"),
+    ("dq_customer_report", "null_emails > 0 and missing_tenant_ids > 0", "total_records > null_emails"),
+    ("dq_referential", "orphan_rows > 0", "orphan_rows = 0"), ("dq_uniqueness", "duplicate_keys > 0", "duplicate_keys = 0"),
+    ("dq_domain", "violations > 0", "violations < checked_rows"), ("dq_valid_ratio", "not meets_target", "valid_rows > 0"),
+    ("null_key_checks", "null_names > 0", "null_ids = 0"), ("event_data_parse", "url is null", "url is not null and product_id is not null"),
+    ("derive_customer_tenant", "tenant_source = 'latest_order'", "tenant_source = 'customer'")])
+def test_checks_see_passing_and_failing_cases(spark, key, bad, good):
+    import __spark_entry__ as entry
+    rows = entry.queries()[key](spark, "/root/testdata/sf0.01")
+    assert rows.where(bad).count() > 0 and rows.where(good).count() > 0
