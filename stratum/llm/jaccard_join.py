@@ -16,13 +16,14 @@ many more than its counters, raise ``SKETCH_BITS``.
 Texts with equal sets are one class.  The join works in two rounds:
 
 1. *Stars.*  Classes that share the first shingle under one of ``STARS`` plain
-   hash orders are paired with one class of their group, the one whose own
-   first shingles are the most common.  The pairs are as many as the classes,
-   however large a group is.  Verified pairs link, and give components.
+   hash orders are paired with one class of their group, the one with the
+   fewest shingles that are rare for it: the text that the others are copies
+   of.  The pairs are as many as the classes, however large a group is.
+   Verified pairs link, and give components.
 2. *Prefixes.*  Shingles of prefixes held by classes of two or more components
    are joined, and only pairs across components are made: within a component
    another link changes nothing.  The number and the places of the shared
-   prefix shingles bound the overlap; pairs that can reach the threshold pass
+   prefix shingles bound the overlap, already at the join; pairs that can reach the threshold pass
    the filter of the second order and are verified, so no link between
    components is missed.
 
@@ -162,41 +163,44 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[tuple[object, str | None]]:
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-        yield key, text.as_py()
+# ---- first scan: frequency sketch; second scan: classes and star tokens -------------
 
+def _sketch(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, sketch = Shingler(words), np.zeros(1 << SKETCH_BITS, np.uint32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                pooled = [_bucket(shingler.shingles(t.as_py()), SKETCH_BITS) for t in batch.column(0).slice(at, 1000)]
+                sketch += np.bincount(np.concatenate(pooled), minlength=len(sketch)).astype(np.uint32)
+        # Saturated counts order as well: what is that frequent in one task is frequent.
+        for chunk, part in enumerate(sketch.reshape(-1, 1 << CHUNK_BITS)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk], pa.int32()),
+                    pa.array([np.minimum(part, 255).astype(np.uint8).tobytes()], pa.binary())], ["chunk", "counts"])
 
-# ---- first scan: classes, star tokens, frequency sketch ---------------------------
+    return run
 
-def _profile(words: int, stars: int):
+
+def rare_shingles(s: np.ndarray, levels: np.ndarray) -> int:
+    """How many shingles are less than half as frequent as the set's median one."""
+    level = levels[_bucket(s, SKETCH_BITS)].astype(np.int64)
+    return int((level < np.median(level) - 4).sum()) if len(s) else 0
+
+
+def _profile(levels, words: int, stars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, sketch, key_type = Shingler(words), np.zeros(1 << SKETCH_BITS, np.uint32), None
+        shingler, level = Shingler(words), np.frombuffer(levels.value, np.uint8)
         for batch in batches:
-            key_type = batch.column(0).type
             for at in range(0, batch.num_rows, 1000):
-                keys, sigs, sizes, tokens, pooled = [], [], [], [], []
-                for key, text in _rows(batch.slice(at, 1000)):
-                    s = shingler.shingles(text)
-                    keys.append(key)
-                    sigs.append(signature(s))
-                    sizes.append(len(s))
-                    tokens.append([int(mix(s, _SALTS[i]).min().view(np.int64)) for i in range(stars)] if len(s) else [])
-                    pooled.append(_bucket(s, SKETCH_BITS))
-                sketch += np.bincount(np.concatenate(pooled), minlength=len(sketch)).astype(np.uint32)
-                n = len(keys)
+                part = batch.slice(at, 1000)
+                sets = [shingler.shingles(t.as_py()) for t in part.column(1)]
+                firsts = [[int(mix(s, _SALTS[i]).min().view(np.int64)) for i in range(stars)] if len(s) else [] for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys, key_type), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.array(tokens, pa.list_(pa.int64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    ["doc_id", "sig", "n", "firsts", "chunk", "counts"])
-        if key_type is not None:
-            parts = sketch.reshape(-1, 1 << CHUNK_BITS)
-            n = len(parts)
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(n, key_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                pa.nulls(n, pa.list_(pa.int64())), pa.array(range(n), pa.int32()),
-                pa.array([np.minimum(p, 255).astype(np.uint8).tobytes() for p in parts], pa.binary())],
-                ["doc_id", "sig", "n", "firsts", "chunk", "counts"])
+                    part.column(0), pa.array([signature(s) for s in sets], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([rare_shingles(s, level) for s in sets], pa.int64()),
+                    pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "sig", "n", "rare", "firsts"])
 
     return run
 
@@ -287,13 +291,9 @@ def _sizes_allow(n_a, n_b, percent: int):
 # ---- round 1: stars -----------------------------------------------------------------
 
 def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    held = classes.select("sig", "n", F.posexplode("firsts").alias("i", "token"))
-    common = held.groupBy("i", "token").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-    grouped = materialise(held.join(common, ["i", "token"]), "jaccard-stars")
-    weight = grouped.groupBy("sig").agg(F.sum("c").alias("weight"))
-    member = grouped.join(weight, "sig")
-    centre = member.groupBy("i", "token").agg(F.max(F.struct("weight", "n", "sig")).alias("centre"))
-    return member.join(centre, ["i", "token"]).filter(
+    held = classes.select("sig", "n", "rare", F.posexplode("firsts").alias("i", "token"))
+    centre = held.groupBy("i", "token").agg(F.min(F.struct("rare", "n", "sig")).alias("centre"))
+    return held.join(centre, ["i", "token"]).filter(
         (F.col("sig") != F.col("centre.sig")) & _sizes_allow(F.col("n"), F.col("centre.n"), percent)
     ).select(F.least("sig", "centre.sig").alias("a"), F.greatest("sig", "centre.sig").alias("b")).distinct()
 
@@ -382,9 +382,13 @@ def _prefix_pairs(docs: DataFrame, classes: DataFrame, known: DataFrame, levels,
         .filter(F.col("lo") != F.col("hi")).select("token")
     few = materialise(member.join(mixed, "token", "left_semi"), "jaccard-mixed")
     x, y = few.alias("x"), few.alias("y")
+    # A shingle can only be the first that two linked sets share if enough of both
+    # follows it.  These shingles head the shared ones, so beyond the last of them
+    # no more than the shorter rest can be shared either.
+    rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                 & _sizes_allow(F.col("x.n"), F.col("y.n"), percent))
-    # Beyond the last shared prefix shingle no more than the shorter rest can be shared.
+                 & _sizes_allow(F.col("x.n"), F.col("y.n"), percent)
+                 & ((100 + percent) * (1 + rest) >= percent * (F.col("x.n") + F.col("y.n"))))
     per_pair = met.groupBy(F.col("x.sig").alias("s"), F.col("y.sig").alias("t")).agg(
         F.count(F.lit(1)).alias("k"), F.max("x.n").alias("n_s"), F.max("y.n").alias("n_t"),
         F.max("x.place").alias("at_s"), F.max("y.place").alias("at_t"))
@@ -400,14 +404,14 @@ def join_groups(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, s
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    scanned = materialise(docs.mapInArrow(
-        _profile(words, stars),
-        f"doc_id {kind}, sig long, n long, firsts array<long>, chunk int, counts binary"), "jaccard-profile")
-    rows = scanned.filter(F.col("chunk").isNull()).select("doc_id", "sig", "n", "firsts")
-    levels = spark.sparkContext.broadcast(_levels(
-        scanned.filter(F.col("chunk").isNotNull()).select("chunk", "counts")))
+    sketched = docs.select("text").mapInArrow(_sketch(words), "chunk int, counts binary")
+    levels = spark.sparkContext.broadcast(_levels(sketched))
+    rows = materialise(docs.mapInArrow(
+        _profile(levels, words, stars),
+        f"doc_id {kind}, sig long, n long, rare long, firsts array<long>"), "jaccard-profile")
     classes = materialise(rows.filter(F.col("n") > 0).groupBy("sig").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("firsts").alias("firsts")), "jaccard-classes")
+        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("rare").alias("rare"),
+        F.max("firsts").alias("firsts")), "jaccard-classes")
 
     stars_found = materialise(_star_pairs(classes, percent), "jaccard-star-pairs")
     links = materialise(verified(stars_found, docs, classes, levels, words, percent), "jaccard-links")
