@@ -100,11 +100,11 @@ def run_funnel_with_late(events: DataFrame, target: str, late: str, checkpoint:
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = read_upserted(spark, f"{target}__clock", "clock int, latest timestamp_ntz")
-        closed = F.col("latest") - F.expr(f"INTERVAL {delay}")
-        clock = seen.agg(F.max("latest").alias("latest"))      # one row
+        latest = seen.agg(F.max("latest").alias("latest")).first()["latest"]      # one value
+        closed = F.lit(latest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
         hour_ends = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz") \
             + F.expr("INTERVAL 1 HOUR")
-        behind = batch.join(F.broadcast(clock), hour_ends <= closed).select(*batch.columns)
+        behind = batch.where(hour_ends <= closed)
         behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
         counts = _hourly(batch)
         upsert(counts, batch_id, target, WINDOW_KEYS,
