@@ -20,21 +20,16 @@ an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from re import _constants as _sc
+from re import _parser as _sp
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import count_kind, match_spans, no_spans, sorted_spans, span_list
 
-try:
-    from re import _constants as _sc, _parser as _sp
-except ImportError:  # Python 3.10 and older
-    import sre_constants as _sc
-    import sre_parse as _sp
-
 
 def _everything(hit: Column) -> Column:
     return F.lit(True)
@@ -174,7 +169,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...], trigrams: list[str]) -
     """
     masks = [F.bit_or(F.when(
         F.floor(F.col("tid") / _WORD) == k,
-        F.shiftleft(F.lit(1).cast("long"), 0).cast("long") * F.pow(F.lit(2.0), F.col("tid") % _WORD).cast("long"),
+        F.pow(F.lit(2.0), F.col("tid") % _WORD).cast("long"),
     ).otherwise(F.lit(0).cast("long"))).alias(f"mask{k}") for k in range(1 + len(trigrams) // _WORD)]
     per_doc = index.groupBy("doc_id").agg(*masks)
     queries = {r.name: trigram_query(r.pattern) for r in rules}
