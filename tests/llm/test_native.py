@@ -84,7 +84,7 @@ def test_pii_terms_and_redaction(spark):
     """A term that stands beside one entity only is removed; common words stay."""
     texts = [f"the common words here {i} Zorblax writes from zor@example.com about common words" for i in range(6)]
     texts += [f"the common words here about number {i} without writes anything" for i in range(30)]
-    df = frame(spark, texts)
+    df = frame(spark, texts).withColumn("a.b", F.lit(1)).withColumn("__n", F.lit(2))
     rows = {r.doc_id: r.spans for r in pii.digest(pii.detect(df)).collect()}
     assert all("term_remove:24:31" in rows[i] for i in range(6)), rows[0]
     assert all(rows[i] == "" for i in range(6, 36))
