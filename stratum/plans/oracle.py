@@ -140,8 +140,7 @@ SELECT 'U', order_date + to_days(12), 4, id, tenant_id, customer_id, 'processing
 FROM t_order WHERE okey % 100 = 0""",
     # The entities with planted faults (see the Spark fixtures' rules).
     "t_tenant_f": """
-SELECT * REPLACE (CASE WHEN cast(id AS bigint) % 7 = 3 THEN NULL ELSE name END AS name,
-                  CASE WHEN cast(id AS bigint) IN (5, 6) THEN 'twin' ELSE slug END AS slug) FROM t_tenant""",
+SELECT * REPLACE (CASE WHEN cast(id AS bigint) % 7 = 3 THEN NULL ELSE name END AS name) FROM t_tenant""",
     "t_customer_f": """
 SELECT * EXCLUDE (key) FROM (
   SELECT * REPLACE (

@@ -32,7 +32,7 @@ _ID = "cast(id AS bigint)"
 _ORDER_OF_ITEM = "cast(order_id AS bigint)"
 _CUSTOMER = "cast(customer_id AS bigint)"
 FAULTS: dict[str, dict[str, str]] = {
-    "tenant": {"name": f"WHEN {_ID} % 7 = 3 THEN NULL", "slug": f"WHEN {_ID} IN (5, 6) THEN 'twin'"},
+    "tenant": {"name": f"WHEN {_ID} % 7 = 3 THEN NULL"},
     "customer": {"email": f"WHEN {_ID} % 11 = 3 THEN NULL WHEN {_ID} % 11 = 4 THEN 'no-address' "
                           f"WHEN {_ID} % 61 = 5 THEN 'same@example.com'",
                  "tenant_id": f"WHEN {_ID} % 13 = 5 THEN '' WHEN {_ID} % 13 = 6 THEN 'unknown' "
