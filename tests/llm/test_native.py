@@ -96,6 +96,17 @@ def test_pii_terms_and_redaction(spark):
     assert out[20] == texts[20]
 
 
+def test_pii_terms_of_an_entity_in_one_document(spark):
+    """One sighting judges a term of a rare entity, and not one of a hot entity."""
+    texts = ["common words here Zorblax writes from zor@example.com about common words"]
+    texts += [f"common words here about number {i} without writes anything from" for i in range(400)]
+    rows = {r.doc_id: r.spans for r in pii.digest(pii.detect(frame(spark, texts))).collect()}
+    assert [x for x in rows[0].split(",") if x.startswith("term_")] == ["term_generalise:18:25"]
+    assert not any(rows[i] for i in range(1, 401))
+    texts = ["common Quuxo hot@example.com words", *["common hot@example.com words", "common words"] * 30]
+    assert all("term_" not in r.spans for r in pii.digest(pii.detect(frame(spark, texts))).collect())
+
+
 def test_quality_metrics(spark):
     texts = HARD + random_texts(seed=7) + ["the cat of " + " ".join(f"w{i}" for i in range(80))]
     judged = quality_rules.quality(frame(spark, texts).drop("quality")).select("doc_id", "quality.*").collect()
