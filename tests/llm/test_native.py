@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,31 @@ def test_pii_terms_of_an_entity_in_one_document(spark):
     assert all("term_" not in r.spans for r in pii.digest(pii.detect(frame(spark, texts))).collect())
 
 
+def test_pii_terms_anywhere_in_the_document(spark):
+    """Short, numeric and many-word terms, far from the find, and in other documents with a find."""
+    filler = "common words stand here in every text. " * 5
+    texts = [f"Li 4711 {filler}\n{filler} Ann Lee zor@example.com common\n{filler} Li again from Ann Lee",
+             f"common Li 10.1.2.3 common {filler} again from Lee", "Ann common"]
+    texts += [f"{filler} Ann {filler}", f"{filler} Lee again from {filler}", filler] * 200
+    rows = {r.doc_id: r.spans for r in pii.digest(pii.detect(frame(spark, texts))).collect()}
+    for i, terms in ((0, ["Li", "4711", "Ann Lee"]), (1, ["Li"])):
+        want = {(m.start(), m.end()) for t in terms for m in re.finditer(rf"\b{t}\b", texts[i])}
+        got = [x.split(":") for x in rows[i].split(",") if x.startswith("term_")]
+        assert {(int(a), int(b)) for _, a, b in got} == want
+    assert not any(rows[i] for i in range(2, len(texts)))
+    out = {r.doc_id: r.text for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert not re.search(r"\bLi\b|4711|Ann Lee|zor@", out[0]) and not re.search(r"\bLi\b|10\.1", out[1])
+    assert all(out[i] == texts[i] for i in range(2, len(texts)))
+
+
+def test_pii_many_entities_of_one_document(spark):
+    """Entities of the same rows are one class, whatever their number."""
+    texts = [" ".join(f"user{i}@example.com unique{i}" for i in range(50)) + " common", *["common"] * 99]
+    found = pii.find(frame(spark, texts))
+    assert {(r.entity, r.term) for r in pii.disclosure(frame(spark, texts), found).collect()} == {
+        ("email:user0@example.com", f"unique{i}") for i in range(50)}
+
+
 def test_quality_metrics(spark):
     texts = HARD + random_texts(seed=7) + ["the cat of " + " ".join(f"w{i}" for i in range(80))]
     judged = quality_rules.quality(frame(spark, texts).drop("quality")).select("doc_id", "quality.*").collect()
