@@ -200,7 +200,8 @@ def _profile(levels, words: int, stars: int):
                     part.column(0), pa.array([signature(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([rare_shingles(s, level) for s in sets], pa.int64()),
-                    pa.array(firsts, pa.list_(pa.int64()))], ["doc_id", "sig", "n", "rare", "firsts"])
+                    pa.array(firsts, pa.list_(pa.int64())), *part.columns[2:]],
+                    ["doc_id", "sig", "n", "rare", "firsts", *part.schema.names[2:]])
 
     return run
 
@@ -399,16 +400,18 @@ def _prefix_pairs(docs: DataFrame, classes: DataFrame, known: DataFrame, levels,
 
 # ---- the join ---------------------------------------------------------------------------
 
-def join_groups(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, stars: int = STARS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``."""
+def _grouped(docs: DataFrame, words: int, percent: int, stars: int, hashed: bool = False) -> DataFrame:
+    """(doc_id, sig, n, component, component_id) per row of ``docs``, with the
+    ``text_hash`` if ``hashed``; the last two are null for the empty set."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    docs = docs.select("doc_id", text.alias("text"), *[F.xxhash64(text).alias("text_hash")] * hashed)
     sketched = docs.select("text").mapInArrow(_sketch(words), "chunk int, counts binary")
     levels = spark.sparkContext.broadcast(_levels(sketched))
     rows = materialise(docs.mapInArrow(
         _profile(levels, words, stars),
-        f"doc_id {kind}, sig long, n long, rare long, firsts array<long>"), "jaccard-profile")
+        f"doc_id {kind}, sig long, n long, rare long, firsts array<long>" + ", text_hash long" * hashed), "jaccard-profile")
     classes = materialise(rows.filter(F.col("n") > 0).groupBy("sig").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("rare").alias("rare"),
         F.max("firsts").alias("firsts")), "jaccard-classes")
@@ -424,17 +427,48 @@ def join_groups(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, s
     named = materialise(classes.select("sig", "doc_id").join(final.withColumnRenamed("node", "sig"), "sig", "left")
                         .withColumn("component", F.coalesce("component", "sig")), "jaccard-named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(least, "component").select(F.col("sig").alias("c_sig"), "component_id")
+    of_class = named.join(least, "component").select(F.col("sig").alias("c_sig"), "component", "component_id")
     return rows.join(of_class, (rows["sig"] == of_class["c_sig"]) & (rows["n"] > 0), "left").select(
+        "doc_id", "sig", "n", "component", "component_id", *["text_hash"] * hashed)
+
+
+def join_groups(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, stars: int = STARS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``."""
+    return _grouped(docs, words, percent, stars).select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = THRESHOLD, stars: int = STARS) -> DataFrame:
     """``docs``, same columns, with one document of each component: the least id.
 
-    Documents without words are kept: they are linked with nothing.
+    Rows are judged by (doc_id, hash of text), never by id alone.  Rows of a
+    component that share its least id are one document if their sets differ, and
+    all stay; of equal sets under one id one row stays, with the least text hash,
+    then the least hash of the row.  Null is no id: of a component without ids
+    only the least set stays.  Documents without words are kept: they are linked
+    with nothing.
     """
-    group = join_groups(docs, **params).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(group, docs["doc_id"].eqNullSafe(group["__gone_id"]), "left_anti")
+    rows = materialise(_grouped(docs, words, percent, stars, hashed=True).filter(F.col("n") > 0), "jaccard-grouped")
+    same_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # The rows that stand for a component, as keys; for one without ids, of one set.
+    heads = rows.filter(same_id).groupBy(
+        "component", "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("sig")).alias("set")).agg(
+        F.min(F.struct("sig", "text_hash")).alias("least")).select(
+        F.col("doc_id").alias("h_id"), F.col("least.text_hash").alias("h_hash"))
+    keys = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_rows"))
+    judged = materialise(keys.join(heads, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_hash") == F.col("h_hash")),
+                                   "left").select(F.col("doc_id").alias("__key_id"), F.col("text_hash").alias("__key_hash"),
+                                                  "n_rows", F.col("h_hash").isNotNull().alias("head")), "jaccard-judged")
+    on = docs["doc_id"].eqNullSafe(F.col("__key_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__key_hash"))
+    repeated = judged.filter(F.col("head") & (F.col("n_rows") > 1))
+    kept = docs.join(judged.filter(~F.col("head") | (F.col("n_rows") > 1)).select("__key_id", "__key_hash"), on, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    # Equal rows meet in a partial aggregation, so a hot key is no hot task.
+    cells = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    first = docs.join(repeated.select("__key_id", "__key_hash"), on, "left_semi").select(
+        F.col("doc_id").alias("__id"), F.xxhash64(F.col("text").cast("string")).alias("__hash"),
+        F.struct(*cells).alias("__row")).groupBy("__id", "__hash").agg(
+        F.min_by("__row", F.xxhash64("__row")).alias("__row"))
+    return kept.unionByName(first.select(*[F.col(f"__row.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

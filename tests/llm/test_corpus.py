@@ -344,6 +344,23 @@ def test_jaccard_keep_one_and_ids(spark):
     assert jaccard_join.join_groups(none).count() == 0
 
 
+def test_jaccard_keep_one_judges_rows_not_ids(spark):
+    """Unique texts under a null or shared id stay; each group leaves one document."""
+    t, u, v, w, x = (" ".join(f"{c}{i}" for i in range(30)) for c in "tuvwx")
+    df = spark.createDataFrame([
+        (5, t, 1), (None, t + " x", 2), (None, u, 3),          # a copy and a unique text without id
+        (7, t, 4), (7, v, 5), (6, w, 6), (8, w, 7), (8, v + " y", 8),  # ids of two texts
+        (None, x, 9), (None, x + " z", 10), (None, x, 11),     # a group without ids
+        (4, "equal rows of one id stay once", 12), (4, "equal rows of one id stay once", 12),
+        (4, "EQUAL rows of one id stay once", 12), (2, "", 13), (2, "", 13)],
+        "doc_id long, text string, `a.n` int")
+    kept = jaccard_join.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(r["a.n"] for r in kept.collect())
+    assert [n for n in got if n not in (9, 10, 11)] == [1, 3, 5, 6, 12, 13, 13]
+    assert sum(n in (9, 10, 11) for n in got) == 1
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)] + [(300, 300 + i) for i in range(1, 50)]
     df = spark.createDataFrame(links, "a long, b long")
