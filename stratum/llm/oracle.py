@@ -118,10 +118,43 @@ reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.y FROM
 SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = w.doc_id) AS component_id
 FROM w LEFT JOIN sizes s ON s.doc_id = w.doc_id"""
 
+DIVERGENCE = r"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     coalesce(text, '') AS t FROM documents),
+terms AS (SELECT d, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+          FROM (SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM docs)),
+kept AS (SELECT lang, term, count(*) AS n FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+held AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM terms t JOIN kept k ON k.lang = t.lang AND k.term = t.term
+         GROUP BY t.lang, t.source, t.term),
+totals AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+         1 + (1000000000 * cast(coalesce(h.n, 0) + 2 AS hugeint)) // cast(coalesce(t.total, 0) + 2 * l.v AS hugeint) AS p,
+         1 + (1000000000 * cast(k.n + 2 AS hugeint)) // cast(l.total + 2 * l.v AS hugeint) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, cast(value AS bigint) AS value, cast(rank AS integer) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 10"""
+
 ORACLE_SQL = {
     "op2_secret_scan": SECRETS,
     "op3_line_dedup": LINES,
     "op8_quality_rules": QUALITY,
     "op9_chat_format": CHATS,
     "op10_ngram_jaccard": JACCARD,
+    "op11_source_divergence": DIVERGENCE,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import ann, bpe, chat, jaccard_join, language, line_dedup, packing, pii, quality_rules, secret_scan
+from . import (ann, bpe, chat, divergence, jaccard_join, language, line_dedup, packing, pii, quality_rules,
+               secret_scan, simhash_cover, whitening)
 from .oracle import ORACLE_SQL
 
 
@@ -77,10 +78,23 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op12_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_cover.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(read_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_packing, op2_secret_scan, op3_line_dedup, op4_bpe, op5_language_id, op6_pii, op7_ann,
-        op8_quality_rules, op9_chat_format, op10_ngram_jaccard)}
+        op8_quality_rules, op9_chat_format, op10_ngram_jaccard, op11_source_divergence, op12_simhash_cover,
+        op13_whitening)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
