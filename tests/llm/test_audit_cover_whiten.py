@@ -288,7 +288,7 @@ def test_whitening_without_variance(spark):
     out = whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], schema)).collect()
     assert [(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in out] == [(1, "0", None, 0.0, None)] * 4
     flat = whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 2.0])], schema)).collect()
-    assert sorted((r.vec_id, r.component, r.whitened and round(abs(r.whitened), 9), r.explained) for r in flat) == [
+    assert sorted((r.vec_id, r.component, r.whitened and round(abs(r.whitened), 9), round(r.explained, 9)) for r in flat) == [
         (1, 1, 1.0, 1.0), (1, 2, None, 0.0), (2, 1, 1.0, 1.0), (2, 2, None, 0.0)]
     assert whitening.whiten(spark.createDataFrame([], schema)).count() == 0
 
