@@ -9,14 +9,15 @@ table read back as a batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import bronze
 from ..streaming import jobs
+from ..streaming.incremental_gold import IncrementalGold, run_incremental_gold
 from ..streaming.sinks import fresh_dir, read_upserted
-from .oracle import with_fixtures
+from .oracle import avg_money, month, with_fixtures
 from .registry import register
 from .silver_queries import _MERGED
 
@@ -194,3 +195,58 @@ def _upsert(s):
 
 
 register("stream_upsert_silver", "G7", with_fixtures(_MERGED.format(where="")))(_upsert)
+
+
+# ---------------------------------------------------------------- incremental Gold
+def _arrival() -> Column:
+    """The drop in which a change arrives: by commit time, but some updates come last,
+    after later changes of their order."""
+    late = (F.col("seq") == 1) & (F.col("id").cast("bigint") % 3 == 0)
+    day = F.col("commit_ts")
+    return (F.when(late, 3).when(day < F.lit("1997-01-01").cast("timestamp_ntz"), 0)
+            .when(day < F.lit("1999-01-01").cast("timestamp_ntz"), 1).otherwise(3))
+
+
+def _incremental(s) -> IncrementalGold:
+    """Four drops on one stream, the third of them a replay of the second."""
+    root = _run_dir(s, "incremental_gold")
+    src, target, ckpt = f"{root}/changes", f"{root}/gold", f"{root}/ckpt"
+    log = s.order_changes().withColumn("_drop", _arrival())
+    _drop_and_run([log.where(F.col("_drop") == n).drop("_drop") for n in (0, 1, 1, 3)], src, lambda: run_incremental_gold(
+        jobs.read_parquet_stream(s.spark, src, log.drop("_drop").schema), target, ckpt, retain=4))
+    return IncrementalGold(s.spark, target, retain=4)
+
+
+def _incremental_revenue(s):
+    """C1 after every drop."""
+    gold = _incremental(s)
+    found = [gold.revenue_by_tenant_monthly(s.tenant, v).withColumn("version", F.lit(v)) for v in range(4)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+_KNOWN = """
+  SELECT * FROM (
+    SELECT v.version, l.*, row_number() OVER (PARTITION BY v.version, id ORDER BY commit_ts DESC, seq DESC) AS rn
+    FROM (SELECT *, CASE WHEN seq = 1 AND okey % 3 = 0 THEN 3 WHEN commit_ts < timestamp '1997-01-01' THEN 0
+                         WHEN commit_ts < timestamp '1999-01-01' THEN 1 ELSE 3 END AS arrival FROM t_order_log) l
+    JOIN (SELECT unnest([0, 1, 2, 3]) AS version) v ON l.arrival <= v.version)
+  WHERE rn = 1 AND op <> 'D' AND status = 'completed'"""
+
+register("gold_incremental", "G2", with_fixtures(f"""
+SELECT o.version, o.tenant_id, t.name AS tenant_name, {month('o.order_date')} AS month,
+       count(o.id) AS order_count, cast(sum(o.total) AS double) AS total_revenue,
+       {avg_money('o.total')} AS avg_order_value, count(DISTINCT o.customer_id) AS unique_customers
+FROM ({_KNOWN}) o JOIN t_tenant t ON o.tenant_id = t.id
+GROUP BY o.version, o.tenant_id, t.name, {month('o.order_date')}"""))(_incremental_revenue)
+
+register("gold_incremental_ltv", "G2", with_fixtures(f"""
+SELECT o.tenant_id, t.name AS tenant_name, o.customer_id, c.email,
+       count(o.id) AS total_orders, cast(sum(o.total) AS double) AS lifetime_value,
+       {avg_money('o.total')} AS avg_order_value,
+       min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date,
+       cast(date_diff('day', cast(min(o.order_date) AS date), cast(max(o.order_date) AS date)) AS integer) AS customer_age_days
+FROM ({_KNOWN}) o JOIN t_customer c ON c.id = o.customer_id AND c.tenant_id = o.tenant_id
+JOIN t_tenant t ON t.id = o.tenant_id
+WHERE o.version = 3
+GROUP BY o.tenant_id, t.name, o.customer_id, c.email"""))(
+    lambda s: _incremental(s).customer_ltv(s.customer, s.tenant))
