@@ -12,7 +12,7 @@ written as pieces at powers of two, which need no padding either.
 Packing runs inside the tasks that tokenise, on blocks of a bounded number of
 tokens: no shuffle, nothing on the driver, memory bounded by the block and the
 longest single document.  A lost task is repeated with the same result, since
-its rows come from the same scan in the same order.
+its rows come from the same scan in the same order (after a shuffle: ``pin_order``).
 
 Defined results: null or empty text is the end id alone; repeated rows and
 rows with a null or repeated doc_id are packed one by one; an empty table
@@ -34,6 +34,7 @@ from .tokens import default_path, library_cache
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 2_000_000
+PART_BYTES = 4 << 20            # text that is tokenised at a time
 # Sequence ids: the task in the high bits, the window's number in the low ones.
 TASK_SHIFT = 36
 
@@ -134,38 +135,58 @@ class Packer:
             self._emit(pieces)
 
 
+def _parts(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts have up to ``most`` bytes, or of one longer row."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield at, min(end, len(texts))
+        at = end
+
+
 def _window_batches(path: str, window: int, end_id: int, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << TASK_SHIFT
         cache, packer = library_cache(path), Packer(window)
         keys: dict[int, object] = {}
-        ids: dict[int, np.ndarray] = {}
+        ids: dict[int, np.ndarray] = {}             # views of a block's ids
         n_items = held = 0
         key_type = None
 
         def flush() -> Iterator[pa.RecordBatch]:
             pieces, packer.out = packer.out, []
-            for i in range(0, len(pieces), 2000):
-                some = pieces[i:i + 2000]
-                item, start, length, seq, offset = (list(x) for x in zip(*some, strict=True))
+            for i in range(0, len(pieces), 5000):
+                some = pieces[i:i + 5000]
+                item, start, length, seq, offset = zip(*some, strict=True)
+                cut = np.concatenate([ids[k][s:s + n] for k, s, n, *_ in some])
+                ends = np.concatenate(([0], np.cumsum(length))) * 4
                 yield pa.RecordBatch.from_arrays([
                     pa.array([keys[k] for k in item], key_type), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()),
-                    pa.array([ids[k][s:s + n].tobytes() for k, s, n in zip(item, start, length, strict=True)], pa.binary()),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(some), [
+                        None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cut)]),
                     pa.array([len(ids[k]) for k in item], pa.int64()),
-                    pa.array([base + s for s in seq], pa.int64()), pa.array(offset, pa.int64())],
+                    pa.array(np.array(seq, np.int64) + base), pa.array(offset, pa.int64())],
                     ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
             live = {item for rest in packer.rests.values() for item, _ in rest}
-            for gone in [k for k in ids if k not in live]:
-                del ids[gone], keys[gone]
+            for k in [k for k in ids if k not in live]:
+                del ids[k], keys[k]
+            for k in live:
+                ids[k] = ids[k].copy()              # lets go of the block
 
         for batch in batches:
             key_type = batch.column(0).type
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.append(cache.ids([text.as_py() or ""])[0], np.uint32(end_id)).astype("<u4")
-                keys[n_items], ids[n_items] = key, own
-                packer.add(n_items, len(own))
-                n_items, held = n_items + 1, held + len(own)
+            texts = batch.column(1).cast(pa.large_string())
+            for a, b in _parts(texts, PART_BYTES):
+                found, ends = cache.column_ids(texts.slice(a, b - a))
+                block = np.insert(found, ends, end_id).astype("<u4")
+                at = 0
+                for key, end in zip(batch.column(0).slice(a, b - a).to_pylist(),
+                                    (ends + np.arange(1, b - a + 1)).tolist(), strict=True):
+                    keys[n_items], ids[n_items] = key, block[at:end]
+                    packer.add(n_items, end - at)
+                    n_items, held, at = n_items + 1, held + end - at, end
                 if held >= block_tokens:
                     packer.fill()
                     yield from flush()
@@ -178,14 +199,19 @@ def _window_batches(path: str, window: int, end_id: int, block_tokens: int):
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id: int = END_ID,
-         block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+         block_tokens: int = BLOCK_TOKENS, pin_order: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (binary, little-endian
     unsigned 32 bit), doc_tokens, sequence_id, offset.
 
     Pieces of a sequence, in the order of offset and without gaps, are its ids.
+    ``pin_order`` is for rows that come from a shuffle, whose order may change when a
+    task is repeated: they are sorted inside their partitions first.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if pin_order:
+        rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    return rows.mapInArrow(
         _window_batches(path or default_path(), window, end_id, block_tokens),
         f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 

@@ -11,13 +11,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
 
 # str.split() takes these for white space, the tokenizers do not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile("[^\\S\x1c-\x1f]+")
+_BYTE = np.arange(256)
+_BLANK = np.isin(_BYTE, [9, 10, 11, 12, 13, 32])
+_LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
+_LETTERS, _MARKS = "abcdefghijklmnopqrstuvwxyz", ",.;:!?"
+_IS_LETTER, _IS_MARK = (np.isin(_BYTE, [ord(c) for c in s]) for s in (_LETTERS + _LETTERS.upper(), _MARKS))
 DEFAULT_FILE = "word_bpe_49k.json"
 
 
@@ -61,10 +68,16 @@ class Generations:
 
 
 class ChunkCache:
-    """Texts to ids (uint32) through ``encode_many``, which maps chunks to ids."""
+    """Texts to ids (uint32) through ``encode_many``, which maps chunks to ids.
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]]):
-        self.chunks = Generations(lambda new: [np.asarray(i, "<u4").tobytes() for i in encode_many(new)])
+    ``lowers``: ASCII letters may be lower-cased first; ``splits``: a mark of
+    ``_MARKS`` that ends a chunk after an ASCII letter is a chunk of its own.  Both only
+    make chunks alike, so fewer have to be encoded.
+    """
+
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]], lowers: bool = False, splits: bool = False):
+        self.chunks = Generations(lambda new: [array("I", i).tobytes() for i in encode_many(new)])
+        self.lowers, self.splits = lowers, splits
 
     def ids(self, texts: list[str], part: int = 50_000) -> list[np.ndarray]:
         """Ids of each text; a long text is looked up ``part`` chunks at a time."""
@@ -76,6 +89,43 @@ class ChunkCache:
         return out
 
 
+    def column_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all texts of a column, one after the other, and
+        where each text's ids end.
+
+        The chunks between ASCII white space are found on the bytes of the whole
+        column and numbered by Arrow; only distinct ones are looked up.
+        """
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        starts = offsets[:-1] - offsets[0]
+        if self.lowers and b"<|" not in memoryview(raw).tobytes():      # special tokens keep their case
+            raw = _LOWER[raw]
+        inside = ~_BLANK[raw]
+        begin, end = inside.copy(), inside.copy()
+        cuts = starts[(starts > 0) & (starts < len(raw))]
+        begin[1:] &= ~inside[:-1]
+        end[:-1] &= ~inside[1:]
+        begin[cuts] = inside[cuts]
+        end[cuts - 1] = inside[cuts - 1]
+        if self.splits:
+            last = np.flatnonzero(end & _IS_MARK[raw])
+            last = last[~begin[last]]
+            last = last[_IS_LETTER[raw[last - 1]]]
+            begin[last] = end[last - 1] = True
+        at, to = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        bounds = np.concatenate(([0], np.cumsum(to - at)))
+        chunks = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(raw[inside]))
+        coded = chunks.dictionary_encode()
+        found = self.chunks.lookup(coded.dictionary.to_pylist())
+        which = coded.indices.to_numpy()
+        ids = np.frombuffer(b"".join([found[i] for i in which.tolist()]), "<u4")
+        until = np.cumsum((np.fromiter(map(len, found), np.int64, len(found)) // 4)[which])
+        n_chunks = np.searchsorted(at, np.append(starts[1:], len(raw)))     # up to each text's end
+        return ids, np.concatenate(([0], until))[n_chunks]
+
+
 _LIBRARY: dict[str, ChunkCache] = {}
 
 
@@ -87,6 +137,10 @@ def library_cache(path: str) -> ChunkCache:
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
+        # What the vocabulary's own rules do with every letter, and with every letter and mark.
+        lowers = tok.normalizer is not None and tok.normalizer.normalize_str(_LETTERS.upper()) == _LETTERS
+        splits = tok.pre_tokenizer is not None and all(
+            len(tok.pre_tokenizer.pre_tokenize_str(c + m)) == 2 for c in _LETTERS + _LETTERS.upper() for m in _MARKS)
         _LIBRARY[path] = ChunkCache(
-            lambda chunks: [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)])
+            lambda chunks: [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)], lowers, splits)
     return _LIBRARY[path]
