@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, placed, span_texts
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART = ("struct<kind:string,text:string,ref:string,width:int,height:int,"
@@ -107,18 +107,10 @@ def format_chats(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",))
         return F.struct(head.alias("head"), t["shown"].alias("shown"),
                         t["role"].isin(*loss_roles).alias("loss"))
 
-    def masked(pieces: Column) -> Column:
-        zero = F.struct(F.lit(0).cast("long").alias("at"),
-                        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("out"))
-
-        def step(acc: Column, p: Column) -> Column:
-            start = acc["at"] + F.length(p["head"])
-            end = start + F.length(p["shown"])
-            span = F.array(F.struct(start.alias("start"), end.alias("end")))
-            return F.struct((end + len(END) + 1).alias("at"),
-                            F.when(p["loss"], F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-        return F.aggregate(pieces, zero, step, lambda acc: acc["out"])
+    def spoken(at: Column, p: Column) -> tuple[Column, Column, Column]:
+        start = at + F.length(p["head"])
+        end = start + F.length(p["shown"])
+        return end + len(END) + 1, p["loss"], F.struct(start.alias("start"), end.alias("end"))
 
     attachments = F.transform(
         F.flatten(F.transform("turns", lambda t: t["attached"])),
@@ -130,7 +122,7 @@ def format_chats(turns: DataFrame, loss_roles: tuple[str, ...] = ("assistant",))
         "conv_id", F.size("pieces").cast("long").alias("n_turns"),
         F.array_join(F.transform("pieces", lambda p: F.concat(
             p["head"], p["shown"], F.lit(END + "\n"))), "").alias("formatted"),
-        masked(F.col("pieces")).alias("loss"), "attachments")
+        placed(F.col("pieces"), "struct<start:bigint,end:bigint>", spoken).alias("loss"), "attachments")
 
 
 def read_back(formatted: Column) -> Column:
@@ -148,5 +140,4 @@ def read_back(formatted: Column) -> Column:
 
 def loss_text(formatted: Column, loss: Column) -> Column:
     """The unescaped text under the loss mask, nothing between the spans."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substr(
-        formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    return F.array_join(F.transform(span_texts(formatted, loss), unescape), "")

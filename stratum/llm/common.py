@@ -39,8 +39,47 @@ def words(text: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column],
-                text_offset: Column | None = None) -> Column:
+CHUNK = 256     # entries of an array that are folded together
+
+
+def in_chunks(items: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of every run of ``CHUNK`` entries of a non-empty array.
+
+    A fold that appends to an array copies it each time.  Folding chunks, and then
+    the few chunks, keeps that cost in proportion to the array.
+    """
+    last = F.floor((F.size(items) - 1) / CHUNK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: body(F.slice(items, i * CHUNK + 1, F.lit(CHUNK))))
+
+
+def _starts(chunks: Column, after: Callable[[Column, Column], Column]) -> Column:
+    """Where every chunk begins: 0, then ``after(start, chunk)`` of the one before."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    return F.aggregate(chunks, zero, lambda acc, c: F.struct(
+        after(acc["at"], c).cast("long").alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"])
+
+
+def placed(pieces: Column, spans: str, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
+    """Spans along a row of pieces.  ``step(at, piece)`` gives the position after the
+    piece, whether it makes a span, and that span (of the type ``spans``, with start and end)."""
+    empty = F.array().cast(f"array<{spans}>")
+    zero = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+
+    def fold(acc: Column, p: Column) -> Column:
+        after, keep, span = step(acc["at"], p)
+        return F.struct(after.cast("long").alias("at"),
+                        F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    def shifted(start: Column, chunk: Column) -> Column:
+        return F.transform(chunk["out"], lambda s: s.withField("start", s["start"] + start).withField("end", s["end"] + start))
+
+    some = let(in_chunks(pieces, lambda part: F.aggregate(part, zero, fold)), lambda chunks: F.flatten(
+        F.zip_with(chunks, _starts(chunks, lambda at, c: at + c["at"]), lambda c, start: shifted(start, c))))
+    return F.when(F.size(pieces) > 0, some).otherwise(empty)
+
+
+def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
     """Spans of the leftmost non-overlapping matches of a Java pattern.
 
     ``array<struct<start,end,hit>>`` in code points, end exclusive, only the
@@ -48,26 +87,54 @@ def match_spans(text: Column, pattern: str, keep: Callable[[Column], Column],
     ``regexp_extract_all`` the matches of the same scan, so a running sum of
     their lengths gives the positions.  The pattern must not match empty text.
     """
-    offset = F.lit(0).cast("long") if text_offset is None else text_offset
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("long"))
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def place(gap: Column, hit: Column) -> Column:
-        pairs = F.arrays_zip(gap.alias("gap"), hit.alias("hit"))
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string>>")
-        zero = F.struct(offset.alias("at"), empty.alias("out"))
+    def step(at: Column, p: Column) -> tuple[Column, Column, Column]:
+        start = at + p["gap"]
+        end = start + F.coalesce(F.length(p["hit"]), F.lit(0))
+        return end, p["hit"].isNotNull() & keep(p["hit"]), F.struct(start.alias("start"), end.alias("end"), p["hit"].alias("hit"))
+
+    return let(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")),
+               lambda pairs: placed(pairs, "struct<start:bigint,end:bigint,hit:string>", step))
+
+
+def _piece(text: Column, start: Column, end: Column) -> Column:
+    return F.substr(text, (start + 1).cast("int"), F.greatest(F.lit(0), end - start).cast("int"))
+
+
+def span_texts(text: Column, spans: Column) -> Column:
+    """The texts of spans sorted by start, as an array.
+
+    A position in a text is found by counting from its start, so the text of a
+    chunk of spans is cut out first."""
+    def of(part: Column) -> Column:
+        first, last = F.get(part, F.lit(0))["start"], F.array_max(F.transform(part, lambda s: s["end"]))
+        return let(F.struct(_piece(text, first, last).alias("text"), first.alias("first")), lambda own: F.transform(
+            part, lambda s: _piece(own["text"], s["start"] - own["first"], s["end"] - own["first"])))
+
+    return F.when(F.size(spans) > 0, F.flatten(in_chunks(spans, of))).otherwise(F.array().cast("array<string>"))
+
+
+def replace_spans(text: Column, spans: Column, fill: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with ``fill(span, at)`` in place of its spans, which are sorted by start
+    and may overlap; ``at`` is the position up to which text has been written."""
+    zero = F.array().cast("array<string>")
 
-        def step(acc: Column, p: Column) -> Column:
-            start = acc["at"] + p["gap"]
-            end = start + F.length(p["hit"])
-            row = F.array(F.struct(start.alias("start"), end.alias("end"), p["hit"].alias("hit")))
-            return F.when(p["hit"].isNull(), acc).otherwise(
-                F.struct(end.alias("at"), F.concat(acc["out"], row).alias("out")))
+    def of(chunk: Column, begin: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(
+                _piece(acc["own"], acc["at"] - begin, s["start"] - begin), fill(s, acc["at"]))).alias("out"),
+                acc["own"].alias("own"))
 
-        return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+        start = F.struct(begin.alias("at"), zero.alias("out"), _piece(text, begin, chunk["last"]).alias("own"))
+        return F.aggregate(chunk["part"], start, step, lambda acc: F.array_join(acc["out"], ""))
 
-    spans = let(gaps, lambda g: let(hits, lambda h: place(g, h)))
-    return F.filter(spans, lambda s: keep(s["hit"]))
+    cut = in_chunks(spans, lambda part: F.struct(part.alias("part"), F.array_max(F.transform(part, lambda s: s["end"])).alias("last")))
+    done = let(cut, lambda chunks: F.array_join(F.zip_with(
+        chunks, _starts(chunks, lambda at, c: F.greatest(at, c["last"])), of), ""))
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.when(F.size(spans) > 0, F.concat(done, F.substr(text, (end + 1).cast("int")))).otherwise(text)
 
 
 def no_spans() -> Column:

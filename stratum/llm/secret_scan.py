@@ -48,8 +48,10 @@ _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 RULES = (
     Rule("assign", _ASSIGN,
          lambda hit: F.length(F.regexp_extract(hit, _ASSIGN, 1)) >= 8, base=True),
-    Rule("access", r"AKIA[A-Z0-9]+", lambda hit: F.length(hit) >= 16, base=True),
-    Rule("hex", r"[0-9a-f]+", lambda hit: F.length(hit) >= 32, base=True),
+    # Runs of one class: asking for the length in the pattern drops the same runs as
+    # testing it afterwards, since a later start in a run only leaves less of it.
+    Rule("access", r"AKIA[A-Z0-9]{12,}", base=True),
+    Rule("hex", r"(?<![0-9a-f])[0-9a-f]{32,}", base=True),
     # Added by the method: formats that announce themselves.
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]+", lambda hit: F.length(hit) >= 40),

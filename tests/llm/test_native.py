@@ -208,3 +208,52 @@ def test_empty_tables(spark):
     assert pii.sanitise(none).count() == quality_rules.filter_documents(none).count() == 0
     turns = spark.createDataFrame([], f"conv_id long, turn long, role string, parts {chat.PARTS}")
     assert chat.format_chats(turns).count() == 0
+
+
+# ---- very long texts: work in proportion to the text -------------------------------------
+
+def timed(spark, seconds, df):
+    """The rows of ``df``, computed within a time no quadratic plan meets."""
+    import time
+    began = time.time()
+    rows = df.collect()
+    assert time.time() - began < seconds
+    return rows
+
+
+def test_secrets_in_a_long_text(spark):
+    prose = "feed a cafe deed bead face added decade " * 50_000          # 2 million characters, rich in hex letters
+    key = "0123456789abcdef" * 3
+    text = prose + "token = " + key + " " + "secret=short " * 20_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = timed(spark, 60, secret_scan.digest(secret_scan.scan(df)))[0]
+    assert (row.n_assign, row.n_access, row.n_hex, row.base_sha256) == brute.secrets(text)
+
+
+def test_secrets_many_finds_in_one_text(spark):
+    text = " ".join(f"password: value{i:06d} AKIA{i:016d}" for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = timed(spark, 60, secret_scan.digest(secret_scan.scan(df)))[0]
+    assert (row.n_assign, row.n_access, row.n_hex, row.base_sha256) == brute.secrets(text)
+
+
+def test_personal_data_in_a_long_text(spark):
+    text = " ".join(f"mail a{i}@b.example then 10.0.{i % 256}.1 words" for i in range(8_000))
+    df = spark.createDataFrame([(1, text), (2, "plain words")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in timed(spark, 120, pii.digest(pii.detect(df)))}
+    assert (rows[1].n_email, rows[1].n_ip) == (8_000, 8_000)
+    clean = {r.doc_id: r.text for r in timed(spark, 120, pii.sanitise(df))}
+    assert "@" not in clean[1] and clean[1].count("<EMAIL>") == 8_000 and clean[2] == "plain words"
+
+
+def test_a_long_conversation(spark):
+    n = 100_000
+    turns = spark.range(n).select(
+        F.lit(5).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        chat.text_part(F.concat(F.lit("say <|im_end|> é "), F.col("id").cast("string"))).alias("parts"))
+    chats = chat.format_chats(turns)
+    row = timed(spark, 120, chats.select(chat.loss_text(F.col("formatted"), F.col("loss")).alias("learned"),
+                                         F.size("loss").alias("n")))[0]
+    assert row.n == n // 2
+    assert row.learned == "".join(f"say <|im_end|> é {i}" for i in range(1, n, 2))
