@@ -23,7 +23,8 @@ _SPACES = re.compile("[^\\S\x1c-\x1f]+")
 _BYTE = np.arange(256)
 _BLANK = np.isin(_BYTE, [9, 10, 11, 12, 13, 32])
 _LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
-_LETTERS, _MARKS = "abcdefghijklmnopqrstuvwxyz", ",.;:!?"
+# Marks that never stand in a special token or a contraction.
+_LETTERS, _MARKS = "abcdefghijklmnopqrstuvwxyz", "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 _IS_LETTER, _IS_MARK = (np.isin(_BYTE, [ord(c) for c in s]) for s in (_LETTERS + _LETTERS.upper(), _MARKS))
 DEFAULT_FILE = "word_bpe_49k.json"
 
@@ -70,8 +71,8 @@ class Generations:
 class ChunkCache:
     """Texts to ids (uint32) through ``encode_many``, which maps chunks to ids.
 
-    ``lowers``: ASCII letters may be lower-cased first; ``splits``: a mark of
-    ``_MARKS`` that ends a chunk after an ASCII letter is a chunk of its own.  Both only
+    ``lowers``: ASCII letters may be lower-cased first; ``splits``: the marks of
+    ``_MARKS`` that end a chunk after an ASCII letter are a chunk of their own.  Both only
     make chunks alike, so fewer have to be encoded.
     """
 
@@ -110,10 +111,14 @@ class ChunkCache:
         begin[cuts] = inside[cuts]
         end[cuts - 1] = inside[cuts - 1]
         if self.splits:
-            last = np.flatnonzero(end & _IS_MARK[raw])
-            last = last[~begin[last]]
-            last = last[_IS_LETTER[raw[last - 1]]]
-            begin[last] = end[last - 1] = True
+            mark = inside & _IS_MARK[raw]
+            first, last = mark & begin, mark & end      # of every run of marks
+            first[1:] |= mark[1:] & ~mark[:-1]
+            last[:-1] |= mark[:-1] & ~mark[1:]
+            run = np.flatnonzero(first)
+            run = run[end[np.flatnonzero(last)] & ~begin[run]]
+            run = run[_IS_LETTER[raw[run - 1]]]
+            begin[run] = end[run - 1] = True
         at, to = np.flatnonzero(begin), np.flatnonzero(end) + 1
         bounds = np.concatenate(([0], np.cumsum(to - at)))
         chunks = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(raw[inside]))
@@ -129,6 +134,37 @@ class ChunkCache:
 _LIBRARY: dict[str, ChunkCache] = {}
 
 
+def _encoder(tok) -> Callable[[list[str]], list[list[int]]]:
+    """Chunks to ids by a tokenizer of the library.
+
+    A chunk of letters that the tokenizer's own rules leave as they are, and take as one
+    piece, goes straight to its merges; every other chunk goes through the tokenizer.
+    """
+    plain: dict[str, str] = {}
+    if tok.normalizer is not None and tok.pre_tokenizer is not None:
+        for c in map(chr, range(ord("a"), 0x250)):
+            if c.isalpha() and tok.normalizer.normalize_str(c) == c:
+                alone, joined = (tok.pre_tokenizer.pre_tokenize_str(t) for t in (c, f"{c}a{c}"))
+                if len(alone) == len(joined) == 1 and joined[0][0] == f"{alone[0][0]}a{alone[0][0]}":
+                    plain[c] = alone[0][0]
+    letters, table, model = "".join(plain), str.maketrans(plain), tok.model
+
+    def encode(chunks: list[str]) -> list[list[int]]:
+        out, rest = [], []
+        for chunk in chunks:
+            if chunk.strip(letters):
+                rest.append(len(out))
+                out.append([])
+            else:
+                out.append([t.id for t in model.tokenize(chunk.translate(table))])
+        found = tok.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found, strict=True):
+            out[i] = e.ids
+        return out
+
+    return encode
+
+
 def library_cache(path: str) -> ChunkCache:
     """The tokenizers library behind a ``ChunkCache``, one per worker and file."""
     if path not in _LIBRARY:
@@ -141,6 +177,5 @@ def library_cache(path: str) -> ChunkCache:
         lowers = tok.normalizer is not None and tok.normalizer.normalize_str(_LETTERS.upper()) == _LETTERS
         splits = tok.pre_tokenizer is not None and all(
             len(tok.pre_tokenizer.pre_tokenize_str(c + m)) == 2 for c in _LETTERS + _LETTERS.upper() for m in _MARKS)
-        _LIBRARY[path] = ChunkCache(
-            lambda chunks: [e.ids for e in tok.encode_batch_fast(chunks, add_special_tokens=False)], lowers, splits)
+        _LIBRARY[path] = ChunkCache(_encoder(tok), lowers, splits)
     return _LIBRARY[path]
