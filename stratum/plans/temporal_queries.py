@@ -1,11 +1,12 @@
-"""Joins over time and ordered funnels, with their DuckDB oracles."""
+"""Joins over time, ordered funnels, distributions and table differences, with their DuckDB oracles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import sequences, silver, temporal
-from .oracle import with_fixtures
+from ..operators import distributions, sequences, silver, table_diff, temporal
+from ..sources.staging import staged
+from .oracle import month, with_fixtures
 from .registry import register
 
 _SUB_LOG = """
@@ -101,3 +102,54 @@ SELECT s.tenant_id, coalesce(n, 0) AS cart_sessions, coalesce(n, 0) - coalesce(m
 FROM shops s LEFT JOIN (SELECT tenant_id, count(*) AS n FROM carts GROUP BY 1) a ON a.tenant_id IS NOT DISTINCT FROM s.tenant_id
 LEFT JOIN (SELECT tenant_id, count(*) AS m FROM bought GROUP BY 1) b ON b.tenant_id IS NOT DISTINCT FROM s.tenant_id""".replace("WITH ", "SELECT * FROM (WITH ", 1) + ")"))(
     lambda s: sequences.cart_abandonment_ordered(s.event))
+
+
+# ---------------------------------------------------------------- F10 / C1: distributions
+register("session_duration_quantiles", "F10", with_fixtures("""
+SELECT cast(start AS date) AS day, count(*) AS sessions,
+       cast(quantile_disc(us, 0.5) AS double) / 1000000 AS p50_seconds,
+       cast(quantile_disc(us, 0.95) AS double) / 1000000 AS p95_seconds
+FROM (SELECT min(created_at) AS start, date_diff('microsecond', min(created_at), max(created_at)) AS us
+      FROM t_event WHERE created_at IS NOT NULL GROUP BY tenant_id, session_id)
+GROUP BY 1"""))(lambda s: distributions.session_duration_quantiles(s.event))
+
+# Fewer than 2^12 customers a tenant and month at the driver's scales, so the sketches are exact.
+register("customers_from_sketches", "C1", with_fixtures(f"""
+WITH held AS (SELECT DISTINCT tenant_id, {month('order_date')} AS month, customer_id FROM t_order WHERE status = 'completed'),
+counts AS (SELECT tenant_id, {month('order_date')} AS month, count(id) AS order_count FROM t_order
+           WHERE status = 'completed' GROUP BY 1, 2)
+SELECT c.tenant_id, c.month, c.order_count, n AS unique_customers,
+       CASE WHEN EXISTS (SELECT 1 FROM counts p WHERE p.tenant_id = c.tenant_id AND p.month + INTERVAL 1 MONTH = c.month)
+            THEN (SELECT count(*) FROM held a JOIN held b ON a.tenant_id = b.tenant_id AND a.customer_id = b.customer_id
+                  AND b.month + INTERVAL 1 MONTH = a.month WHERE a.tenant_id = c.tenant_id AND a.month = c.month) END
+         AS retained_customers
+FROM counts c JOIN (SELECT tenant_id, month, count(*) AS n FROM held GROUP BY 1, 2) h
+  ON h.tenant_id = c.tenant_id AND h.month = c.month""".replace("\nWITH", "\nSELECT * FROM (WITH", 1) + ")"))(
+    lambda s: distributions.customers_and_retention(staged(distributions.daily_customer_sketches(s.order), "customer-sketches")))
+
+
+# ---------------------------------------------------------------- E3, row by row
+_DIFF_COLUMNS = ["id", "tenant_id", "customer_id", "order_number", "status", "total", "order_date"]
+
+
+def _order_diff(s):
+    """Silver orders against the same orders with planted faults, some of them lost or twice."""
+    left = s.order.select(*_DIFF_COLUMNS)
+    n = F.col("id").cast("bigint")
+    right = s.faulty("order").select(*_DIFF_COLUMNS).where(n % 211 != 5)
+    right = right.unionByName(right.where(n % 223 == 6))
+    return table_diff.diff(left, right, ["id"])
+
+
+register("order_row_diff", "E3", with_fixtures("""
+SELECT a.id, CASE WHEN a.okey % 211 = 5 THEN 'removed' WHEN cols <> '' THEN 'changed' ELSE 'recount' END AS change,
+       CASE WHEN a.okey % 211 <> 5 AND a.okey % 223 <> 6 THEN cols END AS columns,
+       cast(1 AS bigint) AS left_rows,
+       cast(CASE WHEN a.okey % 211 = 5 THEN 0 WHEN a.okey % 223 = 6 THEN 2 ELSE 1 END AS bigint) AS right_rows
+FROM t_order a JOIN (
+  SELECT f.id, concat_ws(',', CASE WHEN f.customer_id IS DISTINCT FROM o.customer_id THEN 'customer_id' END,
+                         CASE WHEN f.order_number IS DISTINCT FROM o.order_number THEN 'order_number' END,
+                         CASE WHEN f.status IS DISTINCT FROM o.status THEN 'status' END,
+                         CASE WHEN f.total IS DISTINCT FROM o.total THEN 'total' END) AS cols
+  FROM t_order_f f JOIN t_order o ON o.id = f.id) d ON d.id = a.id
+WHERE a.okey % 211 = 5 OR cols <> '' OR a.okey % 223 = 6"""))(_order_diff)
