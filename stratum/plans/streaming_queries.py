@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sources import bronze
 from ..streaming import jobs
 from ..streaming.incremental_gold import IncrementalGold, run_incremental_gold
-from ..streaming.sinks import fresh_dir, read_upserted
+from ..streaming.sinks import fresh_dir
 from .oracle import avg_money, month, with_fixtures
 from .registry import register
 from .silver_queries import _MERGED
@@ -65,10 +65,9 @@ def _funnel(s):
     src, target, ckpt = f"{root}/events", f"{root}/funnel", f"{root}/ckpt"
     ev = s.event.select("id", "tenant_id", "customer_id", "event_type", "created_at")
     schema = ev.schema
-    counts = jobs.funnel_counts(ev)
     _drop_and_run([ev.where(c) for c in _day_slices(ev)], src, lambda: jobs.run_funnel_upsert(
         jobs.funnel_counts(jobs.read_parquet_stream(s.spark, src, schema)), target, ckpt))
-    return read_upserted(s.spark, target, counts.schema).select("tenant_id", "event_type", "hour", "event_count")
+    return jobs.funnel_table(s.spark, target).read().select("tenant_id", "event_type", "hour", "event_count")
 
 
 def _late_events(s):
@@ -86,7 +85,7 @@ def _late_events(s):
     hour = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz")
     behind = s.spark.read.schema(ev.schema).parquet(f"{late}/batch=*").groupBy(
         "tenant_id", "event_type", hour.alias("hour")).agg(F.count(F.lit(1)).alias("late_events"))
-    return read_upserted(s.spark, target, jobs.FUNNEL).join(behind, jobs.WINDOW_KEYS, "left").select(
+    return jobs.late_funnel_store(s.spark, target).read("counts").join(behind, jobs.WINDOW_KEYS, "left").select(
         *jobs.WINDOW_KEYS, "event_count", F.coalesce("late_events", F.lit(0)).alias("late_events"))
 
 

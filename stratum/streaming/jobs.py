@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..operators.silver import SILVER_TYPES, _op_rank
 from ..sources import bronze
-from .sinks import latest_per_key, read_upserted, run_available_now, summed_per_key, upsert
+from .runs import Keyed, RunStore, UpsertTable
+from .sinks import latest_per_key, run_available_now, summed_per_key
 
 
 # ---------------------------------------------------------------- G1 / G2
@@ -80,38 +81,58 @@ def funnel_counts(events: DataFrame, delay: str = "1 hour", window: str = "1 hou
                     "event_count"))
 
 
+def funnel_table(spark: SparkSession, target: str) -> UpsertTable:
+    """The table of ``run_funnel_upsert``: the counts of a window as its last batch had them."""
+    return UpsertTable(spark, target, f"{FUNNEL}, _batch bigint", WINDOW_KEYS,
+                       lambda rows: latest_per_key(rows, WINDOW_KEYS, [F.col("_batch")]))
+
+
 def run_funnel_upsert(counts: DataFrame, target: str, checkpoint: str) -> None:
     """Update mode + idempotent upsert: closed and open windows are both exact
     in the table; state is evicted by the watermark."""
+    table = funnel_table(counts.sparkSession, target)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id, target, WINDOW_KEYS,
-               lambda rows: latest_per_key(rows, WINDOW_KEYS, [F.col("_batch")]))
+        table.upsert(batch.withColumn("_batch", F.lit(batch_id).cast("bigint")), batch_id)
     run_available_now(counts.writeStream.outputMode("update").foreachBatch(sink), checkpoint)
 
 
+def late_funnel_store(spark: SparkSession, target: str) -> RunStore:
+    """The tables of ``run_funnel_with_late``, committed together: counts, and the clock
+    (the latest event time of each batch; one row once merged)."""
+    return RunStore(spark, target, {
+        "counts": Keyed(FUNNEL, lambda rows: summed_per_key(rows, WINDOW_KEYS, ["event_count"])),
+        "clock": Keyed("clock int, latest timestamp_ntz", lambda rows: rows.groupBy("clock").agg(
+            F.max("latest").alias("latest")))})
+
+
 def run_funnel_with_late(events: DataFrame, target: str, late: str, checkpoint: str, delay: str = "1 hour") -> None:
     """Counts that late events correct, and a side table of those events.
 
     Counts are additive, so each micro-batch is counted by itself and added to
-    the table (the sink applies a batch once): an event counts whenever it
+    the table (a batch is committed once): an event counts whenever it
     arrives, and no state is kept.  Events whose hour had closed, by the latest
     time of earlier batches less ``delay``, are also written to ``late``.
     """
+    store = late_funnel_store(events.sparkSession, target)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = read_upserted(spark, f"{target}__clock", "clock int, latest timestamp_ntz")
-        latest = seen.agg(F.max("latest").alias("latest")).first()["latest"]      # one value
+        last = store.last()
+        if last is not None and batch_id <= last:
+            return
+        latest = store.read("clock").agg(F.max("latest").alias("latest")).first()["latest"]      # one value
         closed = F.lit(latest).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
         hour_ends = F.date_trunc("hour", F.col("created_at").cast("timestamp")).cast("timestamp_ntz") \
             + F.expr("INTERVAL 1 HOUR")
-        behind = batch.where(hour_ends <= closed)
-        behind.write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        counts = _hourly(batch)
-        upsert(counts, batch_id, target, WINDOW_KEYS,
-               lambda rows: summed_per_key(rows, WINDOW_KEYS, ["event_count"]))
-        now = batch.agg(F.max("created_at").alias("latest")).select(F.lit(0).alias("clock"), "latest")
-        upsert(now, batch_id, f"{target}__clock", ["clock"],
-               lambda rows: rows.groupBy("clock").agg(F.max("latest").alias("latest")), buckets=1)
+        batch = batch.persist()     # read for the late events, the counts and the clock
+        try:
+            batch.where(hour_ends <= closed).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+            store.write("counts", batch_id, _hourly(batch))
+            store.write("clock", batch_id, batch.agg(F.max("created_at").alias("latest")).select(
+                F.lit(0).alias("clock"), "latest"))
+        finally:
+            batch.unpersist()
+        store.commit(batch_id, ["counts", "clock"])
     run_available_now(events.writeStream.outputMode("append").foreachBatch(sink), checkpoint)
 
 
@@ -156,20 +177,38 @@ def merge_order(changes_cols: list[str]) -> list[Column]:
     return [F.col("commit_ts"), seq, _op_rank()]
 
 
-def run_silver_upsert(changes: DataFrame, target: str, checkpoint: str, key: str = "id") -> None:
+def _without_old_tombstones(days: int):
+    """Drop deleted rows whose delete is older than ``days`` before the table's last change."""
+    def settle(rows: DataFrame) -> DataFrame:
+        last = rows.agg(F.max("commit_ts").alias("t")).first()["t"]      # one value
+        old = F.col("commit_ts") < F.lit(last).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+        return rows.where(~((F.col("op") == "D") & F.coalesce(old, F.lit(False))))
+    return settle
+
+
+def silver_table(spark: SparkSession, target: str, schema, key: str = "id",
+                 tombstone_days: int | None = None) -> UpsertTable:
+    """The table of ``run_silver_upsert``: the latest change of every key."""
+    columns = [f.name for f in schema]
+    return UpsertTable(spark, target, schema, [key], lambda rows: latest_per_key(rows, [key], merge_order(columns)),
+                       None if tombstone_days is None else _without_old_tombstones(tombstone_days))
+
+
+def run_silver_upsert(changes: DataFrame, target: str, checkpoint: str, key: str = "id",
+                      tombstone_days: int | None = None) -> None:
     """Each micro-batch of changes is merged latest-wins into Silver.
 
     Latest rows are kept with their op, so a delete is a tombstone that a
     late, older update cannot resurrect; readers filter ``op <> 'D'``
-    (``silver_view``).  Only the buckets touched by the batch are rewritten.
+    (``silver_view``).  A batch writes its own rows; runs are merged as they add up
+    (``runs.RunStore``).  With ``tombstone_days``, tombstones older than that leave when all
+    runs become one; changes that come later than that may then revive a key.
     """
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch, batch_id, target, [key],
-               lambda rows: latest_per_key(rows, [key], merge_order(batch.columns)))
-    run_available_now(changes.writeStream.outputMode("update").foreachBatch(sink), checkpoint)
+    table = silver_table(changes.sparkSession, target, changes.schema, key, tombstone_days)
+    run_available_now(changes.writeStream.outputMode("update").foreachBatch(table.upsert), checkpoint)
 
 
 def silver_view(spark: SparkSession, target: str, entity: str, schema) -> DataFrame:
     """Current Silver rows of an upserted table: tombstones removed, typed."""
-    rows = read_upserted(spark, target, schema).where(F.col("op") != "D")
+    rows = silver_table(spark, target, schema).read().where(F.col("op") != "D")
     return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in SILVER_TYPES[entity].items() if c in rows.columns])

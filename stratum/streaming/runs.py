@@ -25,6 +25,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .sinks import _Folder
 
@@ -34,8 +36,8 @@ Frame = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Keyed:
-    """A table: schema (DDL), its merge, and what a merge of all runs leaves."""
-    schema: str
+    """A table: schema, its merge, and what a merge of all runs leaves."""
+    schema: str | StructType
     merge: Frame
     settle: Frame | None = None
 
@@ -152,3 +154,39 @@ class RunStore:
                     if n <= version and (table, f"{kind}{n}") not in used:
                         self._folder.delete(f"{table}/{kind}{n}")
         self._folder.delete("_work")
+
+
+class UpsertTable:
+    """A keyed table that micro-batches are merged into, as runs.
+
+    A batch writes its own merged rows, not the buckets or partitions they fall in; rows
+    without a complete key are kept apart (``rejected``).
+    """
+
+    def __init__(self, spark: SparkSession, target: str, schema: str | StructType, keys: list[str], merge: Frame,
+                 settle: Frame | None = None):
+        self.keys, self.merge = keys, merge
+        self.store = RunStore(spark, target, {"rows": Keyed(schema, merge, settle), "rejected": Keyed(schema, lambda rows: rows)})
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> bool:
+        """Merge a batch; False if it was merged before."""
+        last = self.store.last()
+        if last is not None and batch_id <= last:
+            return False
+        keyless = F.lit(False)
+        for k in self.keys:
+            keyless = keyless | F.col(k).isNull()
+        batch = batch.persist()
+        try:
+            self.store.write("rows", batch_id, self.merge(batch.where(~keyless)))
+            self.store.write("rejected", batch_id, batch.where(keyless))
+        finally:
+            batch.unpersist()
+        self.store.commit(batch_id, ["rows", "rejected"])
+        return True
+
+    def read(self) -> DataFrame:
+        return self.store.read("rows")
+
+    def rejected(self) -> DataFrame:
+        return self.store.read("rejected")

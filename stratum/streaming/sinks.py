@@ -1,4 +1,7 @@
-"""Idempotent micro-batch sinks for Structured Streaming (used by G3, G4, G7).
+"""Idempotent micro-batch sinks for Structured Streaming.
+
+The jobs G3, G4 and G7 write runs (``runs.py``); ``upsert`` is for tables whose readers want
+each key in one known bucket.
 
 ``upsert`` merges a micro-batch into a keyed table.  The table is cut into a
 fixed number of buckets by a hash of the key, so a key lives in one bucket

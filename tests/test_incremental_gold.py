@@ -154,3 +154,25 @@ def test_run_store_settles_only_whole_merges(spark):
     with pytest.raises(ValueError):
         store.commit(3, ["sums"])
     assert {r.k: r.n for r in store.lookup("sums", spark.createDataFrame([("k2",), ("zz",)], "k string")).collect()} == {"k2": 7}
+
+
+def test_upsert_table_keeps_keyless_rows_and_expires_tombstones(spark):
+    from stratum.streaming.jobs import silver_table
+    schema = spark.createDataFrame([], "op string, commit_ts timestamp_ntz, seq int, id string, status string").schema
+    table = silver_table(spark, scratch(), schema, tombstone_days=5)
+
+    def batch(day, *rows):
+        return spark.createDataFrame([(op, T0 + timedelta(days=day), 0, i, s) for op, i, s in rows], schema)
+
+    def now():
+        return {r.id: (r.op, r.status) for r in table.read().collect()}
+
+    assert table.upsert(batch(0, ("I", "a", "new"), ("I", "b", "new"), ("I", None, "lost"), ("I", None, "lost")), 0)
+    assert table.upsert(batch(1, ("D", "a", None), ("U", "b", "done")), 1)
+    assert not table.upsert(batch(1, ("U", "b", "replayed")), 1)
+    assert table.upsert(batch(0, ("U", "a", "late and old")), 2)
+    assert now() == {"a": ("D", None), "b": ("U", "done")}
+    assert table.rejected().count() == 2
+    assert table.upsert(batch(9, ("I", "c", "new"), ("I", "d", "new")), 3)      # all runs become one
+    assert table.upsert(batch(9, ("D", "d", None)), 4)
+    assert now() == {"b": ("U", "done"), "c": ("I", "new"), "d": ("I", "new")} | {"d": ("D", None)}
