@@ -11,7 +11,7 @@ An n-gram is one integer, 21 bits per character, so counting is sorting.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0,
 as is every text when nothing was learned; texts of any length are counted
-whole, in segments of bounded size; repeated rows are judged one by one; an
+whole, in segments of bounded size that go on from each other; repeated rows are judged one by one; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -40,27 +40,26 @@ def _letters() -> np.ndarray:
     return np.where(is_letter, every, EDGE)
 
 
-def _segment_grams(text: str) -> np.ndarray:
+def _segment_grams(text: str, before: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end in this segment, and the codes that the next one goes on from."""
     codes = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
-    codes = np.concatenate(([EDGE], codes, [EDGE]))
+    codes = np.concatenate((before, codes, [EDGE] if last else []))
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != EDGE) | (codes[:-1] != EDGE)
-    c = codes[keep]
+    c = codes[keep].astype(np.int64)
+    one = c[len(before):]
     two = (c[:-1] << 21) | c[1:]
-    three = (two[:-1] << 21) | c[2:]
-    return np.concatenate((c[c != EDGE], two, three[c[1:-1] != EDGE] if len(c) > 2 else three[:0]))
+    three = ((two[:-1] << 21) | c[2:])[c[1:-1] != EDGE] if len(c) > 2 else two[:0]
+    known = max(0, len(before) - 1)         # pairs of ``before`` were counted with it
+    return np.concatenate((one[one != EDGE], two[known:], three)), c[-2:]
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text (ascending) and their counts."""
-    low, parts, at = text.lower(), [], 0
-    while at < len(low):
-        end = at + SEGMENT
-        if end < len(low):   # cut between words where one ends near by
-            space = low.rfind(" ", at + 1, end)
-            end = space if space > at else end
-        parts.append(np.unique(_segment_grams(low[at:end]), return_counts=True))
-        at = end
+    low, parts, before = text.lower(), [], np.array([EDGE])
+    for at in range(0, len(low), SEGMENT):
+        found, before = _segment_grams(low[at:at + SEGMENT], before, at + SEGMENT >= len(low))
+        parts.append(np.unique(found, return_counts=True))
     return _added(parts)
 
 

@@ -128,7 +128,7 @@ class ChunkCache:
         ids = np.frombuffer(b"".join([found[i] for i in which.tolist()]), "<u4")
         until = np.cumsum((np.fromiter(map(len, found), np.int64, len(found)) // 4)[which])
         n_chunks = np.searchsorted(at, np.append(starts[1:], len(raw)))     # up to each text's end
-        return ids, np.concatenate(([0], until))[n_chunks]
+        return ids, np.concatenate(([0], until))[n_chunks[:len(texts)]]
 
 
 _LIBRARY: dict[str, ChunkCache] = {}

@@ -162,3 +162,43 @@ def jaccard_components(rows: list[tuple]) -> dict:
 
 def is_held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+# ---- language -----------------------------------------------------------------------
+
+def language_grams(text):
+    """n-grams of letters with word edges, as integers of 21 bits a character."""
+    edge, codes = 1, [1]
+    for ch in (text or "").lower():
+        code = ord(ch) if ch.isalpha() else edge
+        if code != edge or codes[-1] != edge:
+            codes.append(code)
+    if codes[-1] != edge:
+        codes.append(edge)
+    found = Counter(c for c in codes if c != edge)
+    found.update(a << 21 | b for a, b in zip(codes, codes[1:]))
+    found.update(a << 42 | b << 21 | c for a, b, c in zip(codes, codes[1:], codes[2:]) if b != edge)
+    return found
+
+
+def languages(train, asked, top=400):
+    """(id, language, score) by out-of-place distance to the profiles of ``train`` (text, lang)."""
+    total = defaultdict(Counter)
+    for text, lang in train:
+        if text is not None and lang is not None:
+            total[lang].update(language_grams(text))
+
+    def ranks(counts):
+        return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], g))[:top])}
+
+    profiles = {lang: ranks(c) for lang, c in total.items() if c}
+    out = []
+    for i, text in asked:
+        if not profiles or not any(c.isalpha() for c in (text or "").lower()):
+            out.append((i, "und", 0.0))
+            continue
+        own = ranks(language_grams(text))
+        far = {lang: sum(abs(p[g] - r) if g in p else top for g, r in own.items()) for lang, p in profiles.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        out.append((i, best, 1 - far[best] / (top * len(own))))
+    return out

@@ -107,6 +107,23 @@ def check_packing(rows, texts, window=2048):
         assert at == window or at < window and at & (at - 1) == 0
 
 
+def test_column_ids_match_the_library():
+    """Chunks numbered by Arrow, letters straight to the merges: the ids of whole texts."""
+    import random
+
+    import pyarrow as pa
+    rnd, lib, cache = random.Random(5), library(), tokens.library_cache(tokens.default_path())
+    parts = ["a", "B", "é", "É", ",", ".", "!", "***", "-", "'", "s", "S", " ", "\n", "<|endoftext|>", "<", "|>", "1", "½",
+             "\u0301", "—", "日", "Σ", "\x85", "\x1c", "İ", "ı", "ß", "ǆ", "ŉ", "ª"]
+    texts = [t or "" for t in HARD] + ["".join(rnd.choice(parts) for _ in range(rnd.randrange(12))) for _ in range(4000)]
+    texts += [f"{a}{chr(c)}{b}" for c in range(1, 0x300) for a in ("", "a") for b in ("b", ".", "!?")]
+    for some in (texts, [t for t in texts if "<|" not in t], ["", ""], []):
+        ids, ends = cache.column_ids(pa.array(["skipped", *some], pa.string()).slice(1))
+        assert len(ends) == len(some)
+        for at, end, t in zip([0, *ends.tolist()], ends.tolist(), some):
+            assert ids[at:end].tolist() == lib.encode(t, add_special_tokens=False).ids, t
+
+
 def test_packing_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     check_packing(queries.queries()["op1_packing"](spark, SMALL).collect(), texts)
@@ -212,6 +229,25 @@ def test_language_query(spark):
     assert right > 0.97, right
 
 
+def test_language_matches_brute_force(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    out = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in rows}
+    want = brute.languages([(t, lang) for i, t, lang in rows if not out[i]], [(i, t) for i, t, _ in rows])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.queries()["op5_language_id"](spark, SMALL).collect()}
+    assert {i: lang for i, lang, _ in want} == {i: g[0] for i, g in got.items()}
+    assert all(abs(got[i][1] - score) < 1e-12 for i, _, score in want)
+
+
+def test_language_segments_go_on_from_each_other(monkeypatch):
+    text = "Straße " * 20 + "日本語" * 40 + "..a1b " + "x" * 50 + " É" + "\n" * 9
+    codes, n = language.grams(text)
+    assert dict(zip(codes.tolist(), n.tolist(), strict=True)) == brute.language_grams(text)
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(language, "SEGMENT", size)
+        again = language.grams(text)
+        assert again[0].tolist() == codes.tolist() and again[1].tolist() == n.tolist()
+
+
 def test_language_cases(spark):
     df = spark.createDataFrame([(1, "the cat and the dog", "en", "x"), (2, "le chat et le chien", "fr", "y"),
                                 (3, "nothing", None, "z"), (4, None, "de", "z")],
