@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import distributions, sequences, silver, table_diff, temporal
+from ..operators import cube, distributions, sequences, silver, table_diff, temporal
 from ..sources.staging import staged
 from .oracle import month, with_fixtures
 from .registry import register
@@ -153,3 +153,14 @@ FROM t_order a JOIN (
                          CASE WHEN f.total IS DISTINCT FROM o.total THEN 'total' END) AS cols
   FROM t_order_f f JOIN t_order o ON o.id = f.id) d ON d.id = a.id
 WHERE a.okey % 211 = 5 OR cols <> '' OR a.okey % 223 = 6"""))(_order_diff)
+
+
+# ---------------------------------------------------------------- C1-C3 with all subtotals
+register("revenue_cube", "C3", with_fixtures(f"""
+SELECT tenant_id, category, month, cast(GROUPING(tenant_id, category, month) AS integer) AS level,
+       count(*) AS items, cast(sum(quantity) AS bigint) AS units, cast(sum(total) AS double) AS revenue,
+       count(DISTINCT customer_id) AS customers
+FROM (SELECT o.tenant_id, p.category, {month('o.order_date')} AS month, o.customer_id, i.quantity, i.total
+      FROM t_item i JOIN t_order o ON o.id = i.order_id AND o.status = 'completed'
+      LEFT JOIN t_product p ON p.id = i.product_id)
+GROUP BY CUBE (tenant_id, category, month)"""))(lambda s: cube.revenue_cube(s.orderitem, s.order, s.product))

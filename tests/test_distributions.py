@@ -126,3 +126,26 @@ def test_only_differing_buckets_are_compared(spark):
     assert [tuple(r) for r in table_diff.diff(a, b, ["k"]).collect()] == [("77", "changed", "n", 1, 1)]
     with pytest.raises(ValueError):
         table_diff.diff(a, b.withColumnRenamed("n", "m"), ["k"])
+
+
+def test_cube_scans_the_facts_once(spark, shop):
+    from stratum.operators import cube
+    text = plan_text(cube.revenue_cube(shop.orderitem, shop.order, shop.product)).split("== Initial Plan ==")[0]
+    assert text.count("lineitem.parquet]") == 1 and text.count("orders.parquet]") == 1 and text.count("Expand") == 1
+
+
+def test_cube_tells_null_from_subtotal(spark):
+    from decimal import Decimal
+    from datetime import datetime
+
+    from stratum.operators import cube
+    items = spark.createDataFrame([("o1", "p1", 2, Decimal(5)), ("o1", "p2", 1, Decimal(3)), ("o2", "p1", 1, Decimal(2))],
+                                  "order_id string, product_id string, quantity int, total decimal(10,2)")
+    orders = spark.createDataFrame([("o1", None, "c1", "completed", datetime(2024, 1, 5)), ("o2", "t", "c1", "completed", datetime(2024, 1, 6))],
+                                   "id string, tenant_id string, customer_id string, status string, order_date timestamp_ntz")
+    products = spark.createDataFrame([("p1", "A")], "id string, category string")
+    got = {(r.tenant_id, r.category, r.level): (r["items"], r.revenue, r.customers)
+           for r in cube.revenue_cube(items, orders, products).collect() if r.month is None}
+    assert got[None, None, 7] == (3, 10.0, 1)           # the grand total: one customer
+    assert got[None, None, 3] == (2, 8.0, 1) and got["t", None, 3] == (1, 2.0, 1)       # tenant NULL, tenant t
+    assert got[None, None, 5] == (1, 3.0, 1) and got[None, "A", 5] == (2, 7.0, 1)       # category NULL, A
