@@ -1,11 +1,11 @@
 """BPE encoding and decoding (4) by dynamic programming over prefixes.
 
 For every prefix of a word exactly one token can be the last one of its BPE
-encoding.  The suffix automaton of the vocabulary (tokens read backwards) lists
-the tokens that end at a position; the one that is compatible with the last
-token of the prefix before it is the prefix's last token.  Following the last
-tokens back from the end of the word gives the ids that merging would give, in
-time linear in the word, also for words of any length.
+encoding.  A trie of the tokens read backwards, which stands in for a suffix
+automaton, lists the tokens that end at a position; the one that is compatible
+with the last token of the prefix before it is the prefix's last token.
+Following the last tokens back from the end of the word gives the ids that
+merging would give, in time linear in the word times the longest token.
 
 Two tokens are compatible if they stand side by side in the encoding of their
 concatenation.  A merge applies as soon as its pair exists, and a pair's merge

@@ -8,7 +8,9 @@ State of a ``LineIndex``:
 
 ``insert`` and ``delete`` change the references, recount the keys concerned and
 put into or take out of the filters the keys that became frequent or ceased to
-be; deleting what was inserted restores the state, so the dedup is reversible.
+be; deleting what was inserted restores references, counts and results, so the
+dedup is reversible.  A filter that was once full stays full: it keeps giving right
+results, but saves no work any more.
 
 ``dedup`` asks the filters first.  They have a fixed size (``n_shards`` x
 ``n_buckets`` x 8 bytes, 4 MB as given), whatever the corpus, and travel to all
