@@ -33,8 +33,8 @@ def register(key: str, op_id: str, oracle: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills REGISTRY.
     from . import (analytics_queries, gold_queries, metrics_queries,  # noqa: F401
-                   io_queries, quality_queries, silver_queries, streaming_queries,
-                   temporal_queries)
+                   io_queries, quality_queries, silver_queries, star_queries,
+                   streaming_queries, temporal_queries)
     return REGISTRY
 
 

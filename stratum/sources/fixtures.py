@@ -305,6 +305,50 @@ class Shop:
                 .selectExpr("op", "cast(at AS timestamp_ntz) AS commit_ts", "seq", "id", "customer_id",
                             "tenant_id", "plan_name", "new_status AS status"))
 
+    def customer_changes(self) -> DataFrame:
+        """Change log of ``customer``: everyone is inserted when created; id % 7 = 0
+        is delivered again unchanged after 30 days, id % 9 = 4 moves to another country
+        after 400 days, id % 27 = 4 back after 500, id % 45 = 4 is deleted after 600."""
+        k = "cast(id AS bigint)"
+        versions = ("inline(filter(array("
+                    "named_struct('op', 'I', 'seq', 0, 'days', 0, 'now', metadata.country), "
+                    f"CASE WHEN {k} % 7 = 0 THEN named_struct('op', 'U', 'seq', 1, 'days', 30, 'now', metadata.country) END, "
+                    f"CASE WHEN {k} % 9 = 4 THEN named_struct('op', 'U', 'seq', 2, 'days', 400, 'now', 'MOVED') END, "
+                    f"CASE WHEN {k} % 27 = 4 THEN named_struct('op', 'U', 'seq', 3, 'days', 500, 'now', metadata.country) END, "
+                    f"CASE WHEN {k} % 45 = 4 THEN named_struct('op', 'D', 'seq', 4, 'days', 600, 'now', 'MOVED') END), "
+                    "v -> v IS NOT NULL))")
+        return (self.customer.selectExpr(versions, "id", "tenant_id", "email", "created_at")
+                .selectExpr("op", "created_at + make_dt_interval(days) AS commit_ts", "seq", "id", "tenant_id",
+                            "email", "now AS country"))
+
+    def product_changes(self) -> DataFrame:
+        """Change log of ``product``: id % 3 = 0 is repriced on 1996-01-01, id % 12 = 0
+        back on 1997-01-01, id % 10 = 1 gets another category on 1996-09-01."""
+        k = "cast(id AS bigint)"
+        dearer = "cast(cost * cast(1.1 AS decimal(2,1)) AS decimal(10,2))"
+        versions = ("inline(filter(array("
+                    "named_struct('op', 'I', 'seq', 0, 'commit_ts', created_at, 'new_cost', cost, 'now', category), "
+                    f"CASE WHEN {k} % 3 = 0 THEN named_struct('op', 'U', 'seq', 1, 'commit_ts', "
+                    f"timestamp_ntz '1996-01-01 00:00:00', 'new_cost', {dearer}, 'now', category) END, "
+                    f"CASE WHEN {k} % 10 = 1 THEN named_struct('op', 'U', 'seq', 2, 'commit_ts', timestamp_ntz "
+                    f"'1996-09-01 00:00:00', 'new_cost', CASE WHEN {k} % 3 = 0 THEN {dearer} ELSE cost END, 'now', 'CLEARANCE') END, "
+                    f"CASE WHEN {k} % 12 = 0 THEN named_struct('op', 'U', 'seq', 3, 'commit_ts', "
+                    "timestamp_ntz '1997-01-01 00:00:00', 'new_cost', cost, 'now', category) END), v -> v IS NOT NULL))")
+        return (self.product.selectExpr(versions, "id", "tenant_id", "sku")
+                .selectExpr("op", "commit_ts", "seq", "id", "tenant_id", "sku", "now AS category", "new_cost AS cost"))
+
+    def tenant_changes(self) -> DataFrame:
+        """Change log of ``tenant``: id % 4 = 1 changes to enterprise on 1996-07-01, id % 8 = 1 back a year later."""
+        k = "cast(id AS bigint)"
+        versions = ("inline(filter(array("
+                    "named_struct('op', 'I', 'seq', 0, 'commit_ts', created_at, 'now', plan_type), "
+                    f"CASE WHEN {k} % 4 = 1 THEN named_struct('op', 'U', 'seq', 1, 'commit_ts', "
+                    "timestamp_ntz '1996-07-01 00:00:00', 'now', 'enterprise') END, "
+                    f"CASE WHEN {k} % 8 = 1 THEN named_struct('op', 'U', 'seq', 2, 'commit_ts', "
+                    "timestamp_ntz '1997-07-01 00:00:00', 'now', plan_type) END), v -> v IS NOT NULL))")
+        return self.tenant.selectExpr(versions, "id", "name", "plan_type").selectExpr(
+            "op", "commit_ts", "seq", "id", "name", "now AS plan_type")
+
     def customer_redelivered(self) -> DataFrame:
         """Silver customers plus a re-delivered copy of every 7th one (upper-case
         e-mail, one day newer) - the input of the de-duplication operator.
