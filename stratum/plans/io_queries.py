@@ -6,11 +6,13 @@ Files go to fresh folders under the shared checkpoint root
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import gold
 from ..session import scratch_path
-from ..sources import bronze, sinks
+from ..sources import bronze, layout, sinks
 from ..streaming.sinks import fresh_dir
 from .gold_queries import PRODUCT_PERFORMANCE_SQL, REVENUE_MONTHLY_SQL
 from .oracle import with_fixtures
@@ -149,3 +151,21 @@ def _colocated_performance(s):
 # C3 over the bucketed layout: the items x orders join shuffles neither side.
 register("product_performance_colocated", "A5", with_fixtures(PRODUCT_PERFORMANCE_SQL))(
     _colocated_performance)
+
+
+def _zorder(s):
+    """Events of tenants '1' to '15' (in string order) in two weeks, from the files that can hold any."""
+    path = _dir(s, "events_zorder")
+    ev = s.event.select("id", "tenant_id", "event_type", "created_at")
+    layout.write_zorder(ev, path, ["tenant_id", "created_at"], rows_per_file=5_000)
+    first = ev.agg(F.min("created_at").alias("t")).first()["t"].replace(hour=0, minute=0, second=0, microsecond=0)
+    rows = layout.read_between(s.spark, path, ev.schema, {
+        "tenant_id": ("1", "15"), "created_at": (first + timedelta(days=5), first + timedelta(days=19))})
+    return rows.groupBy("tenant_id", "event_type").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+register("events_zorder_range", "A9", with_fixtures("""
+SELECT tenant_id, event_type, count(*) AS event_count
+FROM t_event, (SELECT date_trunc('day', min(created_at)) AS first FROM t_event)
+WHERE tenant_id BETWEEN '1' AND '15' AND created_at BETWEEN first + to_days(5) AND first + to_days(19)
+GROUP BY ALL"""))(_zorder)

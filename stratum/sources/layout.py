@@ -47,16 +47,21 @@ def zorder_key(df: DataFrame, columns: list[str], bits: int = BITS) -> Column:
                     for i, c in enumerate(columns)]).first()         # 2 ** bits - 1 numbers a column
     key = F.lit(0).cast("long")
     for i, c in enumerate(columns):
-        bounds = F.array(*map(F.lit, sorted(set(cuts[i] or [])))).cast("array<double>")
-        place = _place(df, c).cast("double")
-        number = F.coalesce(F.size(F.filter(bounds, lambda b, p=place: b <= p)).cast("long"), F.lit(0).cast("long"))
-        number = F.when(place.isNull(), F.lit(0).cast("long")).otherwise(number)
+        number = _range_number(_place(df, c).cast("double"), sorted(set(cuts[i] or [])), bits)
         for b in range(bits):
             bit = F.shiftright(number, b).bitwiseAND(F.lit(1).cast("long"))
             key = key + F.shiftleft(bit, b * len(columns) + i)
     return key
 
 
+def _range_number(place: Column, cuts: list, bits: int) -> Column:
+    """How many of the cuts are at or below a place, stretched to ``bits`` bits if frequent
+    values leave fewer cuts, so that every column's first bits divide it; 0 for null."""
+    passed = F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda cut: cut <= place)
+    stretched = F.floor(F.size(passed) * F.lit(2.0 ** bits / (len(cuts) + 1)))
+    return F.when(place.isNull(), 0).otherwise(stretched).cast("long")
+
+
 def _bounds_path(path: str) -> str:
     return path.rstrip("/") + "_bounds"
 
