@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import bronze
-from ..streaming import jobs
+from ..streaming import jobs, matching
 from ..streaming.incremental_gold import IncrementalGold, run_incremental_gold
 from ..streaming.sinks import fresh_dir
 from .oracle import avg_money, month, with_fixtures
@@ -249,3 +249,55 @@ JOIN t_tenant t ON t.id = o.tenant_id
 WHERE o.version = 3
 GROUP BY o.tenant_id, t.name, o.customer_id, c.email"""))(
     lambda s: _incremental(s).customer_ltv(s.customer, s.tenant))
+
+
+# ---------------------------------------------------------------- joins and checks with state
+def _cart_purchases(s):
+    """Carts with their purchases of the next 24 hours; a cart without one is listed once its window has closed."""
+    root = _run_dir(s, "carts")
+    src, target, ckpt = f"{root}/events", f"{root}/pairs", f"{root}/ckpt"
+    ev = s.event.select("id", "customer_id", "event_type", "created_at")
+
+    def run():
+        carts, bought = (jobs.read_parquet_stream(s.spark, src, ev.schema).where(F.col("event_type") == t)
+                         for t in ("add_to_cart", "purchase"))
+        matching.run_append(matching.carts_with_purchases(carts, bought), target, ckpt)
+    _drop_and_run([ev.where(c) for c in _day_slices(ev)], src, run)
+    return s.spark.read.parquet(target)
+
+
+register("stream_cart_purchases", "F9", with_fixtures("""
+SELECT c.id AS cart_id, c.customer_id, c.created_at AS cart_at, p.id AS purchase_id, p.created_at AS purchase_at
+FROM t_event c LEFT JOIN (SELECT * FROM t_event WHERE event_type = 'purchase') p
+  ON p.customer_id = c.customer_id AND p.created_at >= c.created_at AND p.created_at < c.created_at + INTERVAL 24 HOUR
+WHERE c.event_type = 'add_to_cart' AND c.customer_id IS NOT NULL
+  AND (p.id IS NOT NULL OR c.created_at + INTERVAL 25 HOUR <= (
+    SELECT least(max(created_at) FILTER (WHERE event_type = 'add_to_cart'), max(created_at) FILTER (WHERE event_type = 'purchase'))
+    FROM t_event WHERE customer_id IS NOT NULL))"""))(_cart_purchases)
+
+
+def _order_findings(s):
+    """The order change log in three drops by commit time, checked as it comes."""
+    root = _run_dir(s, "order_findings")
+    src, target, ckpt = f"{root}/changes", f"{root}/findings", f"{root}/ckpt"
+    log = s.order_changes().select("id", "op", "commit_ts", "seq", "status")
+    span = log.agg(F.min("commit_ts").alias("lo"), F.max("commit_ts").alias("hi")).first()
+    cuts = [F.lit(span.lo + (span.hi - span.lo) * k / 3) for k in (1, 2)]
+    at = F.col("commit_ts")
+    _drop_and_run([log.where(at < cuts[0]), log.where((at >= cuts[0]) & (at < cuts[1])), log.where(at >= cuts[1])], src,
+                  lambda: matching.run_append(matching.order_findings(
+                      jobs.read_parquet_stream(s.spark, src, log.schema), delay="30 hours"), target, ckpt))
+    return s.spark.read.parquet(target)
+
+
+register("stream_order_findings", "B20", with_fixtures("""
+SELECT id, 'forbidden' AS kind, commit_ts AS found_at, was AS from_status, status AS to_status
+FROM (SELECT *, lag(status) OVER (PARTITION BY id ORDER BY commit_ts, seq) AS was FROM t_order_log WHERE op <> 'D'), t_end
+WHERE was <> status AND commit_ts <= t_end.t AND (was, status) NOT IN (
+  ('pending', 'processing'), ('processing', 'completed'), ('pending', 'completed'),
+  ('pending', 'cancelled'), ('processing', 'cancelled'))
+UNION ALL
+SELECT id, 'stuck', commit_ts + to_days(4), status, NULL
+FROM (SELECT *, lead(commit_ts) OVER (PARTITION BY id ORDER BY commit_ts, seq) AS nxt FROM t_order_log), t_end
+WHERE op <> 'D' AND status IN ('pending', 'processing') AND commit_ts + to_days(4) <= least(nxt, t_end.t)""",
+    {"t_end": "SELECT max(commit_ts) - INTERVAL 30 HOUR AS t FROM t_order_log"}))(_order_findings)
