@@ -402,3 +402,26 @@ def test_components_of_chains(spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = {r.node: r.component for r in components.components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 150: 100, 200: 100, **{300 + i: 300 for i in range(50)}}
+
+
+@pytest.mark.parametrize("kind", ["clustered", "log-normal", "outlier"])
+def test_ann_recall_whatever_the_norms(spark, kind):
+    """Three full shards and more; norms over several powers of ten."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 24))
+    x = centres[rng.integers(0, 60, 6000)] + 0.5 * rng.normal(size=(6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "log-normal":
+        x *= np.exp(rng.normal(size=(6000, 1)))
+    if kind == "outlier":
+        x[17] *= 1e4
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    index = ann.build_index(df, shard_points=2000)
+    assert index.count() >= 3
+    got = ann.search(ann.usable(df).filter("vec_id % 20 = 0"), index).collect()
+    hit = 0
+    for i in range(0, 6000, 20):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hit += len(set(np.argsort(-score)[:20].tolist()) & {r.vec_id for r in got if r.query_id == i})
+    assert hit >= 0.95 * 300 * 20
