@@ -1,11 +1,12 @@
 """BPE encoding and decoding (4) by dynamic programming over prefixes.
 
 For every prefix of a word exactly one token can be the last one of its BPE
-encoding.  A trie of the tokens read backwards, which stands in for a suffix
-automaton, lists the tokens that end at a position; the one that is compatible
-with the last token of the prefix before it is the prefix's last token.
-Following the last tokens back from the end of the word gives the ids that
-merging would give, in time linear in the word times the longest token.
+encoding.  A suffix automaton of the vocabulary reads the word once; its state
+is the longest end of the prefix that stands inside some token, and the links
+from state to state that mark whole tokens list the tokens that end there,
+longest first.  The one that is compatible with the last token of the prefix
+before it is the prefix's last token.  Following the last tokens back from the
+end of the word gives the ids that merging would give.
 
 Two tokens are compatible if they stand side by side in the encoding of their
 concatenation.  A merge applies as soon as its pair exists, and a pair's merge
@@ -82,6 +83,58 @@ def _byte_names() -> list[str]:
     return [names.get(b) or chr(256 + rest.index(b)) for b in range(256)]
 
 
+class SuffixAutomaton:
+    """All substrings of the tokens; ``token`` marks the states that are whole tokens (-1: none).
+
+    A state's longest string has ``length`` symbols; ``link`` leads to the longest of its
+    ends that is a state of its own, ``shorter`` to the next such state that is a token (0: none).
+    """
+
+    def __init__(self, tokens: dict[int, str]):
+        self.step: list[dict[str, int]] = [{}]
+        self.length, self.link, self.token = [0], [-1], [-1]
+        for i, symbols in tokens.items():
+            state = 0
+            for c in symbols:
+                state = self._extended(state, c)
+            self.token[state] = i
+        self.shorter = [0] * len(self.step)
+        for s in sorted(range(1, len(self.step)), key=self.length.__getitem__):
+            up = self.link[s]
+            self.shorter[s] = up if self.token[up] >= 0 else self.shorter[up]
+
+    def _new(self, length: int, step: dict[str, int], link: int) -> int:
+        self.step.append(step)
+        self.length.append(length)
+        self.link.append(link)
+        self.token.append(-1)
+        return len(self.step) - 1
+
+    def _extended(self, state: int, c: str) -> int:
+        """The state of the string read so far with one more symbol."""
+        if c in self.step[state]:
+            return self._exact(state, c)
+        made, at = self._new(self.length[state] + 1, {}, 0), state
+        while at >= 0 and c not in self.step[at]:
+            self.step[at][c] = made
+            at = self.link[at]
+        if at >= 0:
+            self.link[made] = self._exact(at, c)
+        return made
+
+    def _exact(self, state: int, c: str) -> int:
+        """The state after ``c`` whose longest string is just one symbol longer; split off if need be."""
+        there, length = self.step[state][c], self.length[state] + 1
+        if self.length[there] == length:
+            return there
+        own = self._new(length, dict(self.step[there]), self.link[there])
+        self.link[there] = own
+        while state >= 0 and self.step[state].get(c) == there:
+            self.step[state][c] = own
+            state = self.link[state]
+        return own
+
+
 class PrefixEncoder:
     """Encoder and decoder for a word-level BPE vocabulary file."""
 
@@ -114,12 +167,7 @@ class PrefixEncoder:
             # A token that merging can never make is no candidate.
             if left in sound and right in sound and self._apart(left, right, self.rank[made], self.rank[made]):
                 sound.add(made)
-        self.automaton: dict = {}
-        for i in sound:
-            node = self.automaton
-            for c in reversed(spelled[i]):
-                node = node.setdefault(c, {})
-            node[""] = i
+        self.automaton = SuffixAutomaton({i: spelled[i] for i in sorted(sound)})
         self.pattern, self.newer = _words(), regex.compile(f"[{_ranges(_newer())}]")
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, list[int]] = {}
@@ -157,16 +205,24 @@ class PrefixEncoder:
         n = len(symbols)
         last = [-1] * (n + 1)      # the last token of every prefix
         before = [0] * (n + 1)     # where it starts
-        for end in range(1, n + 1):
-            node, at, ends_here = self.automaton, end, []
-            while at and (node := node.get(symbols[at - 1])) is not None:
-                at -= 1
-                if "" in node:
-                    ends_here.append((at, node[""]))
-            for at, token in reversed(ends_here):
-                if at == 0 or self.compatible(last[at], token):
-                    last[end], before[end] = token, at
+        step, length, link = self.automaton.step, self.automaton.length, self.automaton.link
+        token, shorter = self.automaton.token, self.automaton.shorter
+        state = matched = 0
+        for end, c in enumerate(symbols, 1):
+            following = step[state].get(c)
+            while following is None and state:
+                state = link[state]
+                matched = length[state]
+                following = step[state].get(c)
+            state, matched = (0, 0) if following is None else (following, matched + 1)
+            whole = token[state] >= 0 and length[state] == matched
+            ends_here = state if whole else shorter[state]
+            while ends_here:
+                at = end - length[ends_here]
+                if at == 0 or self.compatible(last[at], token[ends_here]):
+                    last[end], before[end] = token[ends_here], at
                     break
+                ends_here = shorter[ends_here]
         out, end = [], n
         while end:
             out.append(last[end])
