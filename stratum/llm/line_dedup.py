@@ -9,13 +9,17 @@ State of a ``LineIndex``:
 ``insert`` and ``delete`` change the references, recount the keys concerned and
 put into or take out of the filters the keys that became frequent or ceased to
 be; deleting what was inserted restores references, counts and results, so the
-dedup is reversible.  A filter that was once full stays full: it keeps giving right
-results, but saves no work any more.
-
-``dedup`` asks the filters first.  They have a fixed size (``n_shards`` x
-``n_buckets`` x 8 bytes, 4 MB as given), whatever the corpus, and travel to all
-tasks.  Documents without a line that may be frequent keep their text and are
-never shuffled; the lines of the others are checked against the exact counts.
+dedup is reversible.  A shard has a fixed size (``n_buckets`` x 8 bytes); the
+number of shards follows the frequent keys, ``n_shards`` or a doubling of it, so
+that no more than ``LOAD`` of the slots are taken.  When a change asks for more
+shards, or for far fewer, or finds a full one, all filters are built anew from
+the exact counts, one shard at a time in a task.
+
+``dedup`` asks the filters first.  Up to ``BROADCAST_BYTES`` they travel to all
+tasks: documents without a line that may be frequent keep their text and are never
+shuffled; the lines of the others are checked against the exact counts.  Filters
+beyond that size stay in the shared folder, and the distinct keys of the
+documents come to the shards instead, each key once, so a hot line is one row.
 A shard whose filter is full answers "maybe" to everything: more lines are then
 checked exactly, none is lost.
 
@@ -37,13 +41,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import SPACE, materialise
 
 MIN_CHARS, MIN_DOCS = 40, 5
 N_SHARDS, N_BUCKETS, SLOTS = 32, 1 << 14, 4
+LOAD, MAX_SHARDS = 0.75, 1 << 16    # a shard is named by 16 bits of the key
+BROADCAST_BYTES = 32 << 20          # of all filters that travel to the tasks
 MAX_KICKS = 500
 _REF = "key binary, doc_id {}"
 
@@ -133,7 +139,14 @@ def shard_of(h: np.ndarray, n_shards: int) -> np.ndarray:
     return ((h >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64) % n_shards
 
 
-def _sharded(n_shards: int, n_buckets: int):
+def _shard(key: str, n_shards: int) -> Column:
+    """``shard_of`` as a column: bytes 4 and 5 of the key."""
+    raw = F.hex(key)
+    pair = F.conv(F.concat(F.substring(raw, 11, 2), F.substring(raw, 9, 2)), 16, 10).cast("long")
+    return (pair % n_shards).cast("int")
+
+
+def _sharded(n_buckets: int):
     """Stream of (shard, step, key, old filter), sorted by shard and step, to
     one filter per shard.  Step 0 brings the old filter, 1 removes, 2 adds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,12 +174,41 @@ def _sharded(n_shards: int, n_buckets: int):
     return run
 
 
+def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a stream as above, in which step 1 brings keys to ask for, the keys that
+    may be frequent; a shard without a filter has none."""
+    shard, held = None, None
+    for batch in batches:
+        asked: list[bytes] = []
+        out: list[bytes] = []
+
+        def answer() -> None:
+            if asked and held is not None:
+                hit = held.maybe(CuckooFilter.hashes(asked))
+                out.extend(k for k, x in zip(asked, hit, strict=True) if x)
+            asked.clear()
+
+        for s, step, key, old in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if s != shard:
+                answer()
+                shard, held = s, None
+            if step == 0:
+                held = CuckooFilter.from_bytes(old)
+            else:
+                asked.append(key)
+        answer()
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["key"])
+
+
 class LineIndex:
-    """References, counts and filters; every change gives a new index."""
+    """References, counts and filters; every change gives a new index.
+
+    ``shards`` is the number of shards in use, ``n_shards`` the least."""
 
     def __init__(self, refs: DataFrame, counts: DataFrame, filters: DataFrame,
-                 min_chars: int, min_docs: int, n_shards: int, n_buckets: int):
+                 min_chars: int, min_docs: int, n_shards: int, n_buckets: int, shards: int | None = None):
         self.refs, self.counts, self.filters = refs, counts, filters
+        self.shards = shards or n_shards
         self.params = dict(min_chars=min_chars, min_docs=min_docs, n_shards=n_shards, n_buckets=n_buckets)
 
     @classmethod
@@ -196,23 +238,35 @@ class LineIndex:
         fresh = concerned.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
         if touched is None:
             counts = materialise(fresh, "line-counts")
-            changes = counts.filter(F.col("n_docs") >= p["min_docs"]).select("key", F.lit(2).alias("step"))
+            changes = None
         else:
             counts = materialise(self.counts.join(touched, "key", "left_anti").unionByName(fresh), "line-counts")
             was = self.counts.join(touched, "key", "left_semi").filter(F.col("n_docs") >= p["min_docs"]).select("key")
             now = counts.join(touched, "key", "left_semi").filter(F.col("n_docs") >= p["min_docs"]).select("key")
             changes = was.join(now, "key", "left_anti").select("key", F.lit(1).alias("step")).unionByName(
                 now.join(was, "key", "left_anti").select("key", F.lit(2).alias("step")))
-        n_shards = p["n_shards"]
-        raw = F.hex("key")  # bytes 4 and 5 of the key, as in ``shard_of``
-        pair = F.conv(F.concat(F.substring(raw, 11, 2), F.substring(raw, 9, 2)), 16, 10).cast("long")
-        steps = changes.select((pair % n_shards).cast("int").alias("shard"), "step", "key",
-                               F.lit(None).cast("binary").alias("old"))
-        steps = steps.unionByName(self.filters.select(
-            "shard", F.lit(0).alias("step"), F.lit(None).cast("binary").alias("key"), F.col("filter").alias("old")))
-        filters = steps.repartition(n_shards, "shard").sortWithinPartitions("shard", "step", "key") \
-            .mapInArrow(_sharded(n_shards, p["n_buckets"]), "shard int, filter binary")
-        return LineIndex(refs, counts, materialise(filters, "line-filters"), **p)
+        frequent = counts.filter(F.col("n_docs") >= p["min_docs"]).select("key")
+        needed = self._shards_for(frequent.count())
+        if touched is not None and self.shards // 16 < needed <= self.shards and not _any_full(self.filters):
+            return LineIndex(refs, counts, self._filled(changes, self.filters, self.shards), **p, shards=self.shards)
+        # Built anew; if keys fall together so that a shard is full, with twice the shards.
+        anew = frequent.withColumn("step", F.lit(2))
+        filters = self._filled(anew, None, needed)
+        while 2 * needed <= MAX_SHARDS and _any_full(filters):
+            needed *= 2
+            filters = self._filled(anew, None, needed)
+        return LineIndex(refs, counts, filters, **p, shards=needed)
+
+    def _shards_for(self, n_keys: int) -> int:
+        n, room = self.params["n_shards"], LOAD * SLOTS * self.params["n_buckets"]
+        while n * room < n_keys and 2 * n <= MAX_SHARDS:
+            n *= 2
+        return n
+
+    def _filled(self, changes: DataFrame, old: DataFrame | None, n_shards: int) -> DataFrame:
+        """The old filters, or empty ones, after changes (key, step)."""
+        steps = _stream(changes, old, n_shards).mapInArrow(_sharded(self.params["n_buckets"]), "shard int, filter binary")
+        return materialise(steps, "line-filters")
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """Add the lines of documents (known references stay single)."""
@@ -233,7 +287,7 @@ class LineIndex:
     # -- use ----------------------------------------------------------------
 
     def _filters_on_tasks(self):
-        """The filters, at most n_shards x (8 n_buckets + 1) bytes, for all tasks."""
+        """The filters, at most ``BROADCAST_BYTES``, for all tasks."""
         rows = {r.shard: bytes(r.filter) for r in self.filters.collect()}
         return self.refs.sparkSession.sparkContext.broadcast(rows)
 
@@ -241,7 +295,9 @@ class LineIndex:
         """``docs`` with duplicate lines dropped from text, and two columns more:
         ``__n_lines`` (before dropping) and ``__n_dropped`` (both long)."""
         p = self.params
-        shared, n_shards, min_chars = self._filters_on_tasks(), p["n_shards"], p["min_chars"]
+        n_shards, min_chars = self.shards, p["min_chars"]
+        small = n_shards * (8 * p["n_buckets"] + 1) <= BROADCAST_BYTES
+        shared = self._filters_on_tasks() if small else None
 
         @F.pandas_udf("array<binary>")
         def maybe_frequent(texts: pd.Series) -> pd.Series:
@@ -274,20 +330,40 @@ class LineIndex:
 
         text = F.col("text").cast("string")
         n_lines = F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("long")
-        asked = docs.withColumn("__maybe", maybe_frequent(text))
-        clean = asked.filter(F.size("__maybe") == 0).drop("__maybe") \
-            .withColumn("__n_lines", n_lines).withColumn("__n_dropped", F.lit(0).cast("long"))
-        suspect = materialise(asked.filter(F.size("__maybe") > 0), "line-suspects")
         frequent = self.counts.filter(F.col("n_docs") >= p["min_docs"]).select("key", "last_doc")
-        drops = suspect.select(F.col("doc_id"), F.explode("__maybe").alias("key")).distinct() \
-            .join(frequent, "key").filter(~F.col("doc_id").eqNullSafe(F.col("last_doc"))) \
+        if small:
+            asked = docs.withColumn("__maybe", maybe_frequent(text))
+            clean = asked.filter(F.size("__maybe") == 0).drop("__maybe") \
+                .withColumn("__n_lines", n_lines).withColumn("__n_dropped", F.lit(0).cast("long"))
+            suspect = materialise(asked.filter(F.size("__maybe") > 0), "line-suspects")
+            held = suspect.select(F.col("doc_id"), F.explode("__maybe").alias("key")).distinct()
+        else:
+            clean, suspect = None, docs
+            held = materialise(self._references(docs), "line-asked")
+            probes = held.select("key").distinct().withColumn("step", F.lit(1))
+            maybe = _stream(probes, self.filters, n_shards).mapInArrow(_probed, "key binary")
+            frequent = frequent.join(maybe, "key")
+        drops = held.join(frequent, "key").filter(~F.col("doc_id").eqNullSafe(F.col("last_doc"))) \
             .groupBy(F.col("doc_id").alias("__drop_id")).agg(F.collect_list("key").alias("__drops"))
         joined = suspect.join(drops, suspect["doc_id"].eqNullSafe(drops["__drop_id"]), "left") \
             .withColumn("__n_lines", n_lines).withColumn("__new", without(text, F.col("__drops")))
         edited = joined.select(*[
             F.col("__new.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
             "__n_lines", F.col("__new.n_dropped").alias("__n_dropped"))
-        return clean.unionByName(edited)
+        return edited if clean is None else clean.unionByName(edited)
+
+
+def _any_full(filters: DataFrame) -> bool:
+    return not filters.filter(F.hex(F.substring("filter", 1, 1)) == "01").isEmpty()
+
+
+def _stream(rows: DataFrame, filters: DataFrame | None, n_shards: int) -> DataFrame:
+    """Rows (key, step) and filters (step 0), each shard in one task, sorted by shard and step."""
+    steps = rows.select(_shard("key", n_shards).alias("shard"), "step", "key", F.lit(None).cast("binary").alias("old"))
+    if filters is not None:
+        steps = steps.unionByName(filters.select(
+            "shard", F.lit(0).alias("step"), F.lit(None).cast("binary").alias("key"), F.col("filter").alias("old")))
+    return steps.repartition("shard").sortWithinPartitions("shard", "step", "key")
 
 
 _OPENED: list = [None, None]

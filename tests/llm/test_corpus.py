@@ -206,6 +206,47 @@ def test_line_index_is_reversible(spark):
     assert all(not np.frombuffer(bytes(filters[s])[1:], "<u2").any() for s in filters if s not in ours)
 
 
+def test_line_filters_follow_the_counts(spark):
+    """Shards grow with the frequent keys, none stays full, and shrink after deletion."""
+    lines = [f"line {j} that is long enough to be counted here, yes" for j in range(300)]
+    few = spark.createDataFrame([(i, "\n".join(lines[:5])) for i in range(6)], EMPTY)
+    many = spark.createDataFrame([(100 + i, "\n".join(lines)) for i in range(6)], EMPTY)
+    index = line_dedup.LineIndex.empty(spark, n_shards=1, n_buckets=4).insert(few)
+    grown = index.insert(many)
+    assert index.shards == 1 and grown.shards * 12 >= 300
+    for x in (index, grown):
+        filters = {r.shard: line_dedup.CuckooFilter.from_bytes(bytes(r.filter)) for r in x.filters.collect()}
+        keys = [bytes(r.key) for r in x.counts.filter("n_docs >= 5").collect()]
+        assert not any(f.full for f in filters.values())
+        for key, s in zip(keys, line_dedup.shard_of(line_dedup.CuckooFilter.hashes(keys), x.shards), strict=True):
+            assert filters[int(s)].maybe(line_dedup.CuckooFilter.hashes([key])).all()
+    rows = [(r.doc_id, r.text) for r in few.unionByName(many).collect()]
+    assert sorted(tuple(r) for r in line_dedup.digest(grown.dedup(few.unionByName(many))).collect()) == \
+        sorted(brute.line_dedup(rows))
+    back = grown.delete(many.select("doc_id"))
+    assert back.shards == 1
+    assert {r.shard: r.filter for r in back.filters.collect()} == {r.shard: r.filter for r in index.filters.collect()}
+    assert sorted(tuple(r) for r in line_dedup.digest(back.dedup(few)).collect()) == sorted(brute.line_dedup(rows[:6]))
+
+
+def test_line_filters_beyond_a_broadcast(spark, monkeypatch):
+    """Keys come to the shards when the filters outgrow the broadcast; the rows are the same."""
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    texts = [f"line {j % 60} that is long enough to be counted here, yes" + f"\n{LONG} {j % 7}" for j in range(400)]
+    texts += line_texts()
+    df = spark.createDataFrame([*enumerate(texts), (None, LONG + " 1"), (None, None), (3, LONG + " 2")], EMPTY)
+    df = df.withColumn("key", F.lit(1)).withColumn("step", F.lit("x"))
+    index = line_dedup.LineIndex.empty(spark, n_shards=4, n_buckets=16).insert(df)
+    got = sorted(tuple(r)[1:] + (str(r.doc_id),) for r in line_dedup.digest(index.dedup(df)).collect())
+    monkeypatch.undo()
+    want = sorted(tuple(r)[1:] + (str(r.doc_id),) for r in line_dedup.digest(index.dedup(df)).collect())
+    assert got == want and any(r[1] for r in got)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    got = sorted(tuple(r) for r in queries.queries()["op3_line_dedup"](spark, SMALL).collect())
+    assert got == sorted(brute.line_dedup(rows))
+
+
 def test_line_dedup_ids(spark):
     """Rows that share an id are one document; the null id is one too."""
     rows = [(1, LONG)] * 6 + [(None, LONG)] * 3 + [(2, LONG), (3, LONG)]
