@@ -125,6 +125,15 @@ def test_pii_terms_anywhere_in_the_document(spark):
     assert all(out[i] == texts[i] for i in range(2, len(texts)))
 
 
+def test_pii_terms_become_their_class(spark):
+    """Generalised terms leave what kind of word they are; removed ones leave nothing."""
+    text = "common Ann Lee \U0001f600 Zorblax b4711x 4711 quuxo zor@example.com common Zorblax"
+    df = frame(spark, [text, *["common"] * 400])
+    out = {r.doc_id: r.text for r in pii.sanitise(df, generalise_at=0.5, remove_at=2.0).collect()}
+    assert out[0] == ("common <FULL NAME> \U0001f600 <NAME> <CODE> <NUMBER OF 4 DIGITS> <WORD> <EMAIL> common <NAME>")
+    assert all(out[i] == "common" for i in range(1, 401))
+
+
 def test_pii_many_entities_of_one_document(spark):
     """Entities of the same rows are one class, whatever their number."""
     texts = [" ".join(f"user{i}@example.com unique{i}" for i in range(50)) + " common", *["common"] * 99]
