@@ -194,3 +194,17 @@ def test_checks_see_passing_and_failing_cases(spark, key, bad, good):
     import __spark_entry__ as entry
     rows = entry.queries()[key](spark, "/root/testdata/sf0.01")
     assert rows.where(bad).count() > 0 and rows.where(good).count() > 0
+
+
+def test_uniqueness_deals_rows_before_it_counts(spark, shop):
+    """No task that reads rows counts keys, and a hot key is counted in shares."""
+    from stratum.operators import quality
+    from test_plans import plan_text
+    text = plan_text(quality.dq_uniqueness(shop.tables()))
+    assert text.split("== Initial Plan ==")[-1].count("REPARTITION_BY_COL") == len(quality.UNIQUE_KEYS)
+    rows = [(str(i), "t", "hot" if i < 50 else f"s{i // 2}") for i in range(60)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "id string, name string, slug string").withColumns(
+        {c: F.col("slug") for c in ("tenant_id", "email", "sku", "order_number", "invoice_number")})
+    got = {r.unique_key: (r.duplicate_keys, r.duplicate_rows)
+           for r in quality.dq_uniqueness({e: df for e, _ in quality.UNIQUE_KEYS}).collect()}
+    assert got["tenant(name)"] == (2, 63) and got["tenant(slug)"] == got["customer(tenant_id, email)"] == (7, 63)
