@@ -149,3 +149,36 @@ def test_cube_tells_null_from_subtotal(spark):
     assert got[None, None, 7] == (3, 10.0, 1)           # the grand total: one customer
     assert got[None, None, 3] == (2, 8.0, 1) and got["t", None, 3] == (1, 2.0, 1)       # tenant NULL, tenant t
     assert got[None, None, 5] == (1, 3.0, 1) and got[None, "A", 5] == (2, 7.0, 1)       # category NULL, A
+
+
+def test_cube_matches_brute_force_and_expands_without_customers(spark):
+    import random
+    from datetime import datetime
+    from decimal import Decimal
+
+    from stratum.operators import cube
+    rnd = random.Random(7)
+    orders = [(f"o{i}", rnd.choice(["t", "u", None]), rnd.choice(["c1", "c2", "c3", None]), rnd.choice(["completed", "pending"]),
+               datetime(2024, rnd.randrange(1, 4), 5)) for i in range(80)]
+    items = [(f"o{rnd.randrange(90)}", rnd.choice(["p1", "p2", "p3", None]), rnd.randrange(5), Decimal(rnd.randrange(100))) for _ in range(300)]
+    kinds = {"p1": "A", "p2": "B", "p3": "A"}
+    frames = (spark.createDataFrame(items, "order_id string, product_id string, quantity int, total decimal(10,2)"),
+              spark.createDataFrame(orders, "id string, tenant_id string, customer_id string, status string, order_date timestamp_ntz"),
+              spark.createDataFrame([*kinds.items()], "id string, category string"))
+    want = {}
+    by_id = {o[0]: o for o in orders if o[3] == "completed"}
+    for order, product, units, total in items:
+        if order in by_id:
+            _, tenant, customer, _, day = by_id[order]
+            dims = (tenant, kinds.get(product), day.strftime("%Y-%m"))
+            for level in range(8):
+                key = (*(None if level >> (2 - i) & 1 else d for i, d in enumerate(dims)), level)
+                sums = want.setdefault(key, [0, 0, 0, set()])
+                sums[0], sums[1], sums[2] = sums[0] + 1, sums[1] + units, sums[2] + total
+                sums[3] |= {customer} - {None}
+    cubed = cube.revenue_cube(*frames)
+    got = {(r.tenant_id, r.category, r.month and str(r.month)[:7], r.level): (r["items"], r.units, r.revenue, r.customers)
+           for r in cubed.collect()}
+    assert got == {k: (n, u, float(t), len(c)) for k, (n, u, t, c) in want.items()}
+    expand = [line for line in plan_text(cubed).splitlines() if "Expand [" in line][0]
+    assert expand.count("customer_id") == 0
