@@ -11,19 +11,21 @@ needs no counter that one task would have to hand out.
 A fact takes the version in force at its own time.  Where there is none (the
 member is not known yet, or is deleted), it takes the member's inferred row,
 which ``with_inferred`` adds to the dimension; a fact without a key takes UNKNOWN.
-Rows of a change log without a key or a time take no part.  All lookups are by
-(key, time bucket), so a hot member is spread over many tasks.
+Rows of a change log without a key or a time take no part.  Lookups join facts with
+the versions of their member; members of many versions are met by (key, time bucket), so
+neither their facts nor their versions meet all the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import neighbour
 from .temporal import asof_join, micros
 
 UNKNOWN = "unknown"
+MANY = 64       # versions of a member that every fact of it may be compared with
 
 
 def history_of(changes: DataFrame, key: str, attrs: list[str], history: DataFrame | None = None) -> DataFrame:
@@ -57,11 +59,23 @@ def inferred_key(key: Column) -> Column:
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, sk: str, values: dict[str, str] | None = None,
-           dim_key: str = "id") -> DataFrame:
-    """``facts`` with ``sk``, the key of the version in force at ``ts``, and that version's ``values`` (column -> new name)."""
+           dim_key: str = "id", many: int = MANY) -> DataFrame:
+    """``facts`` with ``sk``, the key of the version in force at ``ts``, and that version's ``values`` (column -> new name).
+
+    Facts meet the versions of their member by key: one shuffle, none if the dimension is small
+    enough to be broadcast.  Members of more than ``many`` versions are met by (key, time bucket)."""
     values = values or {}
-    known = dim.select(F.col(dim_key).alias(key), "valid_from", "valid_to", F.col("sk").alias("version"), *values)
-    found = asof_join(facts, known, [key], ts, "valid_from", ["version", "valid_to", *values], prefix="_found_")
+    held = ["version", "valid_to", *values]
+    known = dim.select(F.col(dim_key).alias(key), "valid_from", "valid_to", F.col("sk").alias("version"), *values).where(
+        F.col(key).isNotNull() & F.col("valid_from").isNotNull())
+    rich = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > many).select(F.col(key).alias("_rich"))
+    if rich.isEmpty():
+        found = _of_member(facts, known, key, ts, held)
+    else:
+        of_rich = F.col(key) == F.col("_rich")
+        found = _of_member(facts.join(rich, of_rich, "left_anti"), known.join(rich, of_rich, "left_anti"), key, ts, held) \
+            .unionByName(asof_join(facts.join(rich, of_rich, "left_semi"), known.join(rich, of_rich, "left_semi"),
+                                   [key], ts, "valid_from", held, prefix="_found_"))
     in_force = F.col("_found_version").isNotNull() & (F.col("_found_valid_to").isNull()
                                                       | (F.col(ts) < F.col("_found_valid_to")))
     return found.select(
@@ -71,6 +85,18 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, sk: str, values:
         *[F.when(in_force, F.col(f"_found_{v}")).alias(name) for v, name in values.items()])
 
 
+def _of_member(facts: DataFrame, known: DataFrame, key: str, ts: str, held: list[str]) -> DataFrame:
+    """``facts`` with the ``held`` columns (``_found_...``) of the last version that starts by ``ts``,
+    as ``asof_join`` gives them: of versions that start together the greatest counts."""
+    one = known.groupBy(F.col(key).alias("_key"), micros(F.col("valid_from")).alias("_from")).agg(
+        F.max(F.struct(*held)).alias("_found"))
+    ranged = one.withColumn("_until", F.lead("_from").over(Window.partitionBy("_key").orderBy("_from"))).select(
+        "_key", "_from", "_until", *[F.col(f"_found.{c}").alias(f"_found_{c}") for c in held])
+    at = micros(F.col(ts))
+    met = (F.col(key) == F.col("_key")) & (F.col("_from") <= at) & (F.col("_until").isNull() | (at < F.col("_until")))
+    return facts.join(ranged, met, "left").drop("_key", "_from", "_until")
+
+
 def with_inferred(dim: DataFrame, looked_up: DataFrame, key: str, sk: str, dim_key: str = "id") -> DataFrame:
     """The dimension with one inferred row per member that facts need and no version covers."""
     need = looked_up.where(F.col(sk) == inferred_key(F.col(key))).select(

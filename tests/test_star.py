@@ -105,3 +105,14 @@ def test_fact_plan_has_no_nested_loop(shop):
     lines = shop.orderitem.selectExpr("id AS item", "product_id", "created_at")
     plan = plan_text(star.lookup(lines, star.versions(log, "id"), "product_id", "created_at", "sk"))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_lookup_by_member_equals_lookup_by_bucket(spark):
+    """Members of few versions are joined by key alone; the result is that of the as-of join."""
+    dim = dim_of(spark, log_rows(6)).persist()
+    rnd = random.Random(7)
+    facts = spark.createDataFrame([(i, rnd.choice(["hot", "a", "none", None]), T0 + timedelta(hours=rnd.randrange(-20, 420)))
+                                   for i in range(200)], FACTS)
+    by_key, by_bucket, mixed = (order(tuple(r) for r in star.lookup(facts, dim, "id", "t", "sk", {"plan": "then"}, many=n).collect())
+                                for n in (10**6, 0, 30))
+    assert by_key == by_bucket == mixed and len(by_key) == 200
