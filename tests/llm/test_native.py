@@ -266,3 +266,21 @@ def test_a_long_conversation(spark):
                                          F.size("loss").alias("n")))[0]
     assert row.n == n // 2
     assert row.learned == "".join(f"say <|im_end|> é {i}" for i in range(1, n, 2))
+
+
+def test_every_column_of_pii_find_counts(spark):
+    """What finds cover (hidden) or cut (bare), the entities, terms, masked text and spans all reach the result."""
+    docs = frame(spark, [*(f"plain words of filler {i}" for i in range(40)), "write to john@corp.com about zeta",
+                         "john called +49 170 1234567 today", "éanna@corp.org wrote"])
+    found = pii.find(docs).persist()
+
+    def terms(rows):
+        return {r.term for r in pii.disclosure(docs, rows).collect()}
+    assert {"john", "é", "zeta"} <= terms(found)
+    none = F.array().cast("array<string>")
+    assert "john" not in terms(found.withColumn("hidden", none))
+    assert "é" not in terms(found.withColumn("bare", none))
+    for column in ("entities", "terms", "spans"):
+        assert not terms(found.withColumn(column, F.array().cast(found.schema[column].dataType)))
+    spans = {r.doc_id: r.spans for r in pii.digest(pii.detect(docs)).collect()}
+    assert "term_generalise:0:4" in spans[41] and "term_generalise:0:1" in spans[42]
