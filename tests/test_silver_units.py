@@ -208,3 +208,28 @@ def test_uniqueness_deals_rows_before_it_counts(spark, shop):
     got = {r.unique_key: (r.duplicate_keys, r.duplicate_rows)
            for r in quality.dq_uniqueness({e: df for e, _ in quality.UNIQUE_KEYS}).collect()}
     assert got["tenant(name)"] == (2, 63) and got["tenant(slug)"] == got["customer(tenant_id, email)"] == (7, 63)
+
+
+def test_reconcile_writes_side_by_side_and_deals_small_tables(spark, tmp_path, monkeypatch):
+    """Silver jobs overlap, and the rows of a table of one split become text in many tasks."""
+    import shutil
+    import threading
+
+    from stratum.plans import quality_queries
+    from stratum.sources.fixtures import Shop
+    for table in ("nation", "customer", "part", "orders", "lineitem", "events"):
+        shutil.copy(f"/root/testdata/sf0.001/{table}.parquet", tmp_path / f"{table}.parquet")
+    write, tasks, together = quality_queries.sinks.write_parquet, {}, threading.Barrier(8, timeout=60)
+
+    def counted(df, path):
+        tasks[path.rsplit("/", 1)[-1]] = df.rdd.getNumPartitions()
+        together.wait()             # ends only if all eight jobs are under way
+        write(df, path)
+
+    monkeypatch.setattr(quality_queries.sinks, "write_parquet", counted)
+    got = {r.entity: (r.bronze_rows, r.silver_rows) for r in quality_queries._reconcile(Shop(spark, str(tmp_path))).collect()}
+    n = 2 * spark.sparkContext.defaultParallelism
+    assert {e: tasks[e] for e in ("customer", "product", "subscription", "invoice")} == dict.fromkeys(
+        ("customer", "product", "subscription", "invoice"), n)
+    assert len(got) == 8 and got["customer"][0] == got["customer"][1] == spark.read.parquet(f"{tmp_path}/customer.parquet").count()
+    assert got["order"][0] > got["order"][1] > 0 and got["invoice"][0] == got["invoice"][1] > 0
