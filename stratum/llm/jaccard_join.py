@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, tidy
 from .components import components
 
 WORDS, THRESHOLD = 5, 75        # words in a shingle; similarity in percent
@@ -223,7 +223,7 @@ def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _levels(sketched: DataFrame) -> bytes:
     """The frequency level of every bucket: 2^SKETCH_BITS bytes."""
     n = 1 << (SKETCH_BITS - CHUNK_BITS)
-    rows = sketched.repartition(n, "chunk").mapInArrow(_add_chunks, "chunk int, levels binary").collect()
+    rows = sketched.repartition(n, "chunk").mapInArrow(tidy(_add_chunks), "chunk int, levels binary").collect()
     have = {r.chunk: bytes(r.levels) for r in rows}
     return b"".join(have.get(i, bytes(1 << CHUNK_BITS)) for i in range(n))
 
@@ -261,7 +261,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, levels, words: int) -> DataFrame:
                     pa.array(out["set"], pa.list_(pa.int64()))], list(out))
 
     found = docs.select("doc_id", F.col("text").cast("string").alias("text"), word.alias("at")).mapInArrow(
-        run, "sig long, n long, `set` array<long>")
+        tidy(run), "sig long, n long, `set` array<long>")
     return found.dropDuplicates(["sig"])
 
 
@@ -374,8 +374,8 @@ def _prefix_pairs(docs: DataFrame, classes: DataFrame, known: DataFrame, levels,
     """Pairs of classes from different components that share a prefix token."""
     n_buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        _entries(levels, words, percent, n_buckets), "bucket int, tokens binary, sigs binary, places binary")
-    shared = packed.repartition(n_buckets, "bucket").mapInArrow(_shared_tokens, "token long, sig long, place int")
+        tidy(_entries(levels, words, percent, n_buckets)), "bucket int, tokens binary, sigs binary, places binary")
+    shared = packed.repartition(n_buckets, "bucket").mapInArrow(tidy(_shared_tokens), "token long, sig long, place int")
     sized = classes.select("sig", "n").join(known.withColumnRenamed("node", "sig"), "sig", "left") \
         .withColumn("component", F.coalesce("component", "sig"))
     member = materialise(shared.join(sized, "sig"), "jaccard-prefixes")
@@ -407,10 +407,10 @@ def _grouped(docs: DataFrame, words: int, percent: int, stars: int, hashed: bool
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.col("text").cast("string")
     docs = docs.select("doc_id", text.alias("text"), *[F.xxhash64(text).alias("text_hash")] * hashed)
-    sketched = docs.select("text").mapInArrow(_sketch(words), "chunk int, counts binary")
+    sketched = docs.select("text").mapInArrow(tidy(_sketch(words)), "chunk int, counts binary")
     levels = spark.sparkContext.broadcast(_levels(sketched))
     rows = materialise(docs.mapInArrow(
-        _profile(levels, words, stars),
+        tidy(_profile(levels, words, stars)),
         f"doc_id {kind}, sig long, n long, rare long, firsts array<long>" + ", text_hash long" * hashed), "jaccard-profile")
     classes = materialise(rows.filter(F.col("n") > 0).groupBy("sig").agg(
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("rare").alias("rare"),

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise
+from .common import SPACE, materialise, tidy
 
 MIN_CHARS, MIN_DOCS = 40, 5
 N_SHARDS, N_BUCKETS, SLOTS = 32, 1 << 14, 4
@@ -225,8 +225,8 @@ class LineIndex:
         min_chars = self.params["min_chars"]
 
         @F.pandas_udf("array<binary>")
-        def keys(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: sorted(set(keys_of(t, min_chars)) - {None}))
+        def keys(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            return tidy(lambda given: (texts.map(lambda t: sorted(set(keys_of(t, min_chars)) - {None})) for texts in given))(parts)
 
         found = docs.select("doc_id", F.explode(keys(F.col("text").cast("string"))).alias("key"))
         return found.select("key", "doc_id").distinct()
@@ -265,7 +265,7 @@ class LineIndex:
 
     def _filled(self, changes: DataFrame, old: DataFrame | None, n_shards: int) -> DataFrame:
         """The old filters, or empty ones, after changes (key, step)."""
-        steps = _stream(changes, old, n_shards).mapInArrow(_sharded(self.params["n_buckets"]), "shard int, filter binary")
+        steps = _stream(changes, old, n_shards).mapInArrow(tidy(_sharded(self.params["n_buckets"])), "shard int, filter binary")
         return materialise(steps, "line-filters")
 
     def insert(self, docs: DataFrame) -> LineIndex:
@@ -299,8 +299,7 @@ class LineIndex:
         small = n_shards * (8 * p["n_buckets"] + 1) <= BROADCAST_BYTES
         shared = self._filters_on_tasks() if small else None
 
-        @F.pandas_udf("array<binary>")
-        def maybe_frequent(texts: pd.Series) -> pd.Series:
+        def suspected(texts: pd.Series) -> pd.Series:
             filters = _opened(shared)
             per_text = [sorted(set(keys_of(t, min_chars)) - {None}) for t in texts]
             keys = [k for ks in per_text for k in ks]
@@ -317,8 +316,11 @@ class LineIndex:
                 i += len(ks)
             return pd.Series(out, index=texts.index)
 
-        @F.pandas_udf("text string, n_dropped bigint")
-        def without(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
+        @F.pandas_udf("array<binary>")
+        def maybe_frequent(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            return tidy(lambda given: map(suspected, given))(parts)
+
+        def edited_part(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
             out = []
             for text, drop in zip(texts, drops, strict=True):
                 lines = (text or "").split("\n")
@@ -328,6 +330,10 @@ class LineIndex:
                 out.append((text if len(kept) == len(lines) else "\n".join(kept), len(lines) - len(kept)))
             return pd.DataFrame(out, columns=["text", "n_dropped"])
 
+        @F.pandas_udf("text string, n_dropped bigint")
+        def without(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            return tidy(lambda given: (edited_part(*columns) for columns in given))(parts)
+
         text = F.col("text").cast("string")
         n_lines = F.size(F.split(F.coalesce(text, F.lit("")), "\n", -1)).cast("long")
         frequent = self.counts.filter(F.col("n_docs") >= p["min_docs"]).select("key", "last_doc")
@@ -341,7 +347,7 @@ class LineIndex:
             clean, suspect = None, docs
             held = materialise(self._references(docs), "line-asked")
             probes = held.select("key").distinct().withColumn("step", F.lit(1))
-            maybe = _stream(probes, self.filters, n_shards).mapInArrow(_probed, "key binary")
+            maybe = _stream(probes, self.filters, n_shards).mapInArrow(tidy(_probed), "key binary")
             frequent = frequent.join(maybe, "key")
         drops = held.join(frequent, "key").filter(~F.col("doc_id").eqNullSafe(F.col("last_doc"))) \
             .groupBy(F.col("doc_id").alias("__drop_id")).agg(F.collect_list("key").alias("__drops"))

@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import default_path, library_cache
+from .common import tidy
+from .tokens import default_path, forget_chunks, library_cache
 
 WINDOW = 2048
 END_ID = 1
@@ -211,8 +212,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if pin_order:
         rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    path = path or default_path()
     return rows.mapInArrow(
-        _window_batches(path or default_path(), window, end_id, block_tokens),
+        tidy(_window_batches(path, window, end_id, block_tokens), lambda: forget_chunks(path)),
         f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 

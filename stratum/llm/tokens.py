@@ -4,7 +4,7 @@ White space never enters a token of the vocabularies used here and never joins
 what stands on its two sides, so a text's ids are those of its white-space
 separated chunks, one after the other.  A worker remembers the chunks it has
 encoded in two generations of bounded size; the older one is dropped when the
-newer one is full, so frequent chunks stay known.
+newer one is full, so frequent chunks stay known.  ``forget_chunks`` drops both.
 """
 
 from __future__ import annotations
@@ -49,6 +49,9 @@ class Generations:
         self.known: dict = {}
         self.older: dict = {}
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def lookup(self, keys: list) -> list:
         """The value of every key, in order."""
         try:
@@ -179,3 +182,9 @@ def library_cache(path: str) -> ChunkCache:
             len(tok.pre_tokenizer.pre_tokenize_str(c + m)) == 2 for c in _LETTERS + _LETTERS.upper() for m in _MARKS)
         _LIBRARY[path] = ChunkCache(_encoder(tok), lowers, splits)
     return _LIBRARY[path]
+
+
+def forget_chunks(path: str) -> None:
+    """Drop the chunks that this worker has encoded with a file; the tokenizer stays."""
+    if path in _LIBRARY:
+        _LIBRARY[path].chunks.forget()

@@ -80,3 +80,37 @@ def test_empty_documents(spark):
         assert docs.count() == 0
         if docs.columns[0] != "doc_id":
             break
+
+
+def test_pack_leaves_no_chunks_in_its_worker(spark):
+    """Between tasks a worker keeps the tokenizer, but none of the chunks it has encoded."""
+    from stratum.llm import packing, tokens
+    path = tokens.default_path()
+    docs = spark.createDataFrame([(i, f"words of document {i} " * 50) for i in range(200)], "doc_id long, text string").coalesce(1)
+    assert packing.pack(docs).count()
+
+    def held(_):
+        cache = tokens._LIBRARY.get(path)
+        yield None if cache is None else len(cache.chunks.known) + len(cache.chunks.older)
+
+    found = [n for n in spark.sparkContext.parallelize(range(16), 16).mapPartitions(held).collect() if n is not None]
+    assert not any(found)
+
+
+def test_tidy_gives_memory_back_and_forgets(monkeypatch):
+    import pyarrow as pa
+
+    from stratum.llm import common
+    said = []
+    monkeypatch.setattr(common, "give_back", lambda: said.append("given back"))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2])], ["x"])
+    run = common.tidy(lambda batches: (b for b in batches), lambda: said.append("forgotten"))
+    assert [b.num_rows for b in run(iter([batch, batch]))] == [2, 2] and said == ["forgotten", "given back"]
+
+    def fails(batches):
+        yield next(batches)
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        list(common.tidy(fails)(iter([batch])))
+    assert said[-1] == "given back" and len(said) == 3
