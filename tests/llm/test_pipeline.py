@@ -84,17 +84,22 @@ def test_empty_documents(spark):
 
 def test_pack_leaves_no_chunks_in_its_worker(spark):
     """Between tasks a worker keeps the tokenizer, but none of the chunks it has encoded."""
+    import pyarrow as pa
+
     from stratum.llm import packing, tokens
     path = tokens.default_path()
     docs = spark.createDataFrame([(i, f"words of document {i} " * 50) for i in range(200)], "doc_id long, text string").coalesce(1)
     assert packing.pack(docs).count()
 
-    def held(_):
-        cache = tokens._LIBRARY.get(path)
-        yield None if cache is None else len(cache.chunks.known) + len(cache.chunks.older)
+    def held(batches):
+        for batch in batches:
+            cache = tokens._LIBRARY.get(path)
+            n = -1 if cache is None else len(cache.chunks.known) + len(cache.chunks.older)
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["n"])
 
-    found = [n for n in spark.sparkContext.parallelize(range(16), 16).mapPartitions(held).collect() if n is not None]
-    assert not any(found)
+    # Idle workers are taken in turn, so these tasks meet the one that has packed.
+    found = {r.n for r in spark.range(0, 64, 1, 64).mapInArrow(held, "n long").collect()} - {-1}
+    assert found == {0}
 
 
 def test_tidy_gives_memory_back_and_forgets(monkeypatch):
