@@ -195,7 +195,8 @@ def links(classes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataF
     """Links (a, b) between distinct fingerprints that connect all that are in reach."""
     dealt = _dealt(classes, radius)
     sizes = dealt.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    met = materialise(dealt.join(sizes, ["table", "key"]), "simhash-buckets")
+    # Spark sizes the exploded rows as if there were one per class, and would broadcast millions of them.
+    met = materialise(dealt.join(sizes.hint("merge"), ["table", "key"]), "simhash-buckets")
     found = met.filter(F.col("n") <= limit).select("table", "key", "print").repartition("table", "key") \
         .sortWithinPartitions("table", "key").mapInArrow(_search(radius), "a long, b long")
     hot = met.filter(F.col("n") > limit).select("print").distinct()

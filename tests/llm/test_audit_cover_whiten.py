@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stratum.llm import divergence, queries, simhash_cover, symmetric_eigen, whitening
+from test_plans import plan_text
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -210,6 +211,21 @@ def test_simhash_ids_and_empty(spark):
     assert simhash_cover.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_simhash_classes_dealt_to_the_tables_are_not_broadcast(spark, monkeypatch):
+    """Each class becomes 31 rows, which Spark counts as one: a join sized by that would broadcast millions."""
+    joined = {}
+
+    def kept(df, name):
+        joined[name] = df
+        return df
+
+    monkeypatch.setattr(simhash_cover, "materialise", kept)
+    classes = spark.createDataFrame([(7,), (6,), (1 << 40,)], "print long")
+    assert simhash_cover.links(classes).count() > 0
+    text = plan_text(joined["simhash-buckets"])
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
 def test_simhash_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in queries.op12_simhash_cover(spark, SMALL).collect())
