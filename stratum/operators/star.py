@@ -13,7 +13,8 @@ member is not known yet, or is deleted), it takes the member's inferred row,
 which ``with_inferred`` adds to the dimension; a fact without a key takes UNKNOWN.
 Rows of a change log without a key or a time take no part.  Lookups join facts with
 the versions of their member; members of many versions are met by (key, time bucket), so
-neither their facts nor their versions meet all the others.
+neither their facts nor their versions meet all the others.  Until the last join a version
+is named by member and start: a digest does not compress, and is made where it is returned.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from .temporal import asof_join, micros
 
 UNKNOWN = "unknown"
 MANY = 64       # versions of a member that every fact of it may be compared with
+FEW = 4         # versions of a member that its facts carry along until their time is known
+SMALL = 200_000     # versions of a dimension that its facts rather meet where they are, by broadcast
 
 
 def history_of(changes: DataFrame, key: str, attrs: list[str], history: DataFrame | None = None) -> DataFrame:
@@ -58,31 +61,51 @@ def inferred_key(key: Column) -> Column:
     return F.md5(F.concat(key, F.lit("|inferred")))
 
 
+def sk_of(key: Column, start: Column) -> Column:
+    """The surrogate key of the version of ``key`` that starts at ``start``; without one the inferred row's, without a key UNKNOWN."""
+    return F.when(key.isNull(), UNKNOWN).when(start.isNotNull(), version_key(key, start)).otherwise(inferred_key(key))
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: str, ts: str, sk: str, values: dict[str, str] | None = None,
            dim_key: str = "id", many: int = MANY) -> DataFrame:
-    """``facts`` with ``sk``, the key of the version in force at ``ts``, and that version's ``values`` (column -> new name).
+    """``facts`` with ``sk``, the key of the version in force at ``ts``, and that version's ``values`` (column -> new name)."""
+    values = values or {}
+    found = in_force(facts, dim, key, ts, "_start", values, dim_key, many)
+    return found.select(*facts.columns, sk_of(F.col(key), F.col("_start")).alias(sk), *values.values())
 
+
+def in_force(facts: DataFrame, dim: DataFrame, key: str, ts: str, start: str, values: dict[str, str] | None = None,
+             dim_key: str = "id", many: int = MANY) -> DataFrame:
+    """``facts`` with ``start``, when the version in force at ``ts`` begins, and that version's ``values`` (column -> new name).
+
+    Key and start name a version in a few bytes, so joins that follow need not move digests.
     Facts meet the versions of their member by key: one shuffle, none if the dimension is small
     enough to be broadcast.  Members of more than ``many`` versions are met by (key, time bucket)."""
     values = values or {}
-    held = ["version", "valid_to", *values]
-    known = dim.select(F.col(dim_key).alias(key), "valid_from", "valid_to", F.col("sk").alias("version"), *values).where(
-        F.col(key).isNotNull() & F.col("valid_from").isNotNull())
-    rich = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > many).select(F.col(key).alias("_rich"))
-    if rich.isEmpty():
+    held = ["start", "valid_to", *values]
+    known = _known(dim, key, list(values), dim_key).withColumn("start", F.col("valid_from"))
+    rich = _rich(known, key, many)
+    if rich is None:
         found = _of_member(facts, known, key, ts, held)
     else:
         of_rich = F.col(key) == F.col("_rich")
         found = _of_member(facts.join(rich, of_rich, "left_anti"), known.join(rich, of_rich, "left_anti"), key, ts, held) \
             .unionByName(asof_join(facts.join(rich, of_rich, "left_semi"), known.join(rich, of_rich, "left_semi"),
                                    [key], ts, "valid_from", held, prefix="_found_"))
-    in_force = F.col("_found_version").isNotNull() & (F.col("_found_valid_to").isNull()
-                                                      | (F.col(ts) < F.col("_found_valid_to")))
-    return found.select(
-        *facts.columns,
-        F.when(F.col(key).isNull(), UNKNOWN).when(in_force, F.col("_found_version"))
-        .otherwise(inferred_key(F.col(key))).alias(sk),
-        *[F.when(in_force, F.col(f"_found_{v}")).alias(name) for v, name in values.items()])
+    holds = F.col("_found_valid_to").isNull() | (F.col(ts) < F.col("_found_valid_to"))
+    return found.select(*facts.columns, F.when(holds, F.col("_found_start")).alias(start),
+                        *[F.when(holds, F.col(f"_found_{v}")).alias(name) for v, name in values.items()])
+
+
+def _known(dim: DataFrame, key: str, values: list[str], dim_key: str) -> DataFrame:
+    return dim.select(F.col(dim_key).alias(key), "valid_from", "valid_to", *values).where(
+        F.col(key).isNotNull() & F.col("valid_from").isNotNull())
+
+
+def _rich(known: DataFrame, key: str, many: int) -> DataFrame | None:
+    """(_rich), the members of more than ``many`` versions, if there are any."""
+    rich = known.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > many).select(F.col(key).alias("_rich"))
+    return None if rich.isEmpty() else rich
 
 
 def _of_member(facts: DataFrame, known: DataFrame, key: str, ts: str, held: list[str]) -> DataFrame:
@@ -97,6 +120,24 @@ def _of_member(facts: DataFrame, known: DataFrame, key: str, ts: str, held: list
     return facts.join(ranged, met, "left").drop("_key", "_from", "_until")
 
 
+def carrying(facts: DataFrame, dim: DataFrame, key: str, values: list[str], dim_key: str = "id") -> DataFrame:
+    """``facts`` with ``_versions``, all versions of their member (null: none), for ``carried_in_force``:
+    facts that must be moved to learn their time need not be moved back to their member."""
+    held = _known(dim, "_key", values, dim_key).groupBy("_key").agg(
+        F.collect_list(F.struct("valid_from", "valid_to", *values)).alias("_versions"))
+    return facts.join(held, F.col(key) == F.col("_key"), "left").drop("_key")
+
+
+def carried_in_force(facts: DataFrame, ts: str, start: str, values: dict[str, str]) -> DataFrame:
+    """``facts`` with what ``in_force`` finds, from the ``_versions`` they carry."""
+    at = F.col(ts).cast("timestamp_ntz")
+    last = F.array_max(F.filter("_versions", lambda v: v["valid_from"].cast("timestamp_ntz") <= at))
+    holds = F.col("_last.valid_to").isNull() | (F.col(ts) < F.col("_last.valid_to"))
+    return facts.withColumn("_last", last).withColumns(
+        {start: F.when(holds, F.col("_last.valid_from"))}
+        | {name: F.when(holds, F.col(f"_last.{v}")) for v, name in values.items()}).drop("_versions", "_last")
+
+
 def with_inferred(dim: DataFrame, looked_up: DataFrame, key: str, sk: str, dim_key: str = "id") -> DataFrame:
     """The dimension with one inferred row per member that facts need and no version covers."""
     need = looked_up.where(F.col(sk) == inferred_key(F.col(key))).select(
@@ -106,19 +147,38 @@ def with_inferred(dim: DataFrame, looked_up: DataFrame, key: str, sk: str, dim_k
 
 
 def keyed_orders(orders: DataFrame, customers: DataFrame, tenants: DataFrame) -> DataFrame:
-    """Orders with the keys of the customer and tenant versions at order time."""
+    """Orders with the starts of the customer and tenant versions at order time."""
     o = orders.select("id", "tenant_id", "customer_id", "status", "order_date")
-    return lookup(lookup(o, customers, "customer_id", "order_date", "customer_sk"),
-                  tenants, "tenant_id", "order_date", "tenant_sk")
+    return in_force(in_force(o, customers, "customer_id", "order_date", "customer_from"),
+                    tenants, "tenant_id", "order_date", "tenant_from")
 
 
-def fact_sales(items: DataFrame, keyed: DataFrame, products: DataFrame) -> DataFrame:
-    """Line-grain sales; the cost is that of the product version at order time."""
-    o = keyed.select(F.col("id").alias("order_id"), "customer_sk", "tenant_sk", "status", "order_date")
-    lines = items.select(F.col("id").alias("item_id"), "order_id", "product_id", "quantity", "total").join(o, "order_id")
+def fact_sales(items: DataFrame, keyed: DataFrame, products: DataFrame, few: int = FEW) -> DataFrame:
+    """Line-grain sales; the cost is that of the product version at order time.
+
+    Lines meet the versions of their product before they move to their order, whose time selects one;
+    lines of products of more than ``few`` versions (0: all lines) meet them after it.  Digests are made last."""
+    o = keyed.withColumnRenamed("id", "order_id")
+    lines = items.select(F.col("id").alias("item_id"), "order_id", "product_id", "quantity", "total")
+    rich = _rich(_known(products, "product_id", [], "id"), "product_id", few) if few else None
+
+    def carried(lines: DataFrame, products: DataFrame) -> DataFrame:
+        return carried_in_force(carrying(lines, products, "product_id", ["cost"]).join(o, "order_id"),
+                                "order_date", "product_from", {"cost": "unit_cost"})
+
+    def looked_up(lines: DataFrame, products: DataFrame) -> DataFrame:
+        return in_force(lines.join(o, "order_id"), products, "product_id", "order_date", "product_from", {"cost": "unit_cost"})
+
+    if rich is None:
+        found = carried(lines, products) if few else looked_up(lines, products)
+    else:
+        line_of, product_of = F.col("product_id") == F.col("_rich"), F.col("id") == F.col("_rich")
+        found = carried(lines.join(rich, line_of, "left_anti"), products.join(rich, product_of, "left_anti")).unionByName(
+            looked_up(lines.join(rich, line_of, "left_semi"), products.join(rich, product_of, "left_semi")))
     d = F.to_date("order_date")
-    return lookup(lines, products, "product_id", "order_date", "product_sk", {"cost": "unit_cost"}).select(
-        "item_id", "order_id", "product_id", "product_sk", "customer_sk", "tenant_sk", "status",
+    return found.select(
+        "item_id", "order_id", "product_id",
+        *[sk_of(F.col(f"{m}_id"), F.col(f"{m}_from")).alias(f"{m}_sk") for m in ("product", "customer", "tenant")], "status",
         (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).alias("date_key"), "quantity",
         F.col("total").cast("double").alias("revenue"),
         (F.col("unit_cost") * F.col("quantity")).cast("double").alias("cost"))

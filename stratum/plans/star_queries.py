@@ -16,7 +16,8 @@ CUSTOMER, PRODUCT, TENANT = ["tenant_id", "email", "country"], ["tenant_id", "sk
 
 def _loaded(changes, attrs):
     first = staged(star.history_of(changes.where("seq % 2 = 1"), "id", attrs), "history")
-    return star.versions(star.history_of(changes.where("seq % 2 = 0"), "id", attrs, first), "id")
+    both = staged(star.history_of(changes.where("seq % 2 = 0"), "id", attrs, first), "history")
+    return star.versions(both, "id")
 
 
 def _customers(s):
@@ -117,5 +118,8 @@ FROM t_item i JOIN t_order o ON o.id = i.order_id
 {_in_force('t_dim_customer', 'c', 'o.customer_id')}
 {_in_force('t_dim_tenant', 't', 'o.tenant_id')}""", _DIMS))
 def _fact(s):
-    dims = [staged(d, "dim") for d in (_customers(s), _tenants(s), _products(s))]
-    return star.fact_sales(s.orderitem, star.keyed_orders(s.order, dims[0], dims[1]), dims[2])
+    customers, tenants, products = [staged(d, "dim") for d in (_customers(s), _tenants(s), _products(s))]
+    keyed = star.keyed_orders(s.order, customers, tenants)
+    if products.count() <= star.SMALL:
+        return star.fact_sales(s.orderitem, keyed, products, few=0)
+    return star.fact_sales(s.orderitem_by_product, keyed, products)

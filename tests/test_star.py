@@ -6,7 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from stratum.operators import star
+from conftest import SMALL
 from test_plans import plan_text
 
 T0 = datetime(2024, 1, 1)
@@ -116,3 +118,45 @@ def test_lookup_by_member_equals_lookup_by_bucket(spark):
     by_key, by_bucket, mixed = (order(tuple(r) for r in star.lookup(facts, dim, "id", "t", "sk", {"plan": "then"}, many=n).collect())
                                 for n in (10**6, 0, 30))
     assert by_key == by_bucket == mixed and len(by_key) == 200
+
+
+def test_fact_lines_are_shuffled_twice_and_without_digests(spark, monkeypatch):
+    """By product and by order; they used to be moved by product, by order with two digests, and by product again."""
+    monkeypatch.setattr(star, "SMALL", 0, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["star_fact_scd2"](spark, SMALL)
+        above = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at = next(i for i, line in enumerate(above) if "l_orderkey" in line and "FileScan" in line)
+    depth, moves, digests = len(above[at]), 0, False
+    for line in reversed(above[:at]):
+        if (d := len(line) - len(line.lstrip(" :+-"))) < depth:
+            depth, moves, digests = d, moves + ("Exchange" in line), digests or (moves < 2 and "md5" in line)
+    assert moves == 2 and not digests
+
+
+def test_fact_is_the_same_however_products_are_met(spark):
+    rnd = random.Random(8)
+    log = [r[:4] + (r[4], 3 + (r[5] or 0)) for r in log_rows(8)]
+    history = star.history_of(spark.createDataFrame(log, LOG), "id", ["plan", "size"])
+    products = star.versions(history, "id").withColumn("cost", F.col("size").cast("decimal(10,2)")).persist()
+    orders = spark.createDataFrame([(str(i), rnd.choice(["a", "b", "none", None]), rnd.choice(["hot", None]), rnd.choice(["x", None]),
+                                     None if i % 40 == 0 else T0 + timedelta(hours=rnd.randrange(-20, 420))) for i in range(120)],
+                                   "id string, customer_id string, tenant_id string, status string, order_date timestamp_ntz")
+    items = spark.createDataFrame([(f"i{i}", rnd.choice([str(rnd.randrange(130)), None]), rnd.choice(["hot", "a", "b", "none", None]),
+                                    rnd.choice([1, 2, None]), 5.0) for i in range(300)],
+                                  "id string, order_id string, product_id string, quantity int, total double")
+    keyed = star.keyed_orders(orders, products, products).persist()
+    after, few, some, all_carried = (order(tuple(r) for r in star.fact_sales(items, keyed, products, few=n).collect())
+                                     for n in (0, 4, 60, 10**6))
+    assert after == few == some == all_carried and len({r[3] for r in after}) > 5 and any(r[-1] for r in after)
+    by_lookup = star.lookup(items.join(orders.selectExpr("id AS order_id", "order_date"), "order_id"), products, "product_id",
+                            "order_date", "sk", {"cost": "then"}).selectExpr("id", "sk", "cast(then * quantity AS double)")
+    assert order((r[0], r[3], r[-1]) for r in after) == order(tuple(r) for r in by_lookup.collect())
+
+
+def test_items_by_product_are_the_items(shop):
+    assert shop.orderitem_by_product.schema == shop.orderitem.schema
+    assert shop.orderitem_by_product.exceptAll(shop.orderitem).isEmpty() and shop.orderitem.exceptAll(shop.orderitem_by_product).isEmpty()
